@@ -1,9 +1,9 @@
 """Every registered query by name."""
 
-from marlspike.catalog import expressions
+from marlspike.catalog import expressions, relations
 from marlspike.catalog.base import Query
 
-MODULES = [expressions]
+MODULES = [expressions, relations]
 
 QUERIES: dict[str, Query] = {}
 for _module in MODULES:

@@ -35,7 +35,7 @@ def class_counts(spark: SparkSession, d: str) -> DataFrame:
 # Customer fields as messy text: null, blank, wide blank, junk fragment, junk, number.
 MESSY = """
 SELECT c_custkey,
-  CASE c_custkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  ' WHEN 3 THEN chr(12288)
+  CASE c_custkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  ' WHEN 3 THEN '　'
     WHEN 4 THEN chr(92) || '&quot;' || CAST(c_custkey AS STRING) WHEN 5 THEN 'n/a'
     ELSE CAST(c_custkey AS STRING) END AS raw,
   CAST(c_custkey % 3 AS INT) AS grade, c_mktsegment
@@ -90,7 +90,7 @@ def money_level(spark: SparkSession, d: str) -> DataFrame:
 
 def _money_sql(pattern: str) -> str:
     number = f"try_cast(regexp_extract(t, '{pattern}') AS DOUBLE)"
-    whole = f"trunc(least({number}, 2147483647.0))"
+    whole = f"trunc({number})"
     return sql_steps(whole, P.MONEY_EDGES, P.MONEY_CODES, "<=")
 
 

@@ -65,8 +65,10 @@ def extract_number(c: Column | str, pattern: str) -> Column:
 
 
 def truncate_int(c: Column | str) -> Column:
-    """Double to int toward zero, saturating at the int range."""
-    return F.greatest(F.least(_col(c), F.lit(float(MAX_INT))), F.lit(float(-MAX_INT - 1))).cast("int")
+    """Double to int toward zero, saturating at the int range; null stays null."""
+    c = _col(c)
+    high, low = F.lit(MAX_INT), F.lit(-MAX_INT - 1)
+    return F.when(c >= high, high).when(c <= low, low).otherwise(c.try_cast("int"))
 
 
 def bucketize(
