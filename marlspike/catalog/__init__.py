@@ -1,9 +1,9 @@
 """Every registered query by name."""
 
-from marlspike.catalog import expressions, relations
+from marlspike.catalog import expressions, relations, texts
 from marlspike.catalog.base import Query
 
-MODULES = [expressions, relations]
+MODULES = [expressions, relations, texts]
 
 QUERIES: dict[str, Query] = {}
 for _module in MODULES:

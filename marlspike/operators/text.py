@@ -203,7 +203,7 @@ def tokens_to_wide(
     placed = df.select(key, F.posexplode_outer(F.slice(tokens, 1, n)).alias("_pos", "token"))
     indexed = placed.join(_lookup(vocab, "token", "idx"), "token", "left")
     slots = [
-        F.max(F.when(F.col("_pos") == i, F.col("idx")).otherwise(0)).alias(f"{prefix}{i}")
+        F.coalesce(F.max(F.when(F.col("_pos") == i, F.col("idx"))), F.lit(0)).alias(f"{prefix}{i}")
         for i in range(n)
     ]
     return indexed.groupBy(key).agg(*slots)

@@ -82,7 +82,7 @@ def localize(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     has an exact size, so Spark broadcasts it; a larger table stays distributed
     and joins by shuffle.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return df, False
-    return df.sparkSession.createDataFrame(rows, df.schema), True
+    return df.sparkSession.createDataFrame(rows, schema=df.schema), True
