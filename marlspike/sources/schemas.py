@@ -3,8 +3,16 @@
 from pyspark.sql import types as T
 
 
+_KINDS = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+}
+
+
 def _struct(**fields: str) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in fields.items()))
+    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in fields.items()])
 
 
 # --- Fixed values: column names of the exchanged tables, in consumed order ---
