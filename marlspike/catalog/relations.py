@@ -193,15 +193,13 @@ FROM part LEFT JOIN f ON value = p_name
 
 def ids_up(spark: SparkSession, d: str) -> DataFrame:
     (customer,) = tables(spark, d, "customer")
-    return ids.assign_ids(
-        customer.select("c_name", "c_custkey"), "c_name", as_string=True, unique=True
-    )
+    return ids.assign_ids(customer.select("c_name", "c_custkey"), "c_name", as_string=True)
 
 
 def ids_down(spark: SparkSession, d: str) -> DataFrame:
     (orders,) = tables(spark, d, "orders")
     rows = orders.select("o_orderdate", "o_orderkey", "o_totalprice")
-    placed = ids.assign_ids(rows, ["o_orderdate", "o_orderkey"], desc=True, unique=True)
+    placed = ids.assign_ids(rows, ["o_orderdate", "o_orderkey"], desc=True)
     return placed.drop("o_orderdate")
 
 

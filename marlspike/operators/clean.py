@@ -32,11 +32,9 @@ def apply_rules(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return df.withColumns(dict(rules))
 
 
-def clean_customers(
-    raw: DataFrame, audits: DataFrame, websites: DataFrame, unique: bool = True
-) -> DataFrame:
+def clean_customers(raw: DataFrame, audits: DataFrame, websites: DataFrame) -> DataFrame:
     """Customer table: both enrichments, typed score, blank-filled text and an
-    id by falling company name. unique says that names do not repeat."""
+    id by falling company name."""
     joined = enrich(
         raw.select(*CUSTOMER_RAW),
         (audits, "company_name", ["icp_audit_time_format"]),
@@ -44,12 +42,10 @@ def clean_customers(
     )
     rules = {c: S.blank_to(c, "") for c in CUSTOMER_TEXT}
     rules["score"] = S.clean_int(S.blank_to("score", "0"))
-    return assign_ids(apply_rules(joined, rules), "company_name", desc=True, unique=unique)
+    return assign_ids(apply_rules(joined, rules), "company_name", desc=True)
 
 
-def clean_market(
-    raw: DataFrame, source_prefix: str = "", unique: bool = True
-) -> DataFrame:
+def clean_market(raw: DataFrame, source_prefix: str = "") -> DataFrame:
     """Marketplace table. source_prefix is the prefix that source columns of
     the marketplace carry (medal_of_trading, chengxintong, sumSales,
     business_model, authentication_information)."""
@@ -66,4 +62,4 @@ def clean_market(
         filled = S.blank_to(F.col(f"`{source(name)}`").cast("string"), "0")
         rules[source(name)] = S.safe_cast(filled, "int")
     cleaned = apply_rules(raw, rules).drop(grade)
-    return assign_ids(cleaned, "company_name", desc=True, unique=unique)
+    return assign_ids(cleaned, "company_name", desc=True)

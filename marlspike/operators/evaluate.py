@@ -84,14 +84,13 @@ def f_by_threshold(
         .groupBy(F.col(score).alias("threshold"))
         .agg(hit, F.count(F.lit(1)).alias("n"))
     )
-    cum = running_sums(per_score, [F.desc("threshold")], {"tp": "pos", "chosen": "n"})
-    total = cum.agg(F.max("tp")).scalar()
+    cum = running_sums(per_score, [F.desc("threshold")], ["pos", "n"])
     b2 = beta * beta
-    precision = F.col("tp") / F.col("chosen")
-    recall = F.when(total == 0, F.lit(0.0)).otherwise(F.col("tp") / F.when(total != 0, total))
-    f = (1 + b2) * precision * recall / F.when(
-        precision + recall > 0, b2 * precision + recall
-    )
+    total = F.col("all_pos")
+    precision = F.col("run_pos") / F.col("run_n")
+    recall = F.when(total == 0, F.lit(0.0)).otherwise(F.col("run_pos") / F.when(total != 0, total))
+    both = F.when(precision + recall > 0, b2 * precision + recall)
+    f = (1 + b2) * precision * recall / both
     return cum.select("threshold", F.coalesce(f, F.lit(0.0)).alias("f"))
 
 

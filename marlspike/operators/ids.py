@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,15 +31,30 @@ def place_in_order(df: DataFrame, order_by: Sequence[Column]) -> DataFrame:
     return materialize(numbered.drop("_spot"), "ordered")
 
 
-def _before(per_part: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Per range partition, the sum of each column over earlier partitions.
+def _offsets(per_part: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Per range partition, the sum of each column over earlier partitions
+    (_before_*) and over all of them (_total_*).
 
-    One row per partition, so the single-task window and the broadcast are
+    One row per partition, so the single-task windows and the broadcast are
     bounded by the partition count.
     """
     earlier = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    sums = [F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_before_{c}") for c in cols]
-    return F.broadcast(per_part.select(PART, *sums))
+    before = [F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_before_{c}") for c in cols]
+    total = [F.sum(c).over(Window.partitionBy()).alias(f"_total_{c}") for c in cols]
+    return F.broadcast(per_part.select(PART, *before, *total))
+
+
+def _numbered(placed: DataFrame, id_col: str) -> DataFrame:
+    sizes = placed.groupBy(PART).agg((F.max(POS) + 1).alias("n"))
+    number = (F.col("_before_n") + F.col(POS) + 1).alias(id_col)
+    held = [c for c in placed.columns if c not in (PART, POS)]
+    return placed.join(_offsets(sizes, ["n"]), PART).select(*held, number)
+
+
+def number_rows(df: DataFrame, order_by: Sequence[Column], id_col: str) -> DataFrame:
+    """Ids 1..n of rows that the order tells apart. The rows themselves are
+    sorted and written, so this suits narrow tables such as aggregates."""
+    return _numbered(place_in_order(df, order_by), id_col)
 
 
 def assign_ids(
@@ -47,37 +63,47 @@ def assign_ids(
     desc: bool = False,
     id_col: str = "id",
     as_string: bool = False,
-    unique: bool = False,
 ) -> DataFrame:
     """Ids 1..n in the order of order_by.
 
-    Pass unique=True when order_by identifies a row. Otherwise ties are split
-    by a row hash and a stored random number, so that a key held by a large
-    share of the rows is spread over range partitions.
+    Only the order columns are sorted: their distinct values are numbered and
+    joined back, so wide rows are not moved for the order and a table already
+    partitioned by them stays where it is. Where a value repeats, the rows are
+    sorted instead, ties split by a row hash and a stored random number, so
+    that a value held by a large share of the rows is spread over partitions.
     """
     names = [order_by] if isinstance(order_by, str) else list(order_by)
     order = [F.desc(n) if desc else F.asc(n) for n in names]
     held = df.columns
-    if not unique:
-        df = materialize(df.withColumn("_tie", F.rand(17)), "ties")
-        order += [F.xxhash64(*held), F.col("_tie")]
-    placed = place_in_order(df, order)
-    sizes = placed.groupBy(PART).agg((F.max(POS) + 1).alias("n"))
-    number = F.col("_before_n") + F.col(POS) + 1
-    number = number.cast("string") if as_string else number
-    return placed.join(_before(sizes, ["n"]), PART).select(*held, number.alias(id_col))
-
 
-def running_sums(df: DataFrame, order_by: Sequence[Column], sums: dict[str, str]) -> DataFrame:
-    """Cumulative sums over a global order that identifies each row.
-
-    sums maps an output name to the summed column.
-    """
+    keys = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies"))
+    placed = place_in_order(keys, order)
+    has_null = F.greatest(*[F.col(n).isNull().cast("int") for n in names], F.lit(0))
+    facts = placed.agg(F.max("_copies").alias("copies"), F.max(has_null).alias("nulls")).first()
+
+    if facts["copies"] is None or facts["copies"] == 1:
+        ids = _numbered(placed.drop("_copies"), "_id")
+        if facts["nulls"]:
+            ids = ids.select(*[F.col(n).alias(f"_k_{n}") for n in names], "_id")
+            same = reduce(
+                lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_k_{n}")) for n in names]
+            )
+            numbered = df.join(ids, same)
+        else:
+            numbered = df.join(ids, names)
+    else:
+        tied = materialize(df.withColumn("_tie", F.rand(17)), "ties")
+        numbered = number_rows(tied, [*order, F.xxhash64(*held), F.col("_tie")], "_id")
+    number = F.col("_id").cast("string") if as_string else F.col("_id")
+    return numbered.select(*[F.col(f"`{c}`") for c in held if c != id_col], number.alias(id_col))
+
+
+def running_sums(df: DataFrame, order_by: Sequence[Column], cols: Sequence[str]) -> DataFrame:
+    """Add run_<c>, the cumulative sum over a global order that identifies each
+    row, and all_<c>, the sum over every row, for each column."""
     placed = place_in_order(df, order_by)
-    cols = list(dict.fromkeys(sums.values()))
     totals = placed.groupBy(PART).agg(*[F.sum(c).alias(c) for c in cols])
     inside = Window.partitionBy(PART).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
-    running = [
-        (F.sum(c).over(inside) + F.col(f"_before_{c}")).alias(out) for out, c in sums.items()
-    ]
-    return placed.join(_before(totals, cols), PART).select(*df.columns, *running)
+    running = [(F.sum(c).over(inside) + F.col(f"_before_{c}")).alias(f"run_{c}") for c in cols]
+    whole = [F.col(f"_total_{c}").alias(f"all_{c}") for c in cols]
+    return placed.join(_offsets(totals, cols), PART).select(*df.columns, *running, *whole)

@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlspike.operators.ids import assign_ids
-from marlspike.session import localize
+from marlspike.operators.ids import number_rows
+from marlspike.operators.relate import join_ranked
 
-# A dictionary of up to this many values is joined as a driver-side relation.
+# Dictionary entries joined by broadcast; the rarer rest joins by shuffle.
 SMALL_DICTIONARY = 100_000
 
 
@@ -48,10 +48,9 @@ def fit_dictionary(df: DataFrame, col: str) -> DataFrame:
         df.where(F.col(col).isNotNull())
         .groupBy(F.col(col).alias("value"))
         .agg(F.count(F.lit(1)).alias("count"))
-        .withColumn("_rank", -F.col("count"))
     )
-    numbered = assign_ids(counts, ["_rank", "value"], id_col="idx", unique=True)
-    return numbered.select("value", "count", (F.col("idx") - 1).cast("int").alias("idx"))
+    numbered = number_rows(counts, [F.desc("count"), F.asc("value")], "idx")
+    return numbered.withColumn("idx", (F.col("idx") - 1).cast("int"))
 
 
 def apply_dictionary(
@@ -59,14 +58,11 @@ def apply_dictionary(
 ) -> DataFrame:
     """Add the dictionary index of a column. A value outside the dictionary,
     null too, gets unseen; by default the id after the last one."""
-    lookup, small = localize(dictionary.select("value", "idx"), SMALL_DICTIONARY)
+    lookup = dictionary.select(F.col("value").alias(col), F.col("idx").alias("_idx"))
     if unseen is None:
-        unseen = F.coalesce(lookup.agg(F.max("idx") + 1).scalar(), F.lit(0))
+        unseen = F.coalesce(lookup.agg(F.max("_idx") + 1).scalar(), F.lit(0))
     elif not isinstance(unseen, Column):
         unseen = F.lit(unseen)
-    lookup = lookup.select(F.col("value").alias(col), F.col("idx").alias("_idx"))
-    if small:
-        lookup = F.broadcast(lookup)
-    joined = df.join(lookup, col, "left")
+    joined = join_ranked(df, lookup, col, "_idx", SMALL_DICTIONARY)
     kept = [F.col(f"`{c}`") for c in df.columns if c != out]
     return joined.select(*kept, F.coalesce("_idx", unseen).cast("int").alias(out))

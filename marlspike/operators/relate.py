@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marlspike.session import localize
+
 Key = str | Sequence[str]
 
 
@@ -43,6 +45,37 @@ def assemble_star(fact: DataFrame, *dims: tuple[DataFrame, Key]) -> DataFrame:
     return fact
 
 
+def join_ranked(
+    df: DataFrame, ranked: DataFrame, key: str, idx: str, limit: int
+) -> DataFrame:
+    """Left join to a table (key, idx) whose small idx are its frequent keys,
+    such as a vocabulary or a dictionary.
+
+    A table of at most limit rows is broadcast. Of a larger one the first
+    limit entries are broadcast and the rest joins by shuffle; rows already
+    matched are spread there by row hash under keys that match nothing, so no
+    frequent key meets in one task.
+    """
+    held, small = localize(ranked, limit)
+    if small:
+        return df.join(F.broadcast(held), key, "left")
+    head = ranked.where(F.col(idx) <= limit).select(F.col(key).alias("_hk"), F.col(idx).alias("_hi"))
+    tail = ranked.where(F.col(idx) > limit).select(
+        F.col(key).alias("_tk"), F.col(idx).alias("_ti"), F.lit(0).alias("_tm")
+    )
+    met = df.join(F.broadcast(head), F.col(key) == F.col("_hk"), "left")
+    done = F.col("_hi").isNotNull() | F.col(key).isNull()
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(1 << 20)) + 1
+    probed = met.withColumn("_spread", F.when(done, spread).otherwise(F.lit(0)))
+    return (
+        probed.join(
+            tail, (F.col(key) == F.col("_tk")) & (F.col("_spread") == F.col("_tm")), "left"
+        )
+        .withColumn(idx, F.coalesce("_hi", "_ti"))
+        .drop("_hk", "_hi", "_tk", "_ti", "_tm", "_spread")
+    )
+
+
 def exclude(df: DataFrame, known: DataFrame, key: Key) -> DataFrame:
     """Rows of df whose key is not among the known ones; a null key is kept."""
     return df.join(known.select(*_names(key)).distinct(), _names(key), "left_anti")

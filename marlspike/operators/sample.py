@@ -11,16 +11,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlspike.functions.hashing import row_hash, threshold
+from marlspike.functions.hashing import HASH_BITS, row_hash, threshold
 from marlspike.operators.ids import assign_ids
 from marlspike.session import localize
 
-# Hash bits used by the first histogram; the second is exact inside one bucket.
-COARSE_SHIFT = 40
+# Each histogram looks at this many more bits of the hash (4096 ranges).
+RANGE_BITS = 12
 # Tables with one row per class are checked against this before a broadcast.
 SMALL_CLASSES = 10_000
-# Rows that one task may rank when a hash value is shared.
-RANK_IN_ONE_TASK = 1_000_000
+# Hash values, or rows that share one, that a single task may order.
+VALUES_IN_ONE_TASK = 1_000_000
 # Largest n taken through a per-task heap.
 HEAP_LIMIT = 100_000
 
@@ -112,15 +112,15 @@ def _per_class(rows: DataFrame, facts: DataFrame, small: bool) -> DataFrame:
     return rows.join(facts, F.col("_c").eqNullSafe(F.col("_class"))).drop("_class")
 
 
-def _cut_point(counts: DataFrame, by: str, need: str) -> DataFrame:
+def _cut_point(counts: DataFrame, by: str) -> DataFrame:
     """Per class, the first value of `by` at which the running count reaches
-    need, its own count _n, and how many of it complete the need."""
+    _need, its own count _n, and how many of it complete the need."""
     up_to = Window.partitionBy("_c").orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
     before = F.col("_cum") - F.col("_n")
     return (
         counts.withColumn("_cum", F.sum("_n").over(up_to))
-        .where((before < F.col(need)) & (F.col("_cum") >= F.col(need)))
-        .select("_c", by, "_n", (F.col(need) - before).alias("_take"))
+        .where((before < F.col("_need")) & (F.col("_cum") >= F.col("_need")))
+        .select("_c", by, "_n", (F.col("_need") - before).alias("_take"))
     )
 
 
@@ -130,28 +130,30 @@ def _lowest(
     """Per class, exactly _need rows: those with the smallest key hash.
 
     Found by counting, not by ranking. A histogram of hash ranges finds the
-    range that holds the cut, a second one inside that range finds the cut
-    value, and the rows come from a plain filter. Only label and key are read
-    before that filter, and no class is gathered in one task.
+    range that holds the cut, the next one looks inside that range, and so on
+    to the cut value; the rows then come from a plain filter. Only label and
+    key are read before that filter, each task sends at most one count per
+    class and range, and no class is gathered in one task.
     """
     h = row_hash(names, seed)
-    hashed = df.select(F.col(label).alias("_c"), h.alias("_h"))
-    hashed = hashed.withColumn("_b", F.shiftright("_h", COARSE_SHIFT))
-
-    ranges = hashed.groupBy("_c", "_b").agg(F.count(F.lit(1)).alias("_n"))
-    range_cut = _cut_point(_per_class(ranges, needs, small), "_b", "_need")
-    range_cut, small = localize(range_cut, SMALL_CLASSES)
-
-    inside = range_cut.select("_c", F.col("_b").alias("_cut_b"), F.col("_take").alias("_need"))
-    values = (
-        _per_class(hashed, inside, small)
-        .where(F.col("_b") == F.col("_cut_b"))
-        .groupBy("_c", "_h", "_need")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    cuts, small = localize(_cut_point(values, "_h", "_need"), SMALL_CLASSES)
-    cuts = cuts.withColumnRenamed("_h", "_cut")
-
+    inside = df.select(F.col(label).alias("_c"), h.alias("_h"))
+    shift = HASH_BITS
+    while shift:
+        shift = shift - RANGE_BITS
+        ranges = inside.groupBy("_c", F.shiftright("_h", shift).alias("_b")).agg(
+            F.count(F.lit(1)).alias("_n")
+        )
+        cuts, small = localize(_cut_point(_per_class(ranges, needs, small), "_b"), SMALL_CLASSES)
+        if not shift:
+            break
+        needs = cuts.select("_c", F.col("_take").alias("_need"))
+        place = cuts.select("_c", F.col("_b").alias("_range"))
+        held = _per_class(df.select(F.col(label).alias("_c"), h.alias("_h")), place, small)
+        inside = held.where(F.shiftright("_h", shift) == F.col("_range")).select("_c", "_h")
+        if (cuts.agg(F.max("_n").alias("n")).first()["n"] or 0) <= VALUES_IN_ONE_TASK:
+            shift = RANGE_BITS
+
+    cuts = cuts.select("_c", F.col("_b").alias("_cut"), "_n", "_take")
     marked = df.withColumns({"_c": F.col(label), "_h": h})
     marked = _per_class(marked, cuts, small)
     shared = cuts.where(F.col("_n") > F.col("_take")).agg(F.max("_n").alias("n")).first()["n"]
@@ -161,7 +163,7 @@ def _lowest(
     # Some hash value at a cut is shared by more rows than fit (a repeated key).
     below = marked.where(F.col("_h") < F.col("_cut")).select(*df.columns)
     tied = marked.where(F.col("_h") == F.col("_cut")).select(*df.columns, "_c", "_take")
-    if shared <= RANK_IN_ONE_TASK:
+    if shared <= VALUES_IN_ONE_TASK:
         order = Window.partitionBy("_c").orderBy(*names, F.xxhash64(*df.columns))
         ranked = tied.withColumn("_place", F.row_number().over(order))
     else:

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlspike.functions.scalar import blank_to, format_label_line, merge_text, strip_newlines
-from marlspike.operators.ids import assign_ids
+from marlspike.operators.ids import assign_ids, number_rows
+from marlspike.operators.relate import join_ranked
 from marlspike.operators.sample import balance_classes, split
 from marlspike.session import localize
 from marlspike.sources.parsers import format_id_line
@@ -19,6 +20,7 @@ MODES = ("unicode", "cjk_bigram", "dict")
 MAX_STOPWORDS = 20_000
 MAX_DICTIONARY = 1_000_000
 MAX_VOCABULARY = 200_000
+MAX_EMBEDDINGS = 20_000
 
 WORD_GAP = r"[^\p{L}\p{N}]+"
 RUN = r"\p{IsHan}+|[\p{L}\p{N}&&[^\p{IsHan}]]+"
@@ -173,9 +175,7 @@ def build_vocab(
     """
     counts = count_tokens(df, tokens)
     if max_words is None:
-        ranked = assign_ids(
-            counts.withColumn("_rank", -F.col("count")), ["_rank", "token"], unique=True, id_col="rn"
-        )
+        ranked = number_rows(counts, [F.desc("count"), F.asc("token")], "rn")
     else:
         # A top-k: the ranked rows are bounded by the requested size.
         top = counts.orderBy(F.desc("count"), "token").limit(max_words + remove_top_n)
@@ -185,12 +185,6 @@ def build_vocab(
     return ranked.where(F.col("rn") > remove_top_n).select("token", "count", idx.alias("idx"))
 
 
-def _lookup(vocab: DataFrame, *cols: str) -> DataFrame:
-    """A vocabulary side for a join: broadcast only after a size check."""
-    held, small = localize(vocab.select(*cols), MAX_VOCABULARY)
-    return F.broadcast(held) if small else held
-
-
 def tokens_to_wide(
     df: DataFrame, key: str, tokens: str, vocab: DataFrame, n: int = 40, prefix: str = "wide"
 ) -> DataFrame:
@@ -201,7 +195,7 @@ def tokens_to_wide(
     folds them back inside the task and shuffles one narrow row per key.
     """
     placed = df.select(key, F.posexplode_outer(F.slice(tokens, 1, n)).alias("_pos", "token"))
-    indexed = placed.join(_lookup(vocab, "token", "idx"), "token", "left")
+    indexed = join_ranked(placed, vocab.select("token", "idx"), "token", "idx", MAX_VOCABULARY)
     slots = [
         F.coalesce(F.max(F.when(F.col("_pos") == i, F.col("idx"))), F.lit(0)).alias(f"{prefix}{i}")
         for i in range(n)
@@ -215,7 +209,7 @@ def tokens_to_ids(
     """(key, array of vocabulary indices in token order); unknown tokens are
     dropped, as a word index does."""
     placed = df.select(key, F.posexplode_outer(tokens).alias("_pos", "token"))
-    indexed = placed.join(_lookup(vocab, "token", "idx"), "token", "left")
+    indexed = join_ranked(placed, vocab.select("token", "idx"), "token", "idx", MAX_VOCABULARY)
     ordered = F.sort_array(
         F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("_pos", "idx")))
     )
@@ -246,7 +240,8 @@ def pool_embeddings(
         .groupBy(key, "token")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    joined = counted.join(_lookup(table, "token", "embedding"), "token")
+    held, small = localize(table.select("token", "embedding"), MAX_EMBEDDINGS)
+    joined = counted.join(F.broadcast(held) if small else held, "token")
     item = F.col("embedding")
     sums = [F.sum(F.col("_n") * F.get(item, F.lit(i)).cast("double")).alias(f"_s{i}") for i in range(dim)]
     summed = joined.groupBy(key).agg(F.sum("_n").alias("n_tokens"), *sums)
@@ -294,11 +289,10 @@ def prepare_text(
     key: str,
     text_cols: Sequence[str],
     label: str,
-    unique: bool = True,
 ) -> DataFrame:
     """(key, text, label, id): text columns merged and joined to the labelled
     rows; a row without text has empty text. Ids follow the key."""
     merged = texts.select(key, merge_text(list(text_cols)).alias("text"))
     joined = base.select(key, F.col(label).alias("label")).join(merged, key, "left")
     filled = joined.select(key, blank_to("text", "").alias("text"), "label")
-    return assign_ids(filled, key, as_string=True, unique=unique)
+    return assign_ids(filled, key, as_string=True)

@@ -50,11 +50,10 @@ def prepare_text_job(
     text_cols: Sequence[str],
     label: str,
     seed: int = 0,
-    unique: bool = True,
     **tokenizing,
 ) -> dict[str, DataFrame]:
     """Labelled rows and their texts to a training corpus."""
-    prepared = T.prepare_text(base, texts, key, text_cols, label, unique)
+    prepared = T.prepare_text(base, texts, key, text_cols, label)
     return T.build_text_corpus(prepared, name=key, seed=seed, **tokenizing)
 
 

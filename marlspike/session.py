@@ -17,6 +17,7 @@ RECOMMENDED = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
 }
 
 _local_dirs: dict[str, str] = {}
