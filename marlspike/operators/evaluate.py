@@ -26,19 +26,18 @@ def recommend(
     the smaller id.
 
     A group may hold any share of the rows: for n up to GROUP_LIMIT Spark
-    keeps n rows per group and task before shuffling. Beyond it the same is
-    done here with a salted first round.
+    keeps n rows per group and task before shuffling. Beyond it a first round
+    ranks the rows of each input partition by themselves.
     """
     tie = item or ("item_id" if by != "item_id" else "user_id")
     order = [F.desc(prediction), F.desc(probability), F.asc(tie)]
     if n > GROUP_LIMIT:
-        salt = F.pmod(F.xxhash64(*predictions.columns), F.lit(256))
-        salted = predictions.withColumn("_salt", salt)
-        local = Window.partitionBy(by, "_salt").orderBy(*order)
+        local = Window.partitionBy(by, "_input").orderBy(*order)
         predictions = (
-            salted.withColumn("_place", F.row_number().over(local))
+            predictions.withColumn("_input", F.spark_partition_id())
+            .withColumn("_place", F.row_number().over(local))
             .where(F.col("_place") <= n)
-            .drop("_place", "_salt")
+            .drop("_place", "_input")
         )
     place = F.row_number().over(Window.partitionBy(by).orderBy(*order))
     return predictions.withColumn("rank", place).where(F.col("rank") <= n)

@@ -21,6 +21,7 @@ from marlspike.operators import profile as P
 from marlspike.operators import relate as R
 from marlspike.operators import sample as S
 from marlspike.operators import text as T
+from marlspike.session import materialize
 from marlspike.sources.parsers import parse_label_lines, parse_predictions
 
 STAGES = ("raw", "clean", "sample", "evaluate")
@@ -141,10 +142,16 @@ def train_job(
 ) -> Trained:
     """Split encoded rows by hash, train, score the held-out part, recommend.
 
+    The columns the model reads are written once, by part, so that features
+    are computed once however often training and scoring read them.
     model_type "wide" fits the linear model; others the joint network.
     """
     key = [user, item] if user else [item]
-    parts = S.split(rows, {"train": train, "valid": 1.0 - train}, key, config.seed)
+    read = [*key, "label", *spec.slot_cols, *spec.indicator_cols, *spec.embed_cols, *spec.cont_cols]
+    coded = rows.select(*[F.col(f"`{c}`") for c in dict.fromkeys(read)])
+    weights = {"train": train, "valid": 1.0 - train}
+    table = materialize(S.tag_split(coded, weights, key, config.seed), "coded", ["split"])
+    parts = {name: table.where(F.col("split") == name).drop("split") for name in weights}
     if model_type == "wide":
         model = linear.train_wide(parts["train"], spec, max_iter=config.epochs)
         history = linear.loss_series(model, rows.sparkSession)
@@ -157,7 +164,7 @@ def train_job(
         )
         predictions = wide_deep.score_pairs(model, assembled["valid"])
     return Trained(
-        model, history, P.class_distribution(rows), predictions, *_top_lists(predictions, top)
+        model, history, P.class_distribution(table), predictions, *_top_lists(predictions, top)
     )
 
 
