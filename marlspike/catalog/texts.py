@@ -9,6 +9,7 @@ from marlspike.catalog.base import Query, sql_hash, tables
 from marlspike.functions.hashing import threshold
 from marlspike.operators import text
 from marlspike.plans import jobs
+from marlspike.sources.readers import spread
 
 SEED = 7
 TOKENS_SQL = r"""list_filter(regexp_split_to_array(lower({c}), '[^\p{{L}}\p{{N}}]+'), lambda t: t <> '')"""
@@ -28,9 +29,13 @@ def _vocab_sql(where: str = "TRUE", shift: int = 0) -> str:
       (SELECT *, row_number() OVER (ORDER BY count DESC, token) AS rn FROM counts) WHERE {where})"""
 
 
-def _cut_documents(spark: SparkSession, d: str) -> DataFrame:
+def _documents(spark: SparkSession, d: str) -> DataFrame:
     (documents,) = tables(spark, d, "documents")
-    return text.tokenize(documents, "text").select("doc_id", "tokens")
+    return spread(documents, "doc_id")
+
+
+def _cut_documents(spark: SparkSession, d: str) -> DataFrame:
+    return text.tokenize(_documents(spark, d), "text").select("doc_id", "tokens")
 
 
 def tokens(spark: SparkSession, d: str) -> DataFrame:
@@ -115,9 +120,9 @@ FROM a
 
 
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
-    documents, labels = tables(spark, d, "documents", "labels")
+    (labels,) = tables(spark, d, "labels")
     held = labels.select("doc_id", (F.col("quality") + 1).cast("int").alias("label"))
-    return documents.select("doc_id", "source", "text").join(held, "doc_id")
+    return _documents(spark, d).select("doc_id", "source", "text").join(held, "doc_id")
 
 
 def corpus(spark: SparkSession, d: str) -> DataFrame:
@@ -195,7 +200,8 @@ SELECT doc_id, n_tokens::BIGINT AS n_tokens, dim::INT AS dim, round(total / n_to
 
 
 def wide_text(spark: SparkSession, d: str) -> DataFrame:
-    documents, benchmark = tables(spark, d, "documents", "benchmark")
+    documents = _documents(spark, d)
+    (benchmark,) = tables(spark, d, "benchmark")
     cut = text.tokenize(benchmark, "text")
     stop = text.build_vocab(cut, "tokens", max_words=20).select("token")
     return jobs.build_wide_text(

@@ -12,7 +12,7 @@ from marlspike.functions.scalar import blank_to, format_label_line, merge_text,
 from marlspike.operators.ids import assign_ids, number_rows
 from marlspike.operators.relate import join_ranked
 from marlspike.operators.sample import balance_classes, split
-from marlspike.session import localize
+from marlspike.session import localize, materialize
 from marlspike.sources.parsers import format_id_line
 
 MODES = ("unicode", "cjk_bigram", "dict")
@@ -22,7 +22,7 @@ MAX_DICTIONARY = 1_000_000
 MAX_VOCABULARY = 200_000
 MAX_EMBEDDINGS = 20_000
 
-WORD_GAP = r"[^\p{L}\p{N}]+"
+WORD_GAP = r"[^\p{L}\p{N}]++"
 RUN = r"\p{IsHan}+|[\p{L}\p{N}&&[^\p{IsHan}]]+"
 HAN_RUN = r"^\p{IsHan}+$"
 
@@ -52,7 +52,7 @@ def token_column(col: str, mode: str = "unicode", search: bool = False) -> Colum
     """
     text = F.lower(F.coalesce(F.col(col), F.lit("")))
     if mode == "unicode":
-        tokens = F.filter(F.split(text, WORD_GAP), lambda t: t != "")
+        tokens = F.array_remove(F.split(text, WORD_GAP), "")
     elif mode == "cjk_bigram":
         runs = F.regexp_extract_all(text, F.lit(f"({RUN})"), F.lit(0))
         cut = F.transform(
@@ -147,7 +147,8 @@ def remove_stopwords(
     if key is None:
         raise ValueError(f"over {MAX_STOPWORDS} stop words need key=, a column unique per row")
     kept = (
-        df.select(key, F.posexplode(tokens).alias("_pos", "_token"))
+        df.select(key, F.posexplode_outer(tokens).alias("_pos", "_token"))
+        .where(F.col("_token").isNotNull())
         .join(stopwords.select(F.col(word).alias("_token")).distinct(), "_token", "left_anti")
         .groupBy(key)
         .agg(F.sort_array(F.collect_list(F.struct("_pos", "_token"))).alias("_kept"))
@@ -158,11 +159,19 @@ def remove_stopwords(
     return joined.select(*df.columns, *([] if out in df.columns else [out]))
 
 
+def _one_per_row(df: DataFrame, tokens: str, *kept: str) -> DataFrame:
+    """One row per token. The outer form is used on purpose: for the inner one
+    Spark infers a filter on the array size and pushes it below the projection
+    that makes the tokens, which would cut every text twice."""
+    rows = df.select(*kept, F.explode_outer(tokens).alias("token"))
+    return rows.where(F.col("token").isNotNull())
+
+
 def count_tokens(df: DataFrame, tokens: str) -> DataFrame:
     """(token, count). Counted inside each task first, so a token that fills a
     large share of the text costs one row per task."""
-    exploded = df.select(F.explode(tokens).alias("token"))
-    return exploded.groupBy("token").agg(F.count(F.lit(1)).alias("count"))
+    rows = _one_per_row(df, tokens)
+    return rows.groupBy("token").agg(F.count(F.lit(1)).alias("count"))
 
 
 def build_vocab(
@@ -232,19 +241,21 @@ def pool_embeddings(
 ) -> DataFrame:
     """(key, mean embedding of the known tokens, number of them).
 
-    Repeats are counted before the join, so each key sends a token once; the
-    dimensions are summed as columns, not exploded into rows.
+    The dimensions are summed as columns, not exploded into rows. Next to a
+    checked table the tokens of a key stay in one task and leave it as one
+    row. A larger table joins by shuffle, with repeats counted before it.
     """
-    counted = (
-        df.select(key, F.explode(tokens).alias("token"))
-        .groupBy(key, "token")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
     held, small = localize(table.select("token", "embedding"), MAX_EMBEDDINGS)
-    joined = counted.join(F.broadcast(held) if small else held, "token")
-    item = F.col("embedding")
-    sums = [F.sum(F.col("_n") * F.get(item, F.lit(i)).cast("double")).alias(f"_s{i}") for i in range(dim)]
-    summed = joined.groupBy(key).agg(F.sum("_n").alias("n_tokens"), *sums)
+    items = [F.get("embedding", F.lit(i)).cast("double").alias(f"_e{i}") for i in range(dim)]
+    held = held.select("token", *items)
+    found = _one_per_row(df, tokens, key)
+    if small:
+        rows, times = found.join(F.broadcast(held), "token"), F.lit(1)
+    else:
+        counted = found.groupBy(key, "token").agg(F.count(F.lit(1)).alias("_n"))
+        rows, times = counted.join(held, "token"), F.col("_n")
+    sums = [F.sum(times * F.col(f"_e{i}")).alias(f"_s{i}") for i in range(dim)]
+    summed = rows.groupBy(key).agg(F.sum(times).alias("n_tokens"), *sums)
     mean = F.array(*[F.col(f"_s{i}") / F.col("n_tokens") for i in range(dim)])
     return summed.select(key, mean.alias(out), "n_tokens")
 
@@ -269,8 +280,13 @@ def build_text_corpus(
     **tokenizing,
 ) -> dict[str, DataFrame]:
     """The parts of a text training job: all lines, the id index, and class
-    balanced, disjoint train and valid lines. Empty lines are not trained on."""
-    lines = labelled_lines(df, text, label, **tokenizing).select(id_col, name, label, "line")
+    balanced, disjoint train and valid lines. Empty lines are not trained on.
+
+    Lines are written once: every part is read from them, so that text is cut
+    into tokens once.
+    """
+    cut = labelled_lines(df, text, label, **tokenizing)
+    lines = materialize(cut.select(id_col, name, label, "line"), "lines")
     filled = lines.where(F.col("line") != "")
     balanced = balance_classes(filled, label, id_col, seed)
     parts = split(balanced, {"train": train, "valid": 1.0 - train}, id_col, seed + 1)

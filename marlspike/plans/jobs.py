@@ -103,12 +103,14 @@ def build_wide_text(
 ) -> DataFrame:
     """Text columns of each row to n vocabulary-index columns.
 
-    require names a column that must not be null. key identifies a row.
+    require names a column that must not be null. key identifies a row. The
+    tokens are written once, for the vocabulary and for the lookup.
     """
     rows = base.where(F.col(f"`{require}`").isNotNull()) if require else base
     folded = rows.select(key, merge_text(list(text_cols), keep_blanks=False).alias("text"))
     cut = T.tokenize(folded, "text", **tokenizing)
     cleaned = T.remove_stopwords(cut, "tokens", stopwords, key).select(key, "tokens")
+    cleaned = materialize(cleaned, "tokens")
     return T.tokens_to_wide(cleaned, key, "tokens", T.build_vocab(cleaned, "tokens"), n)
 
 

@@ -23,6 +23,13 @@ def read_parquet(spark: SparkSession, path: str, partitions: int | None = None)
     return df.repartition(partitions) if partitions else df
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a table with fewer files than cores, moved to every core by key;
+    a table of more files is left where it is. For work that is heavy per row."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
+
+
 def read_lines(spark: SparkSession, path: str, column: str = "value") -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", column)
 
