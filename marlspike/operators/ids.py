@@ -8,9 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlspike.session import materialize
+from marlspike.session import at_most, materialize
 
 PART, POS = "_part", "_pos"
+# Rows that one task may number; counted before it does.
+FEW = 20_000
 
 
 def place_in_order(df: DataFrame, order_by: Sequence[Column]) -> DataFrame:
@@ -66,7 +68,7 @@ def assign_ids(
 ) -> DataFrame:
     """Ids 1..n in the order of order_by.
 
-    Only the order columns are sorted: their distinct values are numbered and
+    Up to FEW rows are numbered in one task. Of more, only the order columns are sorted: their distinct values are numbered and
     joined back, so wide rows are not moved for the order and a table already
     partitioned by them stays where it is. Where a value repeats, the rows are
     sorted instead, ties split by a row hash and a stored random number, so
@@ -75,6 +77,9 @@ def assign_ids(
     names = [order_by] if isinstance(order_by, str) else list(order_by)
     order = [F.desc(n) if desc else F.asc(n) for n in names]
     held = df.columns
+    if at_most(df, FEW):
+        place = F.row_number().over(Window.orderBy(*order, F.xxhash64(*held)))
+        return _with_id(df.withColumn("_id", place.cast("bigint")), held, id_col, as_string)
 
     keys = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies"))
     placed = place_in_order(keys, order)
@@ -94,6 +99,10 @@ def assign_ids(
     else:
         tied = materialize(df.withColumn("_tie", F.rand(17)), "ties")
         numbered = number_rows(tied, [*order, F.xxhash64(*held), F.col("_tie")], "_id")
+    return _with_id(numbered, held, id_col, as_string)
+
+
+def _with_id(numbered: DataFrame, held: Sequence[str], id_col: str, as_string: bool) -> DataFrame:
     number = F.col("_id").cast("string") if as_string else F.col("_id")
     return numbered.select(*[F.col(f"`{c}`") for c in held if c != id_col], number.alias(id_col))
 

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from marlspike.session import localize
 
+# Lookup entries that pass through the driver; larger tables stay in Spark.
+LOCAL_ROWS = 20_000
+
 Key = str | Sequence[str]
 
 
@@ -48,18 +51,21 @@ def assemble_star(fact: DataFrame, *dims: tuple[DataFrame, Key]) -> DataFrame:
 def join_ranked(
     df: DataFrame, ranked: DataFrame, key: str, idx: str, limit: int
 ) -> DataFrame:
-    """Left join to a table (key, idx) whose small idx are its frequent keys,
-    such as a vocabulary or a dictionary.
+    """Left join to a table (key, idx) whose idx count its keys from the most
+    frequent one, such as a vocabulary or a dictionary.
 
-    A table of at most limit rows is broadcast. Of a larger one the first
+    A table of at most limit entries is broadcast. Of a larger one the first
     limit entries are broadcast and the rest joins by shuffle; rows already
     matched are spread there by row hash under keys that match nothing, so no
     frequent key meets in one task.
     """
-    held, small = localize(ranked, limit)
+    held, small = localize(ranked, min(limit, LOCAL_ROWS))
     if small:
         return df.join(F.broadcast(held), key, "left")
-    head = ranked.where(F.col(idx) <= limit).select(F.col(key).alias("_hk"), F.col(idx).alias("_hi"))
+    head = ranked.where(F.col(idx) <= limit)
+    if not ranked.where(F.col(idx) > limit).take(1):
+        return df.join(F.broadcast(head), key, "left")
+    head = head.select(F.col(key).alias("_hk"), F.col(idx).alias("_hi"))
     tail = ranked.where(F.col(idx) > limit).select(
         F.col(key).alias("_tk"), F.col(idx).alias("_ti"), F.lit(0).alias("_tm")
     )

@@ -12,7 +12,7 @@ from marlspike.functions.scalar import blank_to, format_label_line, merge_text,
 from marlspike.operators.ids import assign_ids, number_rows
 from marlspike.operators.relate import join_ranked
 from marlspike.operators.sample import balance_classes, split
-from marlspike.session import localize, materialize
+from marlspike.session import at_most, localize, materialize
 from marlspike.sources.parsers import format_id_line
 
 MODES = ("unicode", "cjk_bigram", "dict")
@@ -245,9 +245,9 @@ def pool_embeddings(
     checked table the tokens of a key stay in one task and leave it as one
     row. A larger table joins by shuffle, with repeats counted before it.
     """
-    held, small = localize(table.select("token", "embedding"), MAX_EMBEDDINGS)
+    small = at_most(table, MAX_EMBEDDINGS)
     items = [F.get("embedding", F.lit(i)).cast("double").alias(f"_e{i}") for i in range(dim)]
-    held = held.select("token", *items)
+    held = table.select("token", *items)
     found = _one_per_row(df, tokens, key)
     if small:
         rows, times = found.join(F.broadcast(held), "token"), F.lit(1)

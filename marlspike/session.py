@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Settings that matter for correctness (time zone) or for skewed input (AQE).
 # Sizes and partition counts belong to the cluster, so they are not set here.
@@ -75,15 +78,23 @@ def materialize(
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def at_most(df: DataFrame, rows: int) -> bool:
+    """Whether df has at most that many rows. Reads no column that the row
+    count does not need, and partitions only until it has seen enough."""
+    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
+
+
 def localize(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     """(df as a driver-side relation, True) when it has at most max_rows rows,
     else (df unchanged, False).
 
     This is the size check in front of every small-side join: a local relation
     has an exact size, so Spark broadcasts it; a larger table stays distributed
-    and joins by shuffle.
+    and joins by shuffle. The check reads partitions only until it has enough.
     """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
+    rows = df.take(max_rows + 1)
+    if len(rows) > max_rows:
         return df, False
-    return df.sparkSession.createDataFrame(rows, schema=df.schema), True
+    columns = {c: [r[i] for r in rows] for i, c in enumerate(df.columns)}
+    held = pa.table(columns, schema=to_arrow_schema(df.schema))
+    return df.sparkSession.createDataFrame(held, schema=df.schema), True

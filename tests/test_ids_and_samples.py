@@ -13,7 +13,13 @@ def rows(spark):
     )
 
 
-def test_ids_equal_simple_form(spark, rows):
+@pytest.fixture(params=[20_000, 1])
+def few(request, monkeypatch):
+    """Numbering in one task, and over range partitions."""
+    monkeypatch.setattr(ids, "FEW", request.param)
+
+
+def test_ids_equal_simple_form(spark, rows, few):
     for desc in (False, True):
         found = ids.assign_ids(rows, "key", desc=desc).collect()
         expected = {r["key"]: (5000 - r["key"] if desc else r["key"] + 1) for r in found}
@@ -21,7 +27,7 @@ def test_ids_equal_simple_form(spark, rows):
         assert len(found) == 5000
 
 
-def test_ids_with_a_hot_value(spark):
+def test_ids_with_a_hot_value(spark, few):
     """A third of the rows share one value, some rows are exact copies."""
     df = spark.range(3000).select(
         F.when(F.col("id") < 1000, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 700)).alias("name"),
@@ -33,7 +39,7 @@ def test_ids_with_a_hot_value(spark):
     assert by_id == sorted(by_id)
 
 
-def test_ids_with_null_key(spark):
+def test_ids_with_null_key(spark, few):
     df = spark.createDataFrame([("b", 1), (None, 2), ("a", 3)], "k string, v int")
     found = {r["v"]: r["id"] for r in ids.assign_ids(df, "k", as_string=True).collect()}
     assert found == {2: "1", 3: "2", 1: "3"}
@@ -137,7 +143,7 @@ def test_dictionary(spark):
     assert {r["i"] for r in profile.apply_dictionary(new, fitted, "v", "i", 0).collect()} == {3, 0}
 
 
-def test_ranked_join_beyond_the_limit(spark):
+def test_ranked_join_beyond_the_limit(spark, monkeypatch):
     """Head broadcast and tail shuffled give what one join gives."""
     ranked = spark.range(1, 101).select(F.concat(F.lit("t"), F.col("id")).alias("t"), F.col("id").cast("int").alias("i"))
     df = spark.range(1000).select(
@@ -148,6 +154,9 @@ def test_ranked_join_beyond_the_limit(spark):
     one = {(r["n"], r["t"], r["i"]) for r in relate.join_ranked(df, ranked, "t", "i", 1000).collect()}
     two = {(r["n"], r["t"], r["i"]) for r in relate.join_ranked(df, ranked, "t", "i", 5).collect()}
     assert one == two and len(two) == 1000
+    monkeypatch.setattr(relate, "LOCAL_ROWS", 1)
+    three = {(r["n"], r["t"], r["i"]) for r in relate.join_ranked(df, ranked, "t", "i", 100).collect()}
+    assert one == three
 
 
 def test_relations(spark):
