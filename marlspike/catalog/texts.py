@@ -9,6 +9,7 @@ from marlspike.catalog.base import Query, sql_hash, tables
 from marlspike.functions.hashing import threshold
 from marlspike.operators import text
 from marlspike.plans import jobs
+from marlspike.session import materialize
 from marlspike.sources.readers import spread
 
 SEED = 7
@@ -184,6 +185,7 @@ def pooled(spark: SparkSession, d: str) -> DataFrame:
     table = embeddings.select((F.col("vec_id") + 1).alias("idx"), "embedding").join(
         vocab.select(F.col("idx").cast("bigint").alias("idx"), "token"), "idx"
     )
+    table = materialize(table.select("token", "embedding"), "embeddings")
     means = text.pool_embeddings(cut, "doc_id", "tokens", table, dim=64)
     flat = means.select("doc_id", "n_tokens", F.posexplode("pooled").alias("dim", "value"))
     return flat.withColumn("value", F.round("value", 6))

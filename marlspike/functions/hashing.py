@@ -30,17 +30,24 @@ def threshold(fraction: float) -> int:
 def java_string_hash(c: Column) -> Column:
     """32-bit polynomial string hash over UTF-16 units (signed int)."""
     mask = F.lit(0xFFFFFFFF)
+    zero = F.lit(0).cast("bigint")
+    chars = F.split(c, "")
 
-    def fold(acc: Column, ch: Column) -> Column:
-        point = F.ascii(ch).cast("bigint")
-        rest = point - 0x10000
+    def step(acc: Column, ch: Column) -> Column:
+        return (acc * 31 + F.ascii(ch)).bitwiseAND(mask)
+
+    def pair_step(acc: Column, ch: Column) -> Column:
+        rest = F.ascii(ch) - 0x10000
         high = F.lit(0xD800) + F.shiftright(rest, 10)
         low = F.lit(0xDC00) + rest.bitwiseAND(F.lit(0x3FF))
-        pair = (acc * 31 + high) * 31 + low
-        return F.when(point > 0xFFFF, pair).otherwise(acc * 31 + point).bitwiseAND(mask)
-
-    chars = F.filter(F.split(c, ""), lambda ch: ch != "")
-    total = F.aggregate(chars, F.lit(0).cast("bigint"), fold)
+        pair = ((acc * 31 + high) * 31 + low).bitwiseAND(mask)
+        return F.when(rest >= 0, pair).otherwise(step(acc, ch))
+
+    # Characters of two units are rare, so only texts that hold one pay for them.
+    paired = c.rlike(r"[\x{10000}-\x{10FFFF}]")
+    total = F.when(paired, F.aggregate(chars, zero, pair_step)).otherwise(
+        F.aggregate(chars, zero, step)
+    )
     return F.when(total > 0x7FFFFFFF, total - 0x100000000).otherwise(total).cast("int")
 
 

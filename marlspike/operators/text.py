@@ -250,12 +250,16 @@ def pool_embeddings(
     held = table.select("token", *items)
     found = _one_per_row(df, tokens, key)
     if small:
-        rows, times = found.join(F.broadcast(held), "token"), F.lit(1)
+        rows, times = found.join(F.broadcast(held), "token"), None
     else:
         counted = found.groupBy(key, "token").agg(F.count(F.lit(1)).alias("_n"))
         rows, times = counted.join(held, "token"), F.col("_n")
-    sums = [F.sum(times * F.col(f"_e{i}")).alias(f"_s{i}") for i in range(dim)]
-    summed = rows.groupBy(key).agg(F.sum(times).alias("n_tokens"), *sums)
+
+    def total(c: Column) -> Column:
+        return F.sum(c) if times is None else F.sum(times * c)
+
+    sums = [total(F.col(f"_e{i}")).alias(f"_s{i}") for i in range(dim)]
+    summed = rows.groupBy(key).agg(total(F.lit(1)).alias("n_tokens"), *sums)
     mean = F.array(*[F.col(f"_s{i}") / F.col("n_tokens") for i in range(dim)])
     return summed.select(key, mean.alias(out), "n_tokens")
 

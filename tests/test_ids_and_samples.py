@@ -13,7 +13,7 @@ def rows(spark):
     )
 
 
-@pytest.fixture(params=[20_000, 1])
+@pytest.fixture(params=[1_000_000, 1])
 def few(request, monkeypatch):
     """Numbering in one task, and over range partitions."""
     monkeypatch.setattr(ids, "FEW", request.param)
