@@ -74,9 +74,14 @@ def tokenize(
     mode: str = "unicode",
     search: bool = False,
     dictionary: DataFrame | None = None,
+    key: str | None = None,
 ) -> DataFrame:
     """Add an array of tokens. mode="dict" cuts Han runs by the longest word
-    of a one-column dictionary table; other text is cut as in unicode mode."""
+    of a one-column dictionary table; other text is cut as in unicode mode.
+
+    A checked dictionary goes to every task. A larger one is joined, which
+    needs key, a column unique per row.
+    """
     if mode not in MODES:
         raise ValueError(f"mode is one of {', '.join(MODES)}")
     if mode != "dict":
@@ -88,11 +93,13 @@ def tokenize(
         dictionary.select(F.lower(word).alias("word")).where(F.length("word") > 1).distinct(),
         MAX_DICTIONARY,
     )
-    if not small:
-        raise ValueError(f"a segmentation dictionary holds at most {MAX_DICTIONARY} words")
     runs = F.regexp_extract_all(
         F.lower(F.coalesce(F.col(col), F.lit(""))), F.lit(f"({RUN})"), F.lit(0)
     )
+    if not small:
+        if key is None:
+            raise ValueError(f"over {MAX_DICTIONARY} words need key=, a column unique per row")
+        return _match_by_join(df, key, runs, held, search, out)
     words = df.sparkSession.sparkContext.broadcast(frozenset(r["word"] for r in held.collect()))
 
     @F.pandas_udf("array<string>")
@@ -127,6 +134,59 @@ def _longest_match(runs: Sequence[str], known: frozenset, longest: int, search:
     return tokens
 
 
+def _match_by_join(
+    df: DataFrame, key: str, runs: Column, words: DataFrame, search: bool, out: str
+) -> DataFrame:
+    """Longest match with a dictionary of any size: every substring up to the
+    longest word is looked up by a join, then each run is walked in its row."""
+    longest = words.agg(F.max(F.length("word")).alias("n")).first()["n"]
+    text = F.col("_text")
+    cut = df.select(key, F.posexplode_outer(runs).alias("_run", "_text"))
+    places = cut.where(text.rlike(HAN_RUN) & (F.length(text) > 1)).select(
+        key, "_run", "_text", F.explode(F.sequence(F.lit(1), F.length(text) - 1)).alias("_at")
+    )
+    room = F.least(F.lit(longest), F.length(text) - F.col("_at") + 1)
+    spans = places.select("*", F.explode(F.sequence(F.lit(2), room)).alias("_size"))
+    found = spans.withColumn("word", F.substring(text, F.col("_at"), F.col("_size")))
+    sizes = (
+        found.join(words, "word", "left_semi")
+        .groupBy(key, "_run", "_at")
+        .agg(F.collect_list("_size").alias("_sizes"))
+    )
+    hits = sizes.groupBy(key, "_run").agg(
+        F.map_from_entries(F.collect_list(F.struct("_at", "_sizes"))).alias("_hits")
+    )
+    none = F.array().cast("array<string>")
+
+    def sizes_at(i: Column) -> Column:
+        return F.coalesce(F.try_element_at("_hits", i), F.array().cast("array<int>"))
+
+    def parts(i: Column, size: Column, gram: int) -> Column:
+        starts = F.filter(
+            F.sequence(i, i + size - gram), lambda j: F.array_contains(sizes_at(j), gram)
+        )
+        words_at = F.transform(starts, lambda j: F.substring(text, j, F.lit(gram)))
+        return F.when(size > gram, words_at).otherwise(none)
+
+    def walk(state: Column, i: Column) -> Column:
+        size = F.coalesce(F.array_max(sizes_at(i)), F.lit(1))
+        token = F.array(F.substring(text, i, size))
+        added = F.concat(parts(i, size, 2), parts(i, size, 3), token) if search else token
+        taken = F.struct((i + size).alias("next"), F.concat(state["out"], added).alias("out"))
+        return F.when(i < state["next"], state).otherwise(taken)
+
+    start = F.struct(F.lit(1).alias("next"), none.alias("out"))
+    walked = F.aggregate(F.sequence(F.lit(1), F.length(text)), start, walk, lambda s: s["out"])
+    tokens = F.when(text.rlike(HAN_RUN), walked).otherwise(F.array(text))
+    per_run = cut.where(text.isNotNull()).join(hits, [key, "_run"], "left")
+    whole = per_run.groupBy(key).agg(
+        F.sort_array(F.collect_list(F.struct("_run", tokens.alias("_cut")))).alias("_runs")
+    )
+    merged = df.join(whole.select(key, F.flatten("_runs._cut").alias("_tokens")), key, "left")
+    kept = [F.col(f"`{c}`") for c in df.columns if c != out]
+    return merged.select(*kept, F.coalesce("_tokens", none).alias(out))
+
+
 def remove_stopwords(
     df: DataFrame, tokens: str, stopwords: DataFrame, key: str | None = None, out: str | None = None
 ) -> DataFrame:

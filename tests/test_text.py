@@ -33,6 +33,22 @@ def test_dictionary(spark):
         cut(spark, "x", mode="dict")
 
 
+@pytest.mark.parametrize("search", [False, True])
+def test_dictionary_beyond_the_check(spark, monkeypatch, search):
+    """The joined form cuts as the form that holds the dictionary in each task."""
+    words = spark.createDataFrame([(w,) for w in ("北京", "北京大学", "大学生", "大学", "学生", "生活", "京大学")], "w string")
+    rows = [(1, "我在北京大学生活 ok"), (2, "北京大学，大学生 x1"), (3, ""), (4, None), (5, "学"), (6, "生活北京北京大"), (7, "abc")]
+    df = spark.createDataFrame(rows, "k int, t string")
+    held = T.tokenize(df, "t", mode="dict", dictionary=words, search=search)
+    small = {r["k"]: r["tokens"] for r in held.collect()}
+    monkeypatch.setattr(T, "MAX_DICTIONARY", 2)
+    joined = T.tokenize(df, "t", mode="dict", dictionary=words, search=search, key="k")
+    assert {r["k"]: r["tokens"] for r in joined.collect()} == small
+    assert small[2][-1] == "x1" and small[3] == small[4] == []
+    with pytest.raises(ValueError):
+        T.tokenize(df, "t", mode="dict", dictionary=words)
+
+
 @pytest.mark.parametrize("limit", [20_000, 1])
 def test_stopwords_both_ways(spark, monkeypatch, limit):
     monkeypatch.setattr(T, "MAX_STOPWORDS", limit)
