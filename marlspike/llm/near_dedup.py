@@ -31,7 +31,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlspike.llm.common import ascii_words, hash_strings, mix, slices
@@ -183,38 +183,51 @@ def _confirm(percent: int):
     return run
 
 
-def candidate_pairs(members: DataFrame, pivots: int, full: int) -> tuple[DataFrame, DataFrame]:
-    """(pairs (a, b), retired (bucket, node)) of members (bucket, node, label).
+def open_rows(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members (bucket, node) of buckets that hold several components, with their
+    label and `own`, the number of members of that component in the bucket."""
+    if labels is None:
+        held = members.withColumn("label", F.col("node"))
+    else:
+        held = members.join(labels, "node", "left").select(
+            "bucket", "node", F.coalesce("label", "node").alias("label")
+        )
+    parts = held.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("own"))
+    whole = parts.groupBy("bucket").agg(F.sum("own").alias("size"), F.count(F.lit(1)).alias("labels"))
+    several = whole.filter("labels > 1").select("bucket", "size")
+    return held.join(parts.join(several, "bucket"), ["bucket", "label"])
 
-    Buckets of up to `full` members use them all as pivots, others `pivots`.
-    Pivots are the members with the smallest nodes whose component has the
-    fewest members in the bucket; the ranking is cut in every task beforehand.
-    """
-    parts = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("own"))
-    whole = parts.groupBy("bucket").agg(
-        F.sum("own").alias("size"), F.count(F.lit(1)).alias("labels"), F.max("own").alias("most")
-    )
-    open_ = whole.filter("labels > 1").select(
-        "bucket", "most", F.when(F.col("size") <= full, full).otherwise(pivots).alias("take")
-    )
-    rows = members.join(open_, "bucket").join(parts, ["bucket", "label"])
-    from pyspark.sql import Window
 
+def choose_pivots(rows: DataFrame, pivots: int, full: int) -> DataFrame:
+    """(bucket, pivot, pivot_label): all members of buckets of up to `full`, else
+    `pivots` of them, those of the smallest components first. The ranking is cut
+    to so many rows a bucket in every task before anything is moved."""
     order = Window.partitionBy("bucket").orderBy("own", "node")
-    chosen = (
+    return (
         rows.withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= max(pivots, full))
-        .filter(F.col("place") <= F.col("take"))
+        .filter((F.col("size") <= full) | (F.col("place") <= pivots))
         .select("bucket", F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
     )
-    pairs = (
-        rows.select("bucket", "node", "label")
-        .join(chosen, "bucket")
-        .filter("label <> pivot_label")
-        .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-        .distinct()
+
+
+def merge_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """labels (node, label) after the links (a, b) join their components."""
+    if labels is None:
+        return components(links)
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    known = materialize(
+        labels.join(ends, "node", "full").select("node", F.coalesce("label", "node").alias("label")),
+        "known",
+    )
+    one = known.select(F.col("node").alias("a"), F.col("label").alias("x"))
+    two = known.select(F.col("node").alias("b"), F.col("label").alias("y"))
+    between = links.join(one, "a").join(two, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    joined = components(between).select(F.col("node").alias("label"), F.col("label").alias("to"))
+    return materialize(
+        known.join(joined, "label", "left").select("node", F.coalesce("to", "label").alias("label")),
+        "labels",
     )
-    return pairs, chosen.select("bucket", F.col("pivot").alias("node"))
 
 
 def near_classes(
@@ -256,28 +269,30 @@ def near_classes(
         texts.mapInArrow(_sets(words), "node long, members binary").dropDuplicates(["node"]), "sets"
     )
 
-    labels = classes.select("node", F.col("node").alias("label")).limit(0)
-    links = None
-    open_, pivots = members.filter(F.col("band") < EARLY_BANDS), 1
-    late = members.filter(F.col("band") >= EARLY_BANDS).select("bucket", "node")
-    early, open_ = True, open_.select("bucket", "node")
+    labels = None
+    waiting = members.filter(F.col("band") >= EARLY_BANDS).select("bucket", "node")
+    rest, pivots = members.filter(F.col("band") < EARLY_BANDS).select("bucket", "node"), 1
     while True:
-        held = open_.join(labels, "node", "left").select(
-            "bucket", "node", F.coalesce("label", "node").alias("label")
-        )
-        pairs, retired = candidate_pairs(held, pivots, PAIRS_UP_TO)
-        pairs = materialize(pairs, "pairs")
-        if not pairs.isEmpty():
-            found = verified(pairs, classes, sets, percent)
-            links = materialize(found if links is None else links.unionByName(found), "links")
-            labels = components(links)
-            open_ = materialize(open_.join(retired, ["bucket", "node"], "left_anti"), "open")
-            if not early:
-                pivots *= 2
-        elif not early:
+        undecided = materialize(open_rows(rest, labels), "open")
+        if undecided.isEmpty() and waiting is None:
             break
-        if early:
-            early, open_ = False, open_.unionByName(late)
+        chosen = materialize(choose_pivots(undecided, pivots, PAIRS_UP_TO), "pivots")
+        pairs = (
+            undecided.join(chosen, "bucket")
+            .filter("label <> pivot_label")
+            .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+            .distinct()
+        )
+        links = materialize(verified(pairs, classes, sets, percent), "links")
+        if not links.isEmpty():
+            labels = merge_labels(labels, links)
+        used = chosen.select("bucket", F.col("pivot").alias("node"))
+        rest = undecided.select("bucket", "node").join(used, ["bucket", "node"], "left_anti")
+        if waiting is not None:
+            rest, waiting = rest.unionByName(waiting), None
+        pivots = max(PAIRS_UP_TO, 2 * pivots)
+    if labels is None:
+        labels = classes.select("node", F.col("node").alias("label"))
     named = classes.join(labels, "node", "left").select(
         "cls", "doc", F.coalesce("label", "node").alias("label")
     )
