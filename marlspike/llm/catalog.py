@@ -1,7 +1,7 @@
 """The queries of this subpackage: name to (function, SQL or None)."""
 
-from marlspike.llm import exact_dedup, near_dedup
+from marlspike.llm import exact_dedup, language_id, mixing, near_dedup, pieces
 
-MODULES = [exact_dedup, near_dedup]
+MODULES = [language_id, pieces, mixing, near_dedup, exact_dedup]
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
