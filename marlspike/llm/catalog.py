@@ -1,7 +1,15 @@
 """The queries of this subpackage: name to (function, SQL or None)."""
 
-from marlspike.llm import exact_dedup, language_id, mixing, near_dedup, pieces
+from marlspike.llm import exact_dedup, language_id, lm_score, mixing, near_dedup, pieces, warc
 
-MODULES = [language_id, pieces, mixing, near_dedup, exact_dedup]
+MODULES = [
+    language_id,
+    pieces,
+    lm_score,
+    warc,
+    mixing,
+    near_dedup,
+    exact_dedup,
+]
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
