@@ -1,14 +1,16 @@
 """The queries of this subpackage: name to (function, SQL or None)."""
 
-from marlspike.llm import exact_dedup, language_id, lm_score, mixing, near_dedup, pieces, warc
+from marlspike.llm import exact_dedup, hash_forest, language_id, lm_score, mixing, near_dedup, pieces, toxicity, warc
 
 MODULES = [
     language_id,
     pieces,
     lm_score,
+    hash_forest,
     warc,
     mixing,
     near_dedup,
+    toxicity,
     exact_dedup,
 ]
 
