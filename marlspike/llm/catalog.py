@@ -1,10 +1,22 @@
 """The queries of this subpackage: name to (function, SQL or None)."""
 
-from marlspike.llm import exact_dedup, hash_forest, language_id, lm_score, mixing, near_dedup, pieces, toxicity, warc
+from marlspike.llm import (
+    exact_dedup,
+    hash_forest,
+    language_id,
+    lm_score,
+    mixing,
+    near_dedup,
+    pieces,
+    surrogates,
+    toxicity,
+    warc,
+)
 
 MODULES = [
     language_id,
     pieces,
+    surrogates,
     lm_score,
     hash_forest,
     warc,
