@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 from marlspike.functions import scalar as S
 
@@ -111,7 +112,10 @@ def member_years(c: Column | str) -> Column:
 
 
 def sales_level(c: Column | str) -> Column:
-    return S.bucketize(S.safe_cast(c, "int"), SALES_EDGES, SALES_CODES, default=None)
+    """Level of an amount in a text; decimals are cut off, any size is coded."""
+    amount = S.safe_cast(c, "double")
+    whole = F.signum(amount) * F.floor(F.abs(amount))
+    return S.bucketize(whole, SALES_EDGES, SALES_CODES, default=None)
 
 
 def medal(c: Column | str) -> Column:

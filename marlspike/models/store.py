@@ -6,22 +6,22 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import SparkSession
 
-from marlspike.models.wide_deep import WideDeepModel, load_wide_deep, save_wide_deep
+from marlspike.models.joint import JointModel, load_joint, save_joint
 
-Model = WideDeepModel | LogisticRegressionModel | PipelineModel
+Model = JointModel | LogisticRegressionModel | PipelineModel
 
 
 def save_model(model: Model, spark: SparkSession, path: str) -> None:
     """Replace the model at path."""
-    if isinstance(model, WideDeepModel):
-        save_wide_deep(model, spark, path)
+    if isinstance(model, JointModel):
+        save_joint(model, spark, path)
     else:
         model.write().overwrite().save(path)
 
 
 def load_model(spark: SparkSession, path: str, kind: str) -> Model:
     loaders = {
-        "wide_deep": lambda: load_wide_deep(spark, path),
+        "joint": lambda: load_joint(spark, path),
         "linear": lambda: LogisticRegressionModel.load(path),
         "text": lambda: PipelineModel.load(path),
     }

@@ -60,6 +60,6 @@ def clean_market(raw: DataFrame, source_prefix: str = "") -> DataFrame:
     rules[source("sumSales")] = S.blank_to(f"`{source('sumSales')}`", "0")
     for name in ("medal_of_trading", "chengxintong"):
         filled = S.blank_to(F.col(f"`{source(name)}`").cast("string"), "0")
-        rules[source(name)] = S.safe_cast(filled, "int")
+        rules[source(name)] = S.safe_cast(S.safe_cast(filled, "double"), "int")  # decimals are cut off
     cleaned = apply_rules(raw, rules).drop(grade)
     return assign_ids(cleaned, "company_name", desc=True)

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from marlspike.operators.ids import running_sums
 from marlspike.operators.relate import join_predictions
 
-# Up to this n Spark limits each group inside every task before the shuffle.
-GROUP_LIMIT = 1000
+# Parts that a group is ranked in before the parts' best rows meet.
+PARTS = 256
 
 
 def recommend(
@@ -25,20 +25,18 @@ def recommend(
     """Top n rows per value of `by`: best class, then best probability, then
     the smaller id.
 
-    A group may hold any share of the rows: for n up to GROUP_LIMIT Spark
-    keeps n rows per group and task before shuffling. Beyond it a first round
-    ranks the rows of each input partition by themselves.
+    A group may hold any share of the rows: it is ranked in PARTS parts first, by the
+    task that a row comes from, and only the best n rows of each part meet.
     """
     tie = item or ("item_id" if by != "item_id" else "user_id")
     order = [F.desc(prediction), F.desc(probability), F.asc(tie)]
-    if n > GROUP_LIMIT:
-        local = Window.partitionBy(by, "_input").orderBy(*order)
-        predictions = (
-            predictions.withColumn("_input", F.spark_partition_id())
-            .withColumn("_place", F.row_number().over(local))
-            .where(F.col("_place") <= n)
-            .drop("_place", "_input")
-        )
+    local = Window.partitionBy(by, "_part").orderBy(*order)
+    predictions = (
+        predictions.withColumn("_part", F.spark_partition_id() % PARTS)
+        .withColumn("_place", F.row_number().over(local))
+        .where(F.col("_place") <= n)
+        .drop("_place", "_part")
+    )
     place = F.row_number().over(Window.partitionBy(by).orderBy(*order))
     return predictions.withColumn("rank", place).where(F.col("rank") <= n)
 

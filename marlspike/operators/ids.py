@@ -3,18 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from marlspike.session import materialize
 
 PART, POS = "_part", "_pos"
-# Rows of fixed-width columns that one task may number; counted before it does.
-# Rows that carry text or arrays count tenfold.
-FEW = 1_000_000
 
 
 def place_in_order(df: DataFrame, order_by: Sequence[Column]) -> DataFrame:
@@ -70,42 +65,16 @@ def assign_ids(
 ) -> DataFrame:
     """Ids 1..n in the order of order_by.
 
-    Up to FEW rows are numbered in one task. Of more, only the order columns are sorted: their distinct values are numbered and
-    joined back, so wide rows are not moved for the order and a table already
-    partitioned by them stays where it is. Where a value repeats, the rows are
-    sorted instead, ties split by a row hash and a stored random number, so
-    that a value held by a large share of the rows is spread over partitions.
+    Rows are dealt by ranges of the order, numbered inside their range and moved up by
+    the sizes of the ranges before it. Ties are split by a row hash and a stored
+    number, so that a value held by a large share of the rows is spread over ranges;
+    which of several equal rows gets which id does not matter.
     """
     names = [order_by] if isinstance(order_by, str) else list(order_by)
     order = [F.desc(n) if desc else F.asc(n) for n in names]
     held = df.columns
-    fixed = all(
-        isinstance(f.dataType, (T.NumericType, T.DatetimeType, T.BooleanType))
-        for f in df.schema.fields
-        if f.name not in names
-    )
-    if df.count() <= (FEW if fixed else FEW // 10):
-        place = F.row_number().over(Window.orderBy(*order, F.xxhash64(*held)))
-        return _with_id(df.withColumn("_id", place.cast("bigint")), held, id_col, as_string)
-
-    keys = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies"))
-    placed = place_in_order(keys, order)
-    has_null = F.greatest(*[F.col(n).isNull().cast("int") for n in names], F.lit(0))
-    facts = placed.agg(F.max("_copies").alias("copies"), F.max(has_null).alias("nulls")).first()
-
-    if facts["copies"] is None or facts["copies"] == 1:
-        ids = _numbered(placed.drop("_copies"), "_id")
-        if facts["nulls"]:
-            ids = ids.select(*[F.col(n).alias(f"_k_{n}") for n in names], "_id")
-            same = reduce(
-                lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_k_{n}")) for n in names]
-            )
-            numbered = df.join(ids, same)
-        else:
-            numbered = df.join(ids, names)
-    else:
-        tied = materialize(df.withColumn("_tie", F.rand(17)), "ties")
-        numbered = number_rows(tied, [*order, F.xxhash64(*held), F.col("_tie")], "_id")
+    tied = materialize(df.withColumn("_tie", F.monotonically_increasing_id()), "ties")
+    numbered = number_rows(tied, [*order, F.xxhash64(*[f"`{c}`" for c in held]), F.col("_tie")], "_id")
     return _with_id(numbered, held, id_col, as_string)
 
 

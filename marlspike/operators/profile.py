@@ -28,8 +28,8 @@ def profile_cardinality(
     """
     distinct = F.approx_count_distinct if approx else F.count_distinct
     return df.agg(
-        F.count(id_col).cast("int").alias(id_col),
-        *[distinct(F.col(c)).cast("int").alias(c) for c in cols],
+        F.count(id_col).alias(id_col),
+        *[distinct(F.col(c)).alias(c) for c in cols],
     )
 
 
@@ -39,9 +39,9 @@ def embedding_dims(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def fit_dictionary(df: DataFrame, col: str) -> DataFrame:
-    """(value, count, idx): 0-based index by falling count, ties by value.
+    """(value, count, idx): index from 1 by falling count, ties by value.
 
-    Null is not indexed. The result is a table: save it and apply the same
+    Null is not indexed: 0 stands for null and for unseen values. The result is a table: save it and apply the same
     one when scoring.
     """
     counts = (
@@ -49,20 +49,21 @@ def fit_dictionary(df: DataFrame, col: str) -> DataFrame:
         .groupBy(F.col(col).alias("value"))
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    numbered = number_rows(counts, [F.desc("count"), F.asc("value")], "idx")
-    return numbered.withColumn("idx", (F.col("idx") - 1).cast("int"))
+    return number_rows(counts, [F.desc("count"), F.asc("value")], "idx")
+
+
+def dictionary_size(dictionary: DataFrame) -> int:
+    """The number of codes of a fitted dictionary, 0 included."""
+    return int(dictionary.agg(F.coalesce(F.max("idx"), F.lit(0)) + 1).first()[0])
 
 
 def apply_dictionary(
-    df: DataFrame, dictionary: DataFrame, col: str, out: str, unseen: int | Column | None = None
+    df: DataFrame, dictionary: DataFrame, col: str, out: str, unseen: int | Column = 0
 ) -> DataFrame:
     """Add the dictionary index of a column. A value outside the dictionary,
-    null too, gets unseen; by default the id after the last one."""
+    null too, gets unseen."""
     lookup = dictionary.select(F.col("value").alias(col), F.col("idx").alias("_idx"))
-    if unseen is None:
-        unseen = F.coalesce(lookup.agg(F.max("_idx") + 1).scalar(), F.lit(0))
-    elif not isinstance(unseen, Column):
-        unseen = F.lit(unseen)
+    unseen = unseen if isinstance(unseen, Column) else F.lit(unseen)
     joined = join_ranked(df, lookup, col, "_idx", SMALL_DICTIONARY)
     kept = [F.col(f"`{c}`") for c in df.columns if c != out]
-    return joined.select(*kept, F.coalesce("_idx", unseen).cast("int").alias(out))
+    return joined.select(*kept, F.coalesce("_idx", unseen).cast("bigint").alias(out))

@@ -12,17 +12,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlspike.functions.hashing import HASH_BITS, row_hash, threshold
-from marlspike.operators.ids import assign_ids
-from marlspike.session import localize
+from marlspike.operators.ids import number_rows
+from marlspike.session import localize, materialize
 
-# Each histogram looks at this many more bits of the hash (4096 ranges).
-RANGE_BITS = 12
+# Each histogram looks at this many more bits of the hash (32768 ranges).
+RANGE_BITS = 15
 # Tables with one row per class are checked against this before a broadcast.
 SMALL_CLASSES = 10_000
-# Hash values, or rows that share one, that a single task may order.
-VALUES_IN_ONE_TASK = 1_000_000
-# Largest n taken through a per-task heap.
-HEAP_LIMIT = 100_000
 
 Key = str | Sequence[str]
 
@@ -72,9 +68,6 @@ def tag_split(
 def take_n(df: DataFrame, n: int, key: Key, seed: int = 0) -> DataFrame:
     """Exactly n rows (or all, if fewer), those with the smallest key hash."""
     names = _names(key)
-    if n <= HEAP_LIMIT:
-        hashed = df.withColumn("_h", row_hash(names, seed))
-        return hashed.orderBy("_h", *names).limit(n).drop("_h")
     sizes, small = _class_sizes(df.select(F.lit(1).alias("_all"), *names), "_all")
     needs = sizes.select("_c", F.least("_size", F.lit(n)).alias("_need"))
     whole = df.withColumn("_all", F.lit(1))
@@ -150,8 +143,6 @@ def _lowest(
         place = cuts.select("_c", F.col("_b").alias("_range"))
         held = _per_class(df.select(F.col(label).alias("_c"), h.alias("_h")), place, small)
         inside = held.where(F.shiftright("_h", shift) == F.col("_range")).select("_c", "_h")
-        if (cuts.agg(F.max("_n").alias("n")).first()["n"] or 0) <= VALUES_IN_ONE_TASK:
-            shift = RANGE_BITS
 
     cuts = cuts.select("_c", F.col("_b").alias("_cut"), "_n", "_take")
     marked = df.withColumns({"_c": F.col(label), "_h": h})
@@ -160,18 +151,17 @@ def _lowest(
     if shared is None:
         return marked.where(F.col("_h") <= F.col("_cut")).select(*df.columns)
 
-    # Some hash value at a cut is shared by more rows than fit (a repeated key).
+    # Some hash value at a cut is shared by more rows than fit (a repeated key):
+    # they are taken in the order of the key and a hash of the caller's columns.
     below = marked.where(F.col("_h") < F.col("_cut")).select(*df.columns)
     tied = marked.where(F.col("_h") == F.col("_cut")).select(*df.columns, "_c", "_take")
-    if shared <= VALUES_IN_ONE_TASK:
-        order = Window.partitionBy("_c").orderBy(*names, F.xxhash64(*df.columns))
-        ranked = tied.withColumn("_place", F.row_number().over(order))
-    else:
-        numbered = assign_ids(tied, ["_c", *names], id_col="_id")
-        first = numbered.groupBy("_c").agg((F.min("_id") - 1).alias("_first"))
-        ranked = _per_class(numbered, *localize(first, SMALL_CLASSES)).withColumn(
-            "_place", F.col("_id") - F.col("_first")
-        )
+    tied = materialize(tied.withColumn("_tie", F.monotonically_increasing_id()), "tied")
+    order = ["_c", *names, F.xxhash64(*[f"`{c}`" for c in df.columns]), "_tie"]
+    numbered = number_rows(tied, [F.col(c) if isinstance(c, str) else c for c in order], "_id")
+    first = numbered.groupBy("_c").agg((F.min("_id") - 1).alias("_first"))
+    ranked = _per_class(numbered, *localize(first, SMALL_CLASSES)).withColumn(
+        "_place", F.col("_id") - F.col("_first")
+    )
     chosen = ranked.where(F.col("_place") <= F.col("_take")).select(*df.columns)
     return below.unionByName(chosen)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +26,7 @@ MAX_EMBEDDINGS = 20_000
 WORD_GAP = r"[^\p{L}\p{N}]++"
 RUN = r"\p{IsHan}+|[\p{L}\p{N}&&[^\p{IsHan}]]+"
 HAN_RUN = r"^\p{IsHan}+$"
+HAN = regex.compile(r"\p{Script=Han}")
 
 
 def _grams(word: Column, size: int) -> Column:
@@ -79,8 +81,9 @@ def tokenize(
     """Add an array of tokens. mode="dict" cuts Han runs by the longest word
     of a one-column dictionary table; other text is cut as in unicode mode.
 
-    A checked dictionary goes to every task. A larger one is joined, which
-    needs key, a column unique per row.
+    A checked dictionary goes to every task, a larger one is joined; the tokens are
+    the same. The join finds its rows again by key, a column unique per row, or
+    without one by a number written beside them.
     """
     if mode not in MODES:
         raise ValueError(f"mode is one of {', '.join(MODES)}")
@@ -98,7 +101,8 @@ def tokenize(
     )
     if not small:
         if key is None:
-            raise ValueError(f"over {MAX_DICTIONARY} words need key=, a column unique per row")
+            rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+            return _match_by_join(rows, "_row", runs, held, search, out).drop("_row")
         return _match_by_join(df, key, runs, held, search, out)
     words = df.sparkSession.sparkContext.broadcast(frozenset(r["word"] for r in held.collect()))
 
@@ -115,7 +119,7 @@ def tokenize(
 def _longest_match(runs: Sequence[str], known: frozenset, longest: int, search: bool) -> list[str]:
     tokens: list[str] = []
     for run in runs:
-        if not "㐀" <= run[0] <= "鿿" and ord(run[0]) < 0x20000:
+        if not HAN.match(run):  # the script decides, as in HAN_RUN
             tokens.append(run)
             continue
         at = 0
@@ -193,8 +197,8 @@ def remove_stopwords(
     """Drop exact, case-sensitive matches, keeping order and repeats.
 
     A checked list becomes a hash-set predicate inside the row, without a
-    shuffle. A larger one needs the row key: tokens are exploded, anti-joined
-    and put back in order.
+    shuffle. With a larger one tokens are exploded, anti-joined and put back in order,
+    by the row key or, without one, by a number written beside the rows.
     """
     out = out or tokens
     word = stopwords.columns[0]
@@ -205,7 +209,13 @@ def remove_stopwords(
             return df.withColumn(out, F.col(tokens))
         return df.withColumn(out, F.filter(tokens, lambda t: ~t.isin(listed)))
     if key is None:
-        raise ValueError(f"over {MAX_STOPWORDS} stop words need key=, a column unique per row")
+        rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+        return _without(rows, tokens, stopwords, "_row", out).drop("_row")
+    return _without(df, tokens, stopwords, key, out)
+
+
+def _without(df: DataFrame, tokens: str, stopwords: DataFrame, key: str, out: str) -> DataFrame:
+    word = stopwords.columns[0]
     kept = (
         df.select(key, F.posexplode_outer(tokens).alias("_pos", "_token"))
         .where(F.col("_token").isNotNull())
@@ -215,7 +225,8 @@ def remove_stopwords(
         .select(key, F.col("_kept._token").alias("_kept"))
     )
     none = F.array().cast("array<string>")
-    joined = df.join(kept, key, "left").withColumn(out, F.coalesce("_kept", none))
+    left = F.when(F.col(tokens).isNotNull(), F.coalesce("_kept", none))
+    joined = df.join(kept, key, "left").withColumn(out, left)
     return joined.select(*df.columns, *([] if out in df.columns else [out]))
 
 

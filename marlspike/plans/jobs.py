@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlspike.functions.scalar import merge_text
-from marlspike.models import linear, wide_deep
-from marlspike.models.wide_deep import TrainConfig, WideDeepModel
+from marlspike.models import joint, linear
+from marlspike.models.joint import JointModel, TrainConfig
 from marlspike.operators import evaluate as E
 from marlspike.operators import features as X
 from marlspike.operators import profile as P
@@ -137,7 +137,7 @@ def train_job(
     classes: int,
     item: str,
     user: str | None = None,
-    model_type: str = "wide_n_deep",
+    model_type: str = "joint",
     config: TrainConfig = TrainConfig(),
     train: float = 0.75,
     top: int = 5,
@@ -161,10 +161,10 @@ def train_job(
     else:
         who = user if user else F.lit(1)
         assembled = {k: X.assemble(v, spec, who, item) for k, v in parts.items()}
-        model, history = wide_deep.train_wide_deep(
+        model, history = joint.train_joint(
             assembled["train"], spec, classes, config, model_type, assembled["valid"]
         )
-        predictions = wide_deep.score_pairs(model, assembled["valid"])
+        predictions = joint.score_pairs(model, assembled["valid"])
     return Trained(
         model, history, P.class_distribution(table), predictions, *_top_lists(predictions, top)
     )
@@ -182,9 +182,9 @@ def score_job(
 
     Encode the rows with the dictionaries saved at training time.
     """
-    if isinstance(model, WideDeepModel):
+    if isinstance(model, JointModel):
         who = user if user else F.lit(1)
-        predictions = wide_deep.score_pairs(model, X.assemble(rows, spec, who, item, label=None))
+        predictions = joint.score_pairs(model, X.assemble(rows, spec, who, item, label=None))
     else:
         predictions = linear.score_pairs(model, rows, spec, user, item)
     return (predictions, *_top_lists(predictions, top))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import pyarrow as pa
@@ -23,7 +22,8 @@ RECOMMENDED = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
 }
 
-_local_dirs: dict[str, str] = {}
+# Of sessions in local mode without the setting.
+LOCAL_DIR = "/tmp/checkpoints"
 
 
 def build_session(app: str = "marlspike", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,18 +41,14 @@ def build_session(app: str = "marlspike", master: str | None = None, **conf: str
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by spark.checkpoint.dir.
 
-    Only a local-mode session may fall back to a temporary folder: on a cluster
-    a machine-local path would be lost with its machine.
+    Only a local-mode session, whose executor is this machine, may leave it unset.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.applicationId not in _local_dirs:
-        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="marlspike-")
-    return _local_dirs[context.applicationId]
+    return LOCAL_DIR
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

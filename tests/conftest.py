@@ -15,6 +15,7 @@ def spark():
     session = build_session(
         "tests",
         master="local[8]",
+        spark_checkpoint_dir="/tmp/checkpoints",
         spark_sql_shuffle_partitions="8",
         spark_ui_showConsoleProgress="false",
     )

@@ -31,9 +31,9 @@ def test_f_against_brute_force(spark):
         assert abs(r["f"] - (2 * p * q / (p + q) if p + q else 0.0)) < 1e-12
 
 
-@pytest.mark.parametrize("limit", [1000, 2])
-def test_recommend(spark, monkeypatch, limit):
-    monkeypatch.setattr(E, "GROUP_LIMIT", limit)
+@pytest.mark.parametrize("parts", [256, 2])
+def test_recommend(spark, monkeypatch, parts):
+    monkeypatch.setattr(E, "PARTS", parts)
     rows = [(1, i, i % 2 + 1, (i % 7) / 10) for i in range(50)] + [(2, 5, 1, 0.3)]
     df = spark.createDataFrame(rows, "user_id int, item_id int, prediction int, probability double")
     found = [(r["user_id"], r["item_id"]) for r in E.recommend(df, "user_id", 5).orderBy("user_id", "rank").collect()]
@@ -47,8 +47,6 @@ def test_groups_are_limited_before_the_shuffle(spark, data, capsys):
     E.recommend(orders.selectExpr("o_custkey AS user_id", *cols), "user_id", 5).explain()
     plan = capsys.readouterr().out
     assert "row_number(), 5, Partial" in plan.split("Exchange")[1]
-    E.recommend(orders.selectExpr("1 AS user_id", *cols), "user_id", 5).explain()
-    assert "TakeOrderedAndProject(limit=5" in capsys.readouterr().out
 
 
 def test_strict_threshold_and_disagreements(spark):

@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from marlspike.models import linear, wide_deep as W
+from marlspike.models import linear, joint as W
 from marlspike.models.store import load_model, save_model
 from marlspike.operators import evaluate as E
 from marlspike.operators.features import FeatureSpec, assemble
@@ -63,7 +63,7 @@ def test_gradient(model_type):
 @pytest.fixture(scope="module")
 def trained(assembled):
     config = W.TrainConfig(epochs=12, steps_per_epoch=2, learning_rate=3e-2, decay=1e-5)
-    return W.train_wide_deep(assembled, SPEC, 3, config, valid=assembled)
+    return W.train_joint(assembled, SPEC, 3, config, valid=assembled)
 
 
 def test_loss_falls(trained):
@@ -82,9 +82,9 @@ def test_accuracy_beats_majority(trained, assembled):
 def test_gradient_tree_gives_the_same_model(assembled, monkeypatch, trained):
     monkeypatch.setattr(W, "TREE_ROWS", 0)
     config = W.TrainConfig(epochs=2, steps_per_epoch=2, learning_rate=3e-2, decay=1e-5)
-    tree, _ = W.train_wide_deep(assembled, SPEC, 3, config)
+    tree, _ = W.train_joint(assembled, SPEC, 3, config)
     monkeypatch.setattr(W, "TREE_ROWS", 10**9)
-    flat, _ = W.train_wide_deep(assembled, SPEC, 3, config)
+    flat, _ = W.train_joint(assembled, SPEC, 3, config)
     assert all(np.allclose(tree.params[k], flat.params[k]) for k in flat.params)
 
 
@@ -92,7 +92,7 @@ def test_save_and_load(spark, trained, assembled, monkeypatch):
     monkeypatch.setattr(W, "WEIGHT_CHUNK", 7)
     path = scratch_path(spark, "wnd")
     save_model(trained[0], spark, path)
-    again = load_model(spark, path, "wide_deep")
+    again = load_model(spark, path, "joint")
     one, two = (
         {r["item_id"]: tuple(r["probabilities"]) for r in W.score_pairs(m, assembled).collect()}
         for m in (trained[0], again)
@@ -119,7 +119,7 @@ def test_wide_job(spark, rows):
     assert again.count() == 1200
 
 
-def test_wide_deep_job(rows):
+def test_joint_job(rows):
     config = W.TrainConfig(epochs=2, steps_per_epoch=2, learning_rate=1e-2)
     done = jobs.train_job(rows, SPEC, 3, "id", config=config)
     predictions, user_recs, _ = jobs.score_job(done.model, rows.drop("label"), SPEC, "id")

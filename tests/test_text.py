@@ -45,17 +45,27 @@ def test_dictionary_beyond_the_check(spark, monkeypatch, search):
     joined = T.tokenize(df, "t", mode="dict", dictionary=words, search=search, key="k")
     assert {r["k"]: r["tokens"] for r in joined.collect()} == small
     assert small[2][-1] == "x1" and small[3] == small[4] == []
-    with pytest.raises(ValueError):
-        T.tokenize(df, "t", mode="dict", dictionary=words)
+    unkeyed = T.tokenize(df, "t", mode="dict", dictionary=words, search=search)
+    assert {r["k"]: r["tokens"] for r in unkeyed.collect()} == small
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_one_rule_for_the_script(spark, monkeypatch, limit):
+    """Signs of the script outside the usual code ranges are cut like the others."""
+    monkeypatch.setattr(T, "MAX_DICTIONARY", limit)
+    words = spark.createDataFrame([("〇一",)], "w string")
+    df = spark.createDataFrame([(1, "〇一二 々")], "k int, t string")
+    assert T.tokenize(df, "t", mode="dict", dictionary=words).first()["tokens"] == ["〇一", "二", "々"]
 
 
 @pytest.mark.parametrize("limit", [20_000, 1])
 def test_stopwords_both_ways(spark, monkeypatch, limit):
     monkeypatch.setattr(T, "MAX_STOPWORDS", limit)
-    df = spark.createDataFrame([(1, ["a", "b", "a", "C", "c"]), (2, ["b"]), (3, [])], "k int, tokens array<string>")
+    df = spark.createDataFrame([(1, ["a", "b", "a", "C", "c"]), (2, ["b"]), (3, []), (4, None)], "k int, tokens array<string>")
     stop = spark.createDataFrame([("b",), ("c",), ("c",)], "w string")
-    found = T.remove_stopwords(df, "tokens", stop, key="k").collect()
-    assert {r["k"]: r["tokens"] for r in found} == {1: ["a", "a", "C"], 2: [], 3: []}
+    for key in ("k", None):
+        found = T.remove_stopwords(df, "tokens", stop, key=key).collect()
+        assert {r["k"]: r["tokens"] for r in found} == {1: ["a", "a", "C"], 2: [], 3: [], 4: None}
 
 
 def test_vocabulary(spark):
