@@ -79,13 +79,19 @@ def test_accuracy_beats_majority(trained, assembled):
     assert scored.select(F.max(F.abs(F.aggregate("probabilities", F.lit(0.0), lambda s, p: s + p) - 1))).first()[0] < 1e-9
 
 
-def test_gradient_tree_gives_the_same_model(assembled, monkeypatch, trained):
-    monkeypatch.setattr(W, "TREE_ROWS", 0)
+def test_weights_do_not_depend_on_partitions(assembled, monkeypatch):
+    """Nor on how a gradient is cut into chunks."""
     config = W.TrainConfig(epochs=2, steps_per_epoch=2, learning_rate=3e-2, decay=1e-5)
-    tree, _ = W.train_joint(assembled, SPEC, 3, config)
-    monkeypatch.setattr(W, "TREE_ROWS", 10**9)
-    flat, _ = W.train_joint(assembled, SPEC, 3, config)
-    assert all(np.allclose(tree.params[k], flat.params[k]) for k in flat.params)
+    two, _ = W.train_joint(assembled.repartition(2), SPEC, 3, config)
+    monkeypatch.setattr(W, "WEIGHT_CHUNK", 50)
+    eight, _ = W.train_joint(assembled.repartition(8), SPEC, 3, config)
+    assert all(np.allclose(two.params[k], eight.params[k]) for k in two.params)
+
+
+def test_batch_size_is_kept(assembled):
+    """As many steps as batches, however many."""
+    _, history = W.train_joint(assembled, SPEC, 3, W.TrainConfig(epochs=1, batch_size=40))
+    assert history.where("metric = 'loss'").count() == -(-assembled.count() // 40)
 
 
 def test_save_and_load(spark, trained, assembled, monkeypatch):
