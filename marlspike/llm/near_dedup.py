@@ -4,20 +4,24 @@ A document's set holds the distinct runs of five words; a text of fewer words
 has its whole word sequence as the one member, a text without words none. Sets
 are handled as sorted 64-bit member hashes throughout.
 
-A sketch has 128 registers: the minimum of exponential values over the set,
+A sketch has 512 registers: the minimum of exponential values over the set,
 kept as floor(1 - log_b(minimum)) and truncated to 16 bits. Registers of a
 union are the larger ones of the parts, so sketches merge. Four registers in a
-row are a band; sets that share a band value meet in a bucket. At a similarity
-of 0.75 all 32 bands differ with a probability below 6e-6.
+row are a band, the first 128 make 32 bands; sets that share a band value meet in
+a bucket. At a similarity of 0.75 all bands differ with a probability below 6e-6.
 
-Pairs from buckets pass a likelihood test on the joint distribution of their
-registers (larger, smaller, equal), then their full sets are intersected. Only
-connectivity is asked for, so pairs whose ends are connected already are not
+Only connectivity is asked for, so pairs whose ends are connected already are not
 compared. In each round every bucket that still holds several components picks
-a few members as pivots, compares them with all members of other components and
-retires them; the number of pivots doubles from round to round. A bucket ends
-when one component or no member is left, so every pair of a bucket is decided
-and no bucket is ever gathered or expanded into all its pairs.
+members as pivots, those of its smallest components first, and compares them with
+members of other components. At first a pivot is compared with the few members of
+a component that look most alike, as one link is enough; in the last rounds with
+all of them, and then the pivots leave the bucket. The number of pivots is
+multiplied from round to round, and a bucket ends when it holds one component, so
+every pair of a bucket is decided. Buckets are dealt out in chunks of CHUNK
+members with a copy of the pivots. A pair is looked at in one bucket only, that of
+the first band on which its sketches agree. There it must pass a likelihood test on
+the joint distribution of the registers (larger, smaller, equal), and only then are
+the two full sets intersected.
 
 Defined results: null and empty texts have n_shingles 0 and stand alone. Rows
 of equal sets are one class and are compared once. Rows that repeat an id are
@@ -28,6 +32,7 @@ without any id has a null component_id. Further columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,17 +44,19 @@ from marlspike.llm.components import components
 from marlspike.session import materialize
 
 WORDS = 5
-REGISTERS, BAND = 128, 4
+REGISTERS, BAND, BANDS = 512, 4, 32
 BASE, RATE, TOP = 1.02, 20.0, 2**16 - 1
 EARLY_BANDS = 8  # the first round looks at these alone: most links show there
-PAIRS_UP_TO = 8  # buckets of so many members are compared in full at once
+#: Of the first rounds: pivots of a bucket, and members of another component that a
+#: pivot is compared with (0: all); later rounds have 16 times the pivots and compare all.
+ROUNDS = [(4, 0), (64, 2), (1024, 2), (64, 0)]
+CHUNK = 2000
 #: Log-likelihood by which a pair must fall short of the best estimate to be
-#: passed over unverified: a true link does so about once in 10**8.
-MARGIN = 16.0
+#: passed over unverified: a pair right at the threshold does so about once in 10**5.
+MARGIN = 9.0
 
 _rng = np.random.default_rng(7)
-_FACTOR = _rng.integers(0, 2**63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFT = _rng.integers(0, 2**63, REGISTERS, dtype=np.uint64)
+_FACTOR = _rng.integers(0, 2**31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _PLACE = _rng.integers(0, 2**63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -76,11 +83,12 @@ def shingle_sets(texts: pa.Array, words: int = WORDS):
 
 def registers(members: np.ndarray) -> np.ndarray:
     """The sketch of a set that has members."""
-    least = np.full(REGISTERS, 2**64 - 1, np.uint64)
-    for start in range(0, len(members), 512):
-        block = members[start : start + 512, None] * _FACTOR + _SHIFT
+    short = (members >> np.uint64(32)).astype(np.uint32)
+    least = np.full(REGISTERS, 2**32 - 1, np.uint32)
+    for start in range(0, len(short), 256):
+        block = short[start : start + 256, None] * _FACTOR  # each an order of all 32-bit values
         np.minimum(least, block.min(axis=0), out=least)
-    uniform = (least.astype(np.float64) + 0.5) / 2.0**64
+    uniform = (least.astype(np.float64) + 0.5) / 2.0**32
     value = -np.log1p(-np.minimum(uniform, 1 - 2.0**-53)) / RATE
     return np.clip(np.floor(1 - np.log(value) / np.log(BASE)), 0, TOP).astype(np.uint16)
 
@@ -156,16 +164,78 @@ def _sets(words: int):
     return run
 
 
-def _test_sketches(least: float):
+def group_pairs(pivot, node, label, size, band, sketch, percent: int, most: int):
+    """(a, b) of a chunk's pairs of a pivot and a member that need verification; `most`,
+    if not 0: of a pivot and another component the pairs with the most equal registers."""
+    one, two = np.flatnonzero(pivot), np.flatnonzero(pivot | ~np.isin(node, node[pivot]))
+    p, m = np.nonzero(
+        (label[one][:, None] != label[two][None, :])
+        & (~pivot[two][None, :] | (node[one][:, None] < node[two][None, :]))
+    )
+    p, m = one[p], two[m]
+    low, high = np.minimum(size[p], size[m]), np.maximum(size[p], size[m])
+    fits = 100 * low >= percent * high
+    p, m = p[fits], m[fits]
+    out = []
+    for start in range(0, len(p), 10_000):
+        x, y = p[start : start + 10_000], m[start : start + 10_000]
+        head = sketch[x, : BANDS * BAND] == sketch[y, : BANDS * BAND]
+        first = head.reshape(len(x), BANDS, BAND).all(axis=2).argmax(axis=1) == band
+        x, y = x[first], y[first]
+        alike = (sketch[x] == sketch[y]).sum(axis=1)
+        # equal registers are about as many as the similarity says; this far below
+        # the threshold (ten standard deviations) the likelihood need not be asked
+        close = alike >= REGISTERS * (percent / 100 - 0.2)
+        x, y, alike = x[close], y[close], alike[close]
+        if len(x):
+            good = likely(sketch[x], sketch[y], size[x], size[y], percent / 100)
+            out.append(np.stack([x[good], y[good], alike[good]], axis=1))
+    if not out:
+        return np.zeros((0, 2), np.int64)
+    x, y, alike = np.concatenate(out).T
+    if most:
+        order = np.lexsort((y, -alike, label[y], x))
+        x, y = x[order], y[order]
+        new = np.append(True, (np.diff(x) != 0) | (np.diff(label[y]) != 0))
+        place = np.arange(len(x)) - np.maximum.accumulate(np.where(new, np.arange(len(x)), 0))
+        x, y = x[place < most], y[place < most]
+    return np.stack([node[x], node[y]], axis=1)
+
+
+def _chunk_pairs(percent: int, most: int):
+    """Rows of chunks, one chunk after the other, to the pairs to verify."""
+
+    def columns(table):
+        names = ("bucket", "chunk", "pivot", "node", "label", "n", "band")
+        held = {c: table.column(c).to_numpy() for c in names}
+        data = b"".join(table.column("sketch").to_pylist())
+        return held, np.frombuffer(data, np.uint16).reshape(-1, REGISTERS)
+
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                one, two = (
-                    np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS)
-                    for c in ("sketch_a", "sketch_b")
+        waiting = None
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                table = pa.Table.from_batches([batch])
+                waiting = table if waiting is None else pa.concat_tables([waiting, table])
+            if waiting is None or not waiting.num_rows:
+                continue
+            held, sketch = columns(waiting)
+            new = (np.diff(held["bucket"]) != 0) | (np.diff(held["chunk"]) != 0)
+            edges = np.concatenate([[0], np.flatnonzero(new) + 1, [waiting.num_rows]])
+            if batch is not None:
+                edges = edges[:-1]  # the last chunk may go on in the next batch
+            found = [np.zeros((0, 2), np.int64)]
+            for lo, hi in zip(edges[:-1], edges[1:]):
+                part = slice(lo, hi)
+                found.append(
+                    group_pairs(
+                        held["pivot"][part] == 0, held["node"][part], held["label"][part],
+                        held["n"][part], held["band"][lo], sketch[part], percent, most,
+                    )
                 )
-                sizes = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
-                yield batch.select(["a", "b"]).filter(pa.array(likely(one, two, *sizes, least)))
+            waiting = waiting.slice(int(edges[-1]))
+            pairs = np.concatenate(found)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     return run
 
@@ -184,13 +254,13 @@ def _confirm(percent: int):
 
 
 def open_rows(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members (bucket, node) of buckets that hold several components, with their
-    label and `own`, the number of members of that component in the bucket."""
+    """Members (bucket, band, node) of buckets that hold several components, with their
+    label, `own`, the members of that component in the bucket, and the bucket's size."""
     if labels is None:
         held = members.withColumn("label", F.col("node"))
     else:
         held = members.join(labels, "node", "left").select(
-            "bucket", "node", F.coalesce("label", "node").alias("label")
+            "bucket", "band", "node", F.coalesce("label", "node").alias("label")
         )
     parts = held.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("own"))
     whole = parts.groupBy("bucket").agg(F.sum("own").alias("size"), F.count(F.lit(1)).alias("labels"))
@@ -198,19 +268,33 @@ def open_rows(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return held.join(parts.join(several, "bucket"), ["bucket", "label"])
 
 
-def choose_pivots(rows: DataFrame, pivots: int, full: int) -> DataFrame:
-    """(bucket, pivot, pivot_label): all members of buckets of up to `full`, else
-    `pivots` of them, those of the smallest components first. The ranking is cut
-    to so many rows a bucket in every task before anything is moved."""
+def choose_pivots(rows: DataFrame, pivots: int) -> DataFrame:
+    """The rows of `pivots` members of each bucket, those of its smallest components
+    first. The ranking is cut to so many rows a bucket in every task."""
     order = Window.partitionBy("bucket").orderBy("own", "node")
     return (
         rows.withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= max(pivots, full))
-        .filter((F.col("size") <= full) | (F.col("place") <= pivots))
-        .select("bucket", F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
+        .filter(F.col("place") <= pivots)
+        .drop("place")
     )
 
 
+def likely_pairs(
+    rows: DataFrame, chosen: DataFrame, classes: DataFrame, percent: int, most: int
+) -> DataFrame:
+    """Pairs (a, b) of a chosen member and another of its bucket, of different
+    components, whose sketches allow for the similarity."""
+    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
+    names = ["bucket", "chunk", "pivot", "node", "label", "band"]
+    picked = chosen.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1))).withColumn("pivot", F.lit(0))
+    # the pivots come a second time as members; group_pairs passes those over
+    every = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int")).withColumn("pivot", F.lit(1))
+    dealt = picked.select(names).unionByName(every.select(names))
+    dealt = dealt.join(classes.select("node", "n", "sketch"), "node")
+    dealt = dealt.repartition("bucket", "chunk").sortWithinPartitions("bucket", "chunk", "pivot")
+    return dealt.select(*names, "n", "sketch").mapInArrow(_chunk_pairs(percent, most), "a long, b long").distinct()
+
+
 def merge_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     """labels (node, label) after the links (a, b) join their components."""
     if labels is None:
@@ -250,17 +334,16 @@ def near_classes(
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    bands = REGISTERS // BAND
     banded = classes.select(
         "node",
         F.posexplode(
             F.array(
-                *[F.xxhash64(F.lit(i), F.substring("sketch", 2 * BAND * i + 1, 2 * BAND)) for i in range(bands)]
+                *[F.xxhash64(F.lit(i), F.substring("sketch", 2 * BAND * i + 1, 2 * BAND)) for i in range(BANDS)]
             )
         ).alias("band", "bucket"),
     )
     met = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = materialize(banded.join(met.select("bucket"), "bucket"), "members")
+    members = materialize(banded.join(met.select("bucket"), "bucket").select("bucket", "band", "node"), "members")
 
     active = members.select("node").distinct().join(classes, "node").select("node", "cls", "doc")
     holds = active.withColumnRenamed("doc", "own")
@@ -269,28 +352,27 @@ def near_classes(
         texts.mapInArrow(_sets(words), "node long, members binary").dropDuplicates(["node"]), "sets"
     )
 
-    labels = None
-    waiting = members.filter(F.col("band") >= EARLY_BANDS).select("bucket", "node")
-    rest, pivots = members.filter(F.col("band") < EARLY_BANDS).select("bucket", "node"), 1
+    labels, ahead = None, list(ROUNDS)
+    rest = members.filter(F.col("band") < EARLY_BANDS)
+    late = members.filter(F.col("band") >= EARLY_BANDS)
     while True:
+        first = len(ahead) == len(ROUNDS)
         undecided = materialize(open_rows(rest, labels), "open")
-        if undecided.isEmpty() and waiting is None:
+        if undecided.isEmpty() and not first:
             break
-        chosen = materialize(choose_pivots(undecided, pivots, PAIRS_UP_TO), "pivots")
-        pairs = (
-            undecided.join(chosen, "bucket")
-            .filter("label <> pivot_label")
-            .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-            .distinct()
-        )
-        links = materialize(verified(pairs, classes, sets, percent), "links")
+        pivots, most = ahead.pop(0)
+        if not ahead:
+            ahead.append((16 * pivots, 0))
+        chosen = materialize(choose_pivots(undecided, pivots), "pivots")
+        pairs = materialize(likely_pairs(undecided, chosen, classes, percent, most), "pairs")
+        links = materialize(verified(pairs, sets, percent), "links")
         if not links.isEmpty():
             labels = merge_labels(labels, links)
-        used = chosen.select("bucket", F.col("pivot").alias("node"))
-        rest = undecided.select("bucket", "node").join(used, ["bucket", "node"], "left_anti")
-        if waiting is not None:
-            rest, waiting = rest.unionByName(waiting), None
-        pivots = max(PAIRS_UP_TO, 2 * pivots)
+        rest = undecided.select("bucket", "band", "node")
+        if not most:
+            rest = rest.join(chosen.select("bucket", "node"), ["bucket", "node"], "left_anti")
+        if first:
+            rest = rest.unionByName(late)
     if labels is None:
         labels = classes.select("node", F.col("node").alias("label"))
     named = classes.join(labels, "node", "left").select(
@@ -304,20 +386,12 @@ def near_classes(
     )
 
 
-def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity."""
     for side in ("a", "b"):
-        own = classes.select(
-            F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")
-        )
+        own = sets.select(F.col("node").alias(side), F.col("members").alias(f"set_{side}"))
         pairs = pairs.join(own, side)
-    near = pairs.filter(
-        100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    ).select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
-    near = near.mapInArrow(_test_sketches(percent / 100), "a long, b long")
-    for side in ("a", "b"):
-        near = near.join(sets.select(F.col("node").alias(side), F.col("members").alias(f"set_{side}")), side)
-    return near.select("a", "b", "set_a", "set_b").mapInArrow(_confirm(percent), "a long, b long")
+    return pairs.select("a", "b", "set_a", "set_b").mapInArrow(_confirm(percent), "a long, b long")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
