@@ -180,7 +180,7 @@ def word_scores(model: Model, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     index, feature, letters = word_features(words)
     scores = np.stack(
         [np.bincount(index, model.weights[feature, k], len(words)) for k in range(len(model.languages))], axis=1
-    )
+    ).astype(float)
     place, found = lexicon_rows(model.lexicon, hash_strings(words))
     found &= letters
     scores[found] += model.member[place[found]] @ model.lexicon_weights
@@ -302,16 +302,20 @@ def fit_shard(texts: pa.Array, langs: list[str], languages: list[str], seed: int
 
 
 def training_sample(labelled: DataFrame, per_language: int) -> DataFrame:
-    """At most per_language texts of each language (doc, text, lang), by a hash of the id.
+    """At most per_language ids of each language, by a hash of the id, with their texts
+    (doc, text, lang).
 
-    Languages are thinned by their counts first, so few rows reach the ranking."""
-    rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    The ids are chosen from rows without texts, and languages are thinned by their counts
+    first, so few rows reach the ranking; the chosen ids are broadcast to the texts."""
+    held = labelled.filter(F.col("lang").isNotNull() & F.col("doc").isNotNull())
+    named = held.filter(F.col("text").rlike(r"\p{L}")).select("doc", "lang").distinct()
     order = F.xxhash64("doc", F.lit(11))
-    counts = labelled.filter(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    counts = held.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
     part = (order.bitwiseAND(F.lit(2**31 - 1)) / F.lit(float(2**31))) * F.col("rows")
-    near = rows.join(counts, "lang").filter(part < 4.0 * per_language).withColumn("order", order)
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc", "text"))
-    return near.withColumn("place", place).filter(F.col("place") <= per_language).select("doc", "text", "lang")
+    near = named.join(counts, "lang").filter(part < 4.0 * per_language).withColumn("order", order)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc"))
+    chosen = near.withColumn("place", place).filter(F.col("place") <= per_language).select("doc", "lang")
+    return held.join(F.broadcast(chosen), ["doc", "lang"]).select("doc", "text", "lang")
 
 
 def train(
