@@ -83,13 +83,13 @@ def vocab_whole(spark: SparkSession, d: str) -> DataFrame:
 
 def wide_tokens(spark: SparkSession, d: str) -> DataFrame:
     cut = _cut_documents(spark, d)
-    vocab = text.build_vocab(cut, "tokens", max_words=5000)
+    vocab = text.build_vocab(cut, "tokens")
     return text.tokens_to_wide(cut, "doc_id", "tokens", vocab, n=40)
 
 
 WIDE_COLS = ", ".join(f"coalesce(max(CASE WHEN pos = {i + 1} THEN idx END), 0)::INT AS wide{i}" for i in range(40))
 TOKENS_WIDE = f"""
-WITH {CUT}, {WORDS}, {COUNTS}, {_vocab_sql("rn <= 5000")},
+WITH {CUT}, {WORDS}, {COUNTS}, {_vocab_sql()},
 p AS (SELECT doc_id, unnest(tokens[1:40]) AS token, generate_subscripts(tokens[1:40], 1) AS pos FROM cut)
 SELECT cut.doc_id, {WIDE_COLS} FROM cut
 LEFT JOIN p ON p.doc_id = cut.doc_id LEFT JOIN vocab ON vocab.token = p.token GROUP BY 1
@@ -165,7 +165,9 @@ UNION ALL SELECT line, 'line' FROM lines
 
 def prepared(spark: SparkSession, d: str) -> DataFrame:
     documents, labels = tables(spark, d, "documents", "labels")
-    held = documents.where(F.col("lang") != "de")
+    # German texts get ids that no label has
+    own = F.when(F.col("lang") == "de", -F.col("doc_id") - 1).otherwise(F.col("doc_id"))
+    held = documents.withColumn("doc_id", own)
     return text.prepare_text(labels, held, "doc_id", ["source", "lang", "text"], "toxic")
 
 
@@ -174,7 +176,8 @@ SELECT doc_id, toxic AS label,
   CASE WHEN text IS NULL THEN '' ELSE source || ',' || lang || ',' ||
     CASE WHEN regexp_matches(text, '^[\\s\\p{{Z}}]*$') THEN '' ELSE text END END AS text,
   (row_number() OVER (ORDER BY doc_id))::VARCHAR AS id
-FROM labels LEFT JOIN (SELECT * FROM documents WHERE lang <> 'de') USING (doc_id)
+FROM labels LEFT JOIN (
+  SELECT CASE WHEN lang = 'de' THEN -doc_id - 1 ELSE doc_id END AS doc_id, source, lang, text FROM documents) USING (doc_id)
 """
 
 
