@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -23,10 +25,13 @@ def tables(spark: SparkSession, directory: str, *names: str) -> list[DataFrame]:
 
 
 def derive(spark: SparkSession, directory: str, sql: str, *names: str) -> DataFrame:
-    """A table derived from the given ones by SQL that both engines read."""
+    """A table derived from the given ones by SQL that both engines read. The views it
+    reads have names of their own, so that none of the caller's is replaced."""
+    own = uuid.uuid4().hex
     for name in names:
-        load_table(spark, directory, name).createOrReplaceTempView(name)
-    return spark.sql(sql)
+        load_table(spark, directory, name).createOrReplaceTempView(f"{name}_{own}")
+    listed = "|".join(names)
+    return spark.sql(re.sub(rf"(?i)\b(FROM|JOIN)(\s+)({listed})\b", rf"\1\2\3_{own}", sql))
 
 
 def sql_hash(key: str, seed: int) -> str:
