@@ -393,7 +393,7 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
     return rows.mapInArrow(run, f"doc {kind}, lang_pred string, score double, n_words long")
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float = 0.3, text: str = "text") -> DataFrame:
+def keep_identified(docs: DataFrame, model: Model, least: float = 0.2, text: str = "text") -> DataFrame:
     """docs, all columns, without texts that are `und` or whose score is below `least`."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     column = docs.columns.index(text)
