@@ -4,7 +4,7 @@ Each stage is a function of (spark, docs, sf_dir) whose result is written as
 Parquet and read again as the next stage's docs. All but the last return the
 columns of documents.
 
-1. language_id drops texts without a letter, or of so many languages that none has a fifth.
+1. language_id drops texts without a letter, or in none of the learned languages.
 2. exact_dedup keeps one of the documents whose texts are equal but for A-Z case.
 3. near_dedup keeps one document of each component of near duplicates.
 4. mixing takes the tokens that the target weights allow from each source.

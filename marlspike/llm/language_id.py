@@ -12,7 +12,8 @@ Training uses a bounded sample: at most `per_language` texts of each language,
 chosen by a hash of their id. It is dealt over `shards` tasks; each maximises the
 likelihood of its own part by adaptive gradient steps, and Spark averages their
 weights. What is broadcast are these averages: at most 2**BITS rows of one float
-a language and the lexicons of at most LEXICON words a language.
+a language, the lexicons of at most LEXICON words a language, and the character
+trigrams that the sample has in each language.
 
 All texts of a batch form one chain that is cut into equal blocks: the blocks'
 transfer matrices are computed side by side, messages pass between blocks, and a
@@ -22,6 +23,15 @@ A text's language is the one with the largest share of word probabilities, and
 that share is its score. Defined results: a null or empty text, or one without a
 letter, is `und` with score 0. Ties go to the first language by name. With no
 labelled text at all, every text is `und`. Further columns are ignored.
+
+The score compares learned languages with each other: shares add up to 1, so it says
+nothing about a text in none of them. keep_identified() therefore asks for evidence
+that does not depend on their number. A word is supported if at least SUPPORT of its
+trigrams occur in the sample of the language that the field gives it (digits count as
+one character, punctuation as a word's end). A text is dropped if the share of its
+lettered words that are supported is below `least` beyond doubt, that is with the
+upper end of Wilson's interval; less than four words are never enough to drop a text.
+A language that is written much like a learned one may pass.
 """
 
 from __future__ import annotations
@@ -43,6 +53,9 @@ SHARDS = 6
 EPOCHS = 4
 BLOCK = 128  # words of a chain that are handled one after the other
 UNDETERMINED = "und"
+SUPPORT = 2 / 3  # of a word's trigrams
+LEAST = 0.5  # of a text's words that are supported
+DOUBT = 1.96  # standard deviations
 
 _MARK = 1  # stands before and after each word
 
@@ -55,6 +68,8 @@ class Model:
     member: np.ndarray  # their languages, a row of 0 and 1 for each word
     lexicon_weights: np.ndarray  # language of the lexicon by language of the label
     transitions: np.ndarray
+    known: np.ndarray  # sorted trigrams
+    known_member: np.ndarray  # their languages, as in member
 
 
 def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -111,6 +126,20 @@ def word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return index[keep], feature[keep], letters
 
 
+def word_trigrams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(word index, trigram) pairs, one for each character that is not punctuation."""
+    plain = pc.replace_substring_regex(words, r"\pN", "0")
+    plain = pc.replace_substring_regex(plain, r"[\pP\pS]", " ")
+    joined = "\n" + "\n".join(plain.to_pylist()) + "\n"  # words hold no white space
+    code = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    line = code == ord("\n")
+    owner = np.cumsum(line) - 1
+    code[line | (code == ord(" "))] = _MARK
+    spot = np.flatnonzero(code[1:-1] != _MARK) + 1
+    bits = np.uint64(21)  # of a code point
+    return owner[spot], (code[spot - 1] << bits | code[spot]) << bits | code[spot + 1]
+
+
 def lexicon_rows(lexicon: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place, found) of hashes in the lexicon."""
     if len(lexicon) == 0:
@@ -187,13 +216,29 @@ def word_scores(model: Model, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return scores, letters
 
 
+def word_support(model: Model, words: pa.Array) -> np.ndarray:
+    """Whether each word has SUPPORT of its trigrams in each language."""
+    owner, trigram = word_trigrams(words)
+    place, found = lexicon_rows(model.known, trigram)
+    owner_found, place = owner[found], place[found]
+    total = np.bincount(owner, minlength=len(words))
+    hits = [np.bincount(owner_found, model.known_member[place, k], len(words)) for k in range(len(model.languages))]
+    return np.stack(hits, axis=1) >= np.maximum(SUPPORT * total, 1)[:, None] - 1e-9
+
+
 def judge(model: Model, texts: pa.Array) -> tuple[list, np.ndarray, np.ndarray]:
     """(language, score, words with a letter) of each text."""
+    return weigh(model, texts)[:3]
+
+
+def weigh(model: Model, texts: pa.Array) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
+    """What judge() returns, and how many of the words with a letter are supported."""
     offsets, words = split_words(texts)
     count = len(offsets) - 1
     labels = len(model.languages)
     share = np.zeros((count, labels))
     real = np.zeros(count, np.int64)
+    backed = np.zeros(count)
     if len(words) and labels:
         coded = words.dictionary_encode()
         code = coded.indices.to_numpy()
@@ -206,10 +251,19 @@ def judge(model: Model, texts: pa.Array) -> tuple[list, np.ndarray, np.ndarray]:
         for k in range(labels):
             share[:, k] = np.bincount(owner, found[counted, k], count)
         real = np.bincount(owner, minlength=count)
+        support = word_support(model, coded.dictionary)[code[counted]]
+        backed = np.bincount(owner, (found[counted] * support).sum(axis=1), count)
     score = np.where(real > 0, share.max(axis=1, initial=0) / np.maximum(real, 1), 0.0)
     best = share.argmax(axis=1) if labels else np.zeros(count, int)
     names = [model.languages[b] if n else UNDETERMINED for b, n in zip(best, real)]
-    return names, np.minimum(score, 1.0), real
+    return names, np.minimum(score, 1.0), real, backed
+
+
+def upper_share(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """The upper end of Wilson's interval for a share of whole; 1 of nothing."""
+    whole = np.maximum(whole, 1e-9)
+    share, spread = part / whole, DOUBT**2 / whole
+    return (share + spread / 2 + np.sqrt(spread * (share * (1 - share) + spread / 4).clip(0))) / (1 + spread)
 
 
 def _spliced(lengths: np.ndarray, labels: np.ndarray, rng) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -298,7 +352,12 @@ def fit_shard(texts: pa.Array, langs: list[str], languages: list[str], seed: int
             grad = (seen - pairs) / size - 1e-6 * move
             squares[2] += grad**2
             move += 0.1 * grad / np.sqrt(squares[2])
-    return Model(languages, weights, lexicon, member, lex, move)
+    owner, trigram = word_trigrams(names)
+    known, back = np.unique(trigram, return_inverse=True)
+    has = np.zeros((len(known), count))
+    for k in range(count):
+        has[back[(table[:, k] > 0)[owner]], k] = 1
+    return Model(languages, weights, lexicon, member, lex, move, known, has)
 
 
 def training_sample(labelled: DataFrame, per_language: int) -> DataFrame:
@@ -346,6 +405,7 @@ def train(
             (1, np.arange(count), model.lexicon_weights),
             (2, np.arange(count), model.transitions),
             (3, model.lexicon.view(np.int64), model.member),
+            (4, model.known.view(np.int64), model.known_member),
         ]
         return pa.table(
             {
@@ -363,16 +423,21 @@ def train(
     weights = np.zeros((2**BITS, count), np.float32)
     small = [np.zeros((count, count)) for _ in range(2)]
     lexicon, member = np.zeros(0, np.uint64), np.zeros((0, count))
+    known, known_member = lexicon, member
     if found is not None and found.num_rows:
         kind, place = found.column("kind").to_numpy(), found.column("place").to_numpy()
         value = np.stack([found.column(f"v{k}").to_numpy() for k in range(count)], axis=1)
         weights[place[kind == 0]] = value[kind == 0] / shards
         for k in (0, 1):
             small[k][place[kind == k + 1]] = value[kind == k + 1] / shards
-        order = np.argsort(place[kind == 3].view(np.uint64))
-        lexicon = place[kind == 3].view(np.uint64)[order]
-        member = (value[kind == 3][order] > 0).astype(float)
-    return Model(languages, weights, lexicon, member, small[0], small[1])
+
+        def listed(which):
+            order = np.argsort(place[kind == which].view(np.uint64))
+            return place[kind == which].view(np.uint64)[order], (value[kind == which][order] > 0).astype(float)
+
+        lexicon, member = listed(3)
+        known, known_member = listed(4)
+    return Model(languages, weights, lexicon, member, small[0], small[1], known, known_member)
 
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -393,8 +458,9 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
     return rows.mapInArrow(run, f"doc {kind}, lang_pred string, score double, n_words long")
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float = 0.2, text: str = "text") -> DataFrame:
-    """docs, all columns, without texts that are `und` or whose score is below `least`."""
+def keep_identified(docs: DataFrame, model: Model, least: float = LEAST, text: str = "text") -> DataFrame:
+    """docs, all columns, without texts that are `und` or whose share of supported words
+    is below `least` beyond doubt."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     column = docs.columns.index(text)
 
@@ -402,8 +468,8 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.2, text: str
         for batch in batches:
             plain = pa.RecordBatch.from_arrays([batch.column(column), pa.array(np.arange(batch.num_rows))], ["text", "row"])
             for part in slices(plain, "text", 2_000_000):
-                _, score, real = judge(sent.value, part.column("text"))
-                rows = part.column("row").filter(pa.array((real > 0) & (score >= least)))
+                _, _, real, backed = weigh(sent.value, part.column("text"))
+                rows = part.column("row").filter(pa.array((real > 0) & (upper_share(backed, real) >= least)))
                 yield batch.take(rows)
 
     return docs.mapInArrow(run, docs.schema)

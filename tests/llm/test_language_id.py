@@ -119,3 +119,14 @@ def test_the_sample_is_bounded(spark, rows):
     frame = docs(spark, rows).select(F.col("doc_id").alias("doc"), "text", "lang")
     sizes = {r.lang: r["count"] for r in L.training_sample(frame, 20).groupBy("lang").count().collect()}
     assert sizes == {"aa": 20, "bb": 20, "cc": 20}
+
+
+def test_texts_in_no_learned_language_are_dropped(spark, model):
+    rng = random.Random(4)
+    soup = " ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(7)) for _ in range(60))
+    mixed = " ".join(sentence(rng, lang, 8) for lang in WORDS)
+    strange = [(1, soup), (2, "όλοι οι άνθρωποι γεννιούνται ελεύθεροι"), (3, "x9f3 a0c4 77fe b1d2 c9c9 e0e1")]
+    clean = [(4, mixed), (5, mixed.upper().replace(" ", "!! ")), (6, sentence(rng, "cc", 40))]
+    _, score, _ = L.judge(model, pa.array([soup]))
+    assert score[0] >= 1 / 3  # the score cannot tell
+    assert {r.doc_id for r in L.keep_identified(docs(spark, strange + clean), model).collect()} == {4, 5, 6}
