@@ -16,9 +16,10 @@ members as pivots, those of its smallest components first, and compares them wit
 members of other components. At first a pivot is compared with the few members of
 a component that look most alike, as one link is enough; in the last rounds with
 all of them, and then the pivots leave the bucket. The number of pivots is
-multiplied from round to round, and a bucket ends when it holds one component, so
-every pair of a bucket is decided. Buckets are dealt out in chunks of CHUNK
-members with a copy of the pivots. A pair is looked at in one bucket only, that of
+multiplied from round to round up to MOST_PIVOTS, and a bucket ends when it holds one
+component, so every pair of a bucket is decided. A bucket is dealt out in groups of a
+block of at most BLOCK pivots and a chunk of about CHUNK members; two pivots meet in
+one of these groups only. A pair is looked at in one bucket only, that of
 the first band on which its sketches agree. There it must pass a likelihood test on
 the joint distribution of the registers (larger, smaller, equal), and only then are
 the two full sets intersected.
@@ -48,9 +49,12 @@ REGISTERS, BAND, BANDS = 512, 4, 32
 BASE, RATE, TOP = 1.02, 20.0, 2**16 - 1
 EARLY_BANDS = 8  # the first round looks at these alone: most links show there
 #: Of the first rounds: pivots of a bucket, and members of another component that a
-#: pivot is compared with (0: all); later rounds have 16 times the pivots and compare all.
+#: pivot is compared with (0: all); later rounds have 16 times the pivots, up to
+#: MOST_PIVOTS, and compare all.
 ROUNDS = [(4, 0), (64, 2), (1024, 2), (64, 0)]
-CHUNK = 2000
+MOST_PIVOTS = 16384
+CHUNK, BLOCK = 2000, 1024
+SALTS = 32  # parts of a bucket that are ranked on their own first
 #: Log-likelihood by which a pair must fall short of the best estimate to be
 #: passed over unverified: a pair right at the threshold does so about once in 10**5.
 MARGIN = 9.0
@@ -164,13 +168,14 @@ def _sets(words: int):
     return run
 
 
-def group_pairs(pivot, node, label, size, band, sketch, percent: int, most: int):
-    """(a, b) of a chunk's pairs of a pivot and a member that need verification; `most`,
-    if not 0: of a pivot and another component the pairs with the most equal registers."""
-    one, two = np.flatnonzero(pivot), np.flatnonzero(pivot | ~np.isin(node, node[pivot]))
+def group_pairs(pivot, same, node, label, size, band, sketch, percent: int, most: int):
+    """(a, b) of a group's pairs of a pivot and a member that need verification; same: of
+    the members, those that are pivots of this block too. `most`, if not 0: of a pivot and
+    another component the pairs with the most equal registers."""
+    one, two = np.flatnonzero(pivot), np.flatnonzero(~pivot)
     p, m = np.nonzero(
         (label[one][:, None] != label[two][None, :])
-        & (~pivot[two][None, :] | (node[one][:, None] < node[two][None, :]))
+        & (~same[two][None, :] | (node[one][:, None] < node[two][None, :]))
     )
     p, m = one[p], two[m]
     low, high = np.minimum(size[p], size[m]), np.maximum(size[p], size[m])
@@ -203,10 +208,10 @@ def group_pairs(pivot, node, label, size, band, sketch, percent: int, most: int)
 
 
 def _chunk_pairs(percent: int, most: int):
-    """Rows of chunks, one chunk after the other, to the pairs to verify."""
+    """Rows of groups, one group after the other, to the pairs to verify."""
 
     def columns(table):
-        names = ("bucket", "chunk", "pivot", "node", "label", "n", "band")
+        names = ("bucket", "block", "chunk", "pivot", "own_block", "node", "label", "n", "band")
         held = {c: table.column(c).to_numpy() for c in names}
         data = b"".join(table.column("sketch").to_pylist())
         return held, np.frombuffer(data, np.uint16).reshape(-1, REGISTERS)
@@ -220,17 +225,18 @@ def _chunk_pairs(percent: int, most: int):
             if waiting is None or not waiting.num_rows:
                 continue
             held, sketch = columns(waiting)
-            new = (np.diff(held["bucket"]) != 0) | (np.diff(held["chunk"]) != 0)
+            new = np.any([np.diff(held[c]) != 0 for c in ("bucket", "block", "chunk")], axis=0)
             edges = np.concatenate([[0], np.flatnonzero(new) + 1, [waiting.num_rows]])
             if batch is not None:
-                edges = edges[:-1]  # the last chunk may go on in the next batch
+                edges = edges[:-1]  # the last group may go on in the next batch
             found = [np.zeros((0, 2), np.int64)]
             for lo, hi in zip(edges[:-1], edges[1:]):
                 part = slice(lo, hi)
                 found.append(
                     group_pairs(
-                        held["pivot"][part] == 0, held["node"][part], held["label"][part],
-                        held["n"][part], held["band"][lo], sketch[part], percent, most,
+                        held["pivot"][part] == 0, held["own_block"][part] == held["block"][part],
+                        held["node"][part], held["label"][part], held["n"][part], held["band"][lo],
+                        sketch[part], percent, most,
                     )
                 )
             waiting = waiting.slice(int(edges[-1]))
@@ -270,29 +276,54 @@ def open_rows(members: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 def choose_pivots(rows: DataFrame, pivots: int) -> DataFrame:
     """The rows of `pivots` members of each bucket, those of its smallest components
-    first. The ranking is cut to so many rows a bucket in every task."""
-    order = Window.partitionBy("bucket").orderBy("own", "node")
+    first, with the block that they are in. A bucket's rows are ranked in SALTS parts
+    first, so its last ranking gets at most SALTS times `pivots` rows."""
+    part = Window.partitionBy("bucket", "salt").orderBy("own", "node")
+    whole = Window.partitionBy("bucket").orderBy("own", "node")
     return (
-        rows.withColumn("place", F.row_number().over(order))
+        rows.withColumn("salt", F.pmod(F.xxhash64("node", F.lit(5)), F.lit(SALTS)))
+        .withColumn("place", F.row_number().over(part))
         .filter(F.col("place") <= pivots)
-        .drop("place")
+        .withColumn("place", F.row_number().over(whole))
+        .filter(F.col("place") <= pivots)
+        .withColumn("own_block", F.floor((F.col("place") - 1) / BLOCK).cast("int"))
+        .drop("place", "salt")
     )
 
 
+def deal(rows: DataFrame, chosen: DataFrame, pivots: int) -> DataFrame:
+    """(bucket, block, chunk, pivot, own_block, node, label, band): groups of a block of
+    the chosen (pivot 0) and a chunk of members (pivot 1). Of two chosen, the one of the
+    later block is the member, so they meet in one group."""
+    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
+    blocks = F.ceil(F.least(F.col("size"), F.lit(pivots)) / BLOCK).cast("int")
+    names = ["bucket", "block", "chunk", "pivot", "own_block", "node", "label", "band"]
+    picked = (
+        chosen.withColumn("block", F.col("own_block"))
+        .withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
+        .withColumn("pivot", F.lit(0))
+    )
+    every = (
+        rows.join(chosen.select("bucket", "node", "own_block"), ["bucket", "node"], "left")
+        .withColumn("last", F.coalesce("own_block", blocks - 1))
+        .withColumn("own_block", F.coalesce("own_block", F.lit(-1)))
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("last"))))
+        .withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
+        .withColumn("pivot", F.lit(1))
+    )
+    return picked.select(names).unionByName(every.select(names))
+
+
 def likely_pairs(
-    rows: DataFrame, chosen: DataFrame, classes: DataFrame, percent: int, most: int
+    rows: DataFrame, chosen: DataFrame, pivots: int, classes: DataFrame, percent: int, most: int
 ) -> DataFrame:
     """Pairs (a, b) of a chosen member and another of its bucket, of different
     components, whose sketches allow for the similarity."""
-    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
-    names = ["bucket", "chunk", "pivot", "node", "label", "band"]
-    picked = chosen.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1))).withColumn("pivot", F.lit(0))
-    # the pivots come a second time as members; group_pairs passes those over
-    every = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int")).withColumn("pivot", F.lit(1))
-    dealt = picked.select(names).unionByName(every.select(names))
-    dealt = dealt.join(classes.select("node", "n", "sketch"), "node")
-    dealt = dealt.repartition("bucket", "chunk").sortWithinPartitions("bucket", "chunk", "pivot")
-    return dealt.select(*names, "n", "sketch").mapInArrow(_chunk_pairs(percent, most), "a long, b long").distinct()
+    dealt = deal(rows, chosen, pivots).join(classes.select("node", "n", "sketch"), "node")
+    group = ["bucket", "block", "chunk"]
+    dealt = dealt.repartition(*group).sortWithinPartitions(*group, "pivot")
+    dealt = dealt.select(*group, "pivot", "own_block", "node", "label", "band", "n", "sketch")
+    return dealt.mapInArrow(_chunk_pairs(percent, most), "a long, b long").distinct()
 
 
 def merge_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -362,9 +393,9 @@ def near_classes(
             break
         pivots, most = ahead.pop(0)
         if not ahead:
-            ahead.append((16 * pivots, 0))
+            ahead.append((min(16 * pivots, MOST_PIVOTS), 0))
         chosen = materialize(choose_pivots(undecided, pivots), "pivots")
-        pairs = materialize(likely_pairs(undecided, chosen, classes, percent, most), "pairs")
+        pairs = materialize(likely_pairs(undecided, chosen, pivots, classes, percent, most), "pairs")
         links = materialize(verified(pairs, sets, percent), "links")
         if not links.isEmpty():
             labels = merge_labels(labels, links)

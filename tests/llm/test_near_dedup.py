@@ -141,3 +141,26 @@ def test_components(spark):
         assert same.setdefault(find(node), label[node]) == label[node]
     assert len(set(same.values())) == len(same)
     assert components.components(frame.filter(F.lit(False))).count() == 0
+
+
+def test_groups_are_bounded_and_pairs_meet_once(spark, rows, monkeypatch):
+    monkeypatch.setattr(near_dedup, "CHUNK", 10)
+    monkeypatch.setattr(near_dedup, "BLOCK", 3)
+    monkeypatch.setattr(near_dedup, "SALTS", 2)
+    members = [(9, 0, i, i, 1, 40) for i in range(40)] + [(8, 0, i, i, 1, 5) for i in range(5)]
+    open_ = spark.createDataFrame(members, "bucket long, band int, node long, label long, own long, size long")
+    chosen = near_dedup.choose_pivots(open_, 8)
+    assert sorted((r.bucket, r.node) for r in chosen.collect()) == [(8, i) for i in range(5)] + [(9, i) for i in range(8)]
+    groups = {}
+    for r in near_dedup.deal(open_, chosen, 8).collect():
+        groups.setdefault((r.bucket, r.block, r.chunk), ([], []))[r.pivot].append(r)
+    assert max(len(p) for p, _ in groups.values()) == 3
+    met = []
+    for (bucket, block, _), (p, m) in groups.items():
+        met += [(bucket, *sorted((x.node, y.node))) for x in p for y in m if x.node != y.node and (y.own_block != block or x.node < y.node)]
+    want = {(9, i, j) for i in range(8) for j in range(i + 1, 40)} | {(8, i, j) for i in range(5) for j in range(i + 1, 5)}
+    assert len(met) == len(set(met)) and set(met) == want
+    monkeypatch.setattr(near_dedup, "ROUNDS", [(1, 0), (5, 1), (4, 0)])
+    monkeypatch.setattr(near_dedup, "MOST_PIVOTS", 12)
+    got = near_dedup.near_classes(docs(spark, rows))
+    assert found(got) == sorted([(k, n, c) for k, n, c, _ in brute(rows)], key=str)
