@@ -115,3 +115,15 @@ def test_no_rows_and_a_collision(spark, monkeypatch):
     monkeypatch.setattr(S, "_cached", lambda *a: "same")
     with pytest.raises(ValueError, match="one surrogate"):
         S.replace("a@b.cd x@b.cd")
+
+
+SINGLE_DIGITS = "ask the resolver at 8.8.8.8 or 1.1.1.1 first"
+
+
+def test_the_trigger_holds_for_every_entity(spark):
+    around = {"token": 'token = "%s"', "password": "password=%s"}
+    texts = [SINGLE_DIGITS, "0.0.0.0", "Sr Ng", "a@b.cd", "+1 22 33 44"]
+    texts += [around.get(k, "x %s y") % v for k, vs in SAMPLES.items() for v in vs]
+    assert all(S.entities(t) for t in texts) and all(S._triggered(S.pa.array(texts)))
+    assert S.pseudonymize(docs(spark, [(1, SINGLE_DIGITS)])).select(F.size("entities")).first()[0] == 2
+    assert S.entity_table(docs(spark, [(1, SINGLE_DIGITS)])).count() == 2
