@@ -21,8 +21,10 @@ entity of that text, which is replaced itself.
 
 Names keep gender and script (a female Latin first name becomes another such name);
 names that are in no list get a surrogate whose letters are permuted by position
-within upper and lower case of their script. Further mentions of such a name in the
-text, without a title, get the same surrogate.
+within upper and lower case of their script. A word has the same surrogate at any place
+of a name, whatever the title. Further mentions of such a name in the text, without a
+title, get the same surrogate. Letters of no fixed alphabet stay among those of their
+case in the same 256 code points, digits of other scripts among the ten of their script.
 
 Defined results: a null text stays null, an empty one empty; a text without entities
 is returned unchanged. Repeated rows give repeated results; further columns are
@@ -34,6 +36,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from functools import lru_cache
 
 import pyarrow as pa
@@ -75,6 +78,26 @@ _TITLE_GENDER = {t: g for g, names in TITLES.items() for t in names}
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 CYRILLIC = "абвгдежзийклмнопрстуфхцчшщъыьэюя"
 ALPHABETS = [DIGITS, LOWER, UPPER, CYRILLIC, CYRILLIC.upper()]
+_LISTED = {name: kind for kind, names in NAMES.items() for name in names}
+
+
+@lru_cache(maxsize=4096)
+def _block(start: int, category: str) -> str:
+    """The characters of a category in 256 code points that are in no fixed alphabet."""
+    every = map(chr, range(start, start + 256))
+    return "".join(c for c in every if unicodedata.category(c) == category and not any(c in a for a in ALPHABETS))
+
+
+def alphabet_of(c: str) -> str | None:
+    """The characters that may stand for c; None if it stays."""
+    fixed = next((a for a in ALPHABETS if c in a), None)
+    if fixed or c.isascii():
+        return fixed
+    if c.isdecimal():
+        zero = ord(c) - unicodedata.decimal(c)
+        return "".join(map(chr, range(zero, zero + 10)))
+    category = unicodedata.category(c)
+    return _block(ord(c) & ~255, category) if category[0] in "LN" else None
 
 
 class Permutation:
@@ -141,7 +164,7 @@ def spell(text: str, kind: str, key: bytes, free=None) -> str:
     given) replaced; each keeps its alphabet."""
     places, bases, value = [], [], 0
     for place, c in enumerate(text):
-        alphabet = next((a for a in ALPHABETS if c in a), None)
+        alphabet = alphabet_of(c)
         if alphabet and (free is None or place in free):
             places.append((place, alphabet))
             bases.append(len(alphabet))
@@ -161,23 +184,22 @@ def spell(text: str, kind: str, key: bytes, free=None) -> str:
 
 
 def name_surrogate(text: str, key: bytes) -> str:
-    """A title with one or two names: the first name keeps gender and script."""
-    parts = text.split(" ")
-    gender = _TITLE_GENDER[parts[0].rstrip(".")]
-    out = [parts[0]]
-    for place, part in enumerate(parts[1:]):
-        script = "cyrillic" if any(c.lower() in CYRILLIC for c in part) else "latin"
+    """A title with one or two names: a listed one keeps gender and script."""
+    title, *parts = text.split(" ")
+    return " ".join([title, *(word_surrogate(part, key) for part in parts)])
+
+
+def word_surrogate(word: str, key: bytes) -> str:
+    """The replacement of one word of a name, wherever it stands."""
+    if word in _LISTED:
+        gender, script = _LISTED[word]
         names = NAMES[gender, script]
-        if place == 0 and part in names:
-            at = permutation(key, f"name|{gender}|{script}", len(names))(names.index(part))
-            out.append(names[at])
-            continue
-        new = spell(part, f"word|{place}", key)
-        # a spelt name must not be a listed one: those are the listed names' surrogates
-        while place == 0 and new in names:
-            new = spell(new, f"word|{place}", key)
-        out.append(new)
-    return " ".join(out)
+        return names[permutation(key, f"name|{gender}|{script}", len(names))(names.index(word))]
+    new = spell(word, "word", key)
+    # a spelt name must not be a listed one: those are the listed names' surrogates
+    while new in _LISTED:
+        new = spell(new, "word", key)
+    return new
 
 
 def surrogate(kind: str, text: str, key: bytes = KEY) -> str:
@@ -192,11 +214,12 @@ def surrogate(kind: str, text: str, key: bytes = KEY) -> str:
         value = permutation(key, "ip", 2**32)(value)
         return ".".join(str(value >> shift & 255) for shift in (24, 16, 8, 0))
     if kind == "card":
-        places = [i for i, c in enumerate(text) if c in DIGITS]
+        places = [i for i, c in enumerate(text) if c.isdecimal()]
         new = list(spell(text, "card", key, set(places[1:-1])))
         # a number with a right check digit keeps a right one, any other stays as far off
         off = int(text[places[-1]]) - int(luhn("".join(text[i] for i in places[:-1])))
-        new[places[-1]] = str((int(luhn("".join(new[i] for i in places[:-1]))) + off) % 10)
+        last = (int(luhn("".join(new[i] for i in places[:-1]))) + off) % 10
+        new[places[-1]] = alphabet_of(text[places[-1]])[last]
         return "".join(new)
     if kind == "phone":
         country = re.match(r"\+\d{1,3}", text).end()
@@ -208,7 +231,10 @@ def surrogate(kind: str, text: str, key: bytes = KEY) -> str:
     if kind == "password":
         if all(c in DIGITS + "abcdef" for c in text):
             return spell_mixed(text, DIGITS + "abcdef", kind, key)
-        return spell(text, kind, key)
+        new = spell(text, kind, key)
+        while all(c in DIGITS + "abcdef" for c in new):  # those stand for each other
+            new = spell(new, kind, key)
+        return new
     return name_surrogate(text, key)
 
 
@@ -234,7 +260,7 @@ def entities(text: str) -> list[tuple[int, int, str]]:
             continue
         if kind == "card":
             digits = re.sub(r"\D", "", value)
-            if digits[0] == "0":
+            if int(digits[0]) == 0:
                 continue
         if kind == "name":
             parts = value.split(" ")

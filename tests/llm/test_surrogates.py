@@ -127,3 +127,22 @@ def test_the_trigger_holds_for_every_entity(spark):
     assert all(S.entities(t) for t in texts) and all(S._triggered(S.pa.array(texts)))
     assert S.pseudonymize(docs(spark, [(1, SINGLE_DIGITS)])).select(F.size("entities")).first()[0] == 2
     assert S.entity_table(docs(spark, [(1, SINGLE_DIGITS)])).count() == 2
+
+
+def test_a_name_word_has_one_surrogate_at_any_place():
+    first, second, third = (S.replace(x, KEY)[0].split() for x in ("Mr John Smith", "Mr Smith", "Mrs Smith Peter"))
+    assert first[2] == second[1] == third[1]
+    assert third[2] == S.replace("Herr Peter", KEY)[0].split()[1]
+    words = [*S._LISTED, "Smith", "Smyth", "Ng", "Wu", "Li"]
+    assert len({S.word_surrogate(w, KEY) for w in words}) == len(words)
+
+
+def test_other_scripts_and_digits(spark):
+    card, phone = "４１１１ １１１１ １１１１ １１１１", "+٤٩ ٣٠ ١٢٣٤ ٥٦٧٨"
+    texts = ["Mr Ωμέγας came", "Frau Δέλτα came", "Mr É came", "Mr Ű came", card, phone, "é@b.org"]
+    assert all(S.entities(t) for t in texts[:6])
+    frame = docs(spark, [(i, t) for i, t in enumerate(texts)])
+    S.check_distinct(frame)
+    got = {r.doc: r.text for r in S.pseudonymize(frame, secret=KEY).collect()}
+    assert all(got[i] != t and len(got[i]) == len(t) for i, t in enumerate(texts[:6]))
+    assert set(got[4]) <= set("０１２３４５６７８９ ") and int(got[4][-1]) == int(S.luhn(got[4].replace(" ", "")[:-1]))
