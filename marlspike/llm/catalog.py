@@ -8,6 +8,7 @@ from marlspike.llm import (
     mixing,
     near_dedup,
     pieces,
+    spelling,
     surrogates,
     toxicity,
     warc,
@@ -24,6 +25,7 @@ MODULES = [
     near_dedup,
     toxicity,
     exact_dedup,
+    spelling,
 ]
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
