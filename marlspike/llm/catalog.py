@@ -7,7 +7,9 @@ from marlspike.llm import (
     lm_score,
     mixing,
     near_dedup,
+    packing,
     pieces,
+    repair,
     spelling,
     surrogates,
     toxicity,
@@ -26,6 +28,8 @@ MODULES = [
     toxicity,
     exact_dedup,
     spelling,
+    repair,
+    packing,
 ]
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
