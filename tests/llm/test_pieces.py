@@ -68,9 +68,10 @@ def test_round_trip_and_no_rows(spark):
 
 
 def test_a_difference_is_an_error(own, monkeypatch):
-    monkeypatch.setattr(own, "merge", lambda stretch: (5,))
+    wrong = lambda found: (np.full(len(found), 5, np.int32), np.arange(1, len(found) + 1))
+    monkeypatch.setattr(own, "merge_all", wrong)
     with pytest.raises(ValueError, match="differs"):
-        own.encode("\x02")
+        own.encode("a stretch \x02 not met before")
 
 
 def test_single_merge_equals_rows(own):
