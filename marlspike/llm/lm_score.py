@@ -4,8 +4,7 @@ Tokens are the words of a text, A-Z in lower case, and one end. Word and bigram
 counts of the training texts are quantised to 1 + floor(log2(count)) levels, and
 an n-gram is entered into a Bloom filter once for each level up to its own. To look
 a count up, level after level is probed until one is missing: the last level found
-stands for the middle of its counts. Bigrams that occur once are left out; a bigram
-counts as seen from the second level on, so a false hit needs two.
+stands for the middle of its counts. All n-grams are entered, those that occur once too.
 
 The filter is built in segments by the hash of the n-gram; each is as large as its
 entries ask for (BITS bits an entry and level). Segments are broadcast to the
@@ -17,8 +16,9 @@ several give the same scores.
     p(w | h) = (f(h w) + MU * p(w)) / (f(h) + MU)
     p(w) = (f(w) + 0.1) / (N + 0.1 (V + 1)),  f: looked up, N, V: tokens, exactly
 
-The base score needs exact counts. Those of the `head` most frequent words are
-broadcast, a bounded table; all other words of a text are joined with the counts.
+The base score needs exact counts. Those of the most frequent words are broadcast, at most
+`head` words of at most HEAD_BYTES altogether; all other words of a text are joined with
+the counts.
 
 Defined results: a null text counts as empty and consists of its end. Rows that
 share an id are scored each. Without training texts N and V are 0 and every token
@@ -41,9 +41,10 @@ from marlspike.session import materialize
 ALPHA = 0.1
 MU = 300.0
 BITS, PROBES = 14, 6  # of the filter for each entry and level: about one false hit in 500
-HEAD = 1 << 18
+HEAD, HEAD_BYTES = 1 << 18, 16 << 20
+LONG = 4096
 SEGMENT = 1 << 18  # training tokens for which a segment is laid out
-MOST_BYTES = 64 << 20
+MOST_BYTES = 192 << 20
 GATHERED = 1 << 20  # n-grams that a task counts before it passes them on
 END = np.uint64(0x2545F4914F6CDD1D)
 ONE, TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -108,11 +109,14 @@ def fill_segment(keys: np.ndarray, counts: np.ndarray) -> bytes:
 class Filter:
     """Some consecutive segments of the filter."""
 
-    def __init__(self, shift: int, first: int, parts: list[bytes]):
+    def __init__(self, shift: int, first: int, parts: list):
+        """parts: the bytes of each segment, or a buffer of them; copied once."""
         self.shift, self.first = shift, first
         self.sizes = np.array([len(p) * 8 for p in parts], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.data = np.frombuffer(b"".join(parts), np.uint8)
+        self.data = np.zeros(int(self.sizes.sum()) // 8, np.uint8)
+        for start, part in zip((self.starts // 8).tolist(), parts):
+            self.data[start : start + len(part)] = np.frombuffer(part, np.uint8)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """The highest level up to which all are present; 0 where the key's segment is not here."""
@@ -152,17 +156,20 @@ def word_counts(training: DataFrame) -> DataFrame:
     return training.mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def most_frequent(counts: DataFrame, most: int) -> DataFrame:
-    """The words (word, c) of at least some count, chosen so that they are at most `most`."""
+def most_frequent(counts: DataFrame, most: int, most_bytes: int = HEAD_BYTES) -> DataFrame:
+    """The words (word, c) of at least some count, chosen so that they are at most `most`
+    and have at most `most_bytes`. A word that is itself long (LONG bytes) is never among them."""
     step = F.floor(8 * F.log2("c")).cast("int")
-    sizes = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).collect()  # under 512 rows
-    lowest, taken = 10**6, 0
-    for row in sorted(sizes, key=lambda r: -r.step):
-        taken += row.words
-        if taken > most:
+    size = F.octet_length("word")
+    short = counts.filter(size <= LONG)
+    sizes = short.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words"), F.sum(size).alias("bytes")).collect()
+    lowest, taken, held = 10**6, 0, 0
+    for row in sorted(sizes, key=lambda r: -r.step):  # under 512 rows
+        taken, held = taken + row.words, held + row.bytes
+        if taken > most or held > most_bytes:
             break
         lowest = row.step
-    return counts.filter(step >= lowest)
+    return short.filter(step >= lowest)
 
 
 def filter_segments(training: DataFrame, shift: int) -> DataFrame:
@@ -207,11 +214,10 @@ def filter_segments(training: DataFrame, shift: int) -> DataFrame:
         counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint32)
         keys, back = np.unique(keys, return_inverse=True)
         counts = np.bincount(back, counts, len(keys))
-        kept = (keys & np.uint64(1) == 1) | (counts > 1)
         return pa.table(
             {
                 "segment": pa.array([table.column("segment")[0].as_py()], pa.int64()),
-                "bits": pa.array([fill_segment(keys[kept], counts[kept])], pa.binary()),
+                "bits": pa.array([fill_segment(keys, counts)], pa.binary()),
             }
         )
 
@@ -231,7 +237,7 @@ def token_scores(words: np.ndarray, pairs: np.ndarray, is_end: np.ndarray, facts
     single = middle(words.astype(float))
     single[is_end] = facts["texts"]  # the end's count is known
     before = np.concatenate([[float(facts["texts"])], single[:-1]])
-    both = np.where(pairs >= 2, middle(pairs.astype(float)), 0.0)
+    both = middle(pairs.astype(float))
     below = facts["N"] + ALPHA * (facts["V"] + 1)
     alone = np.minimum((single + ALPHA) / below, 1.0)
     return np.log10(np.minimum((np.minimum(both, before) + MU * alone) / (before + MU), 1.0))
@@ -359,9 +365,12 @@ def score(
     bounds = [2**number * i // rounds for i in range(rounds + 1)]
 
     def load(low: int, high: int):
+        """Segments low to high, at most most_bytes and a segment."""
         found = parts.filter(F.col("segment").between(low, high - 1)).toArrow()
-        held = dict(zip(found.column("segment").to_pylist(), found.column("bits").to_pylist()))
-        return context.broadcast(Filter(shift, low, [held.get(i, b"") for i in range(low, high)]))
+        held: list = [b""] * (high - low)
+        for place, bits in zip(found.column("segment").to_pylist(), found.column("bits")):
+            held[place - low] = bits.as_buffer()
+        return context.broadcast(Filter(shift, low, held))
 
     kind = rows.schema["doc"].dataType.simpleString()
     schema = (

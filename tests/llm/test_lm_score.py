@@ -48,9 +48,8 @@ def exact_scores(rows):
             two.update(zip([None, *own], own))
     total, kinds = sum(one.values()), len(one)
 
-    def quantised(count, least=1):
-        level = 1 + int(math.log2(count)) if count else 0
-        return 1.5 * 2 ** (level - 1) - 0.5 if count >= least else 0.0
+    def quantised(count):
+        return 1.5 * 2 ** int(math.log2(count)) - 0.5 if count else 0.0
 
     def single(t):
         return texts if t is None else quantised(one[t])
@@ -60,7 +59,7 @@ def exact_scores(rows):
         value = 0.0
         for h, w in zip([None, *tokens(text)], tokens(text)):
             alone = min(1.0, (single(w) + 0.1) / (total + 0.1 * (kinds + 1)))
-            both = min(quantised(two[h, w], 2), single(h))
+            both = min(quantised(two[h, w]), single(h))
             value += math.log10(min(1.0, (both + lm_score.MU * alone) / (single(h) + lm_score.MU)))
         out.append((key, value))
     return sorted(out, key=str)
@@ -119,3 +118,18 @@ def test_filter_finds_all_and_little_else():
     assert (found >= lm_score.levels_of(counts)).all()
     assert (found == lm_score.levels_of(counts)).mean() > 0.97
     assert (held.levels(rng.integers(0, 2**63, 20_000, dtype=np.uint64)) > 0).mean() < 0.02
+
+
+def test_bigrams_that_occur_once_count(spark):
+    """Of two texts of the same words the one whose word pair was met once scores higher."""
+    rows = [(1, "north south"), (2, "east"), (3, "west")] + [(i, "filler") for i in range(11, 60)]
+    table = docs(spark, rows + [(100, "north south"), (101, "south north")])
+    found = {r.doc: r.score for r in lm_score.score(table, F.col("doc_id") < 100).collect()}
+    assert found[100] > found[101]
+
+
+def test_the_head_is_bounded_in_bytes(spark):
+    counts = spark.createDataFrame([("x" * 5000, 99), ("ab", 50), ("cd", 50), ("ef", 3)], "word string, c long")
+    assert {r.word for r in lm_score.most_frequent(counts, 10).collect()} == {"ab", "cd", "ef"}
+    assert {r.word for r in lm_score.most_frequent(counts, 10, 5).collect()} == {"ab", "cd"}
+    assert lm_score.most_frequent(counts, 10, 3).count() == 0
