@@ -13,20 +13,26 @@ a bucket. At a similarity of 0.75 all bands differ with a probability below 6e-6
 Only connectivity is asked for, so pairs whose ends are connected already are not
 compared. In each round every bucket that still holds several components picks
 members as pivots, those of its smallest components first, and compares them with
-members of other components. At first a pivot is compared with the few members of
-a component that look most alike, as one link is enough; in the last rounds with
-all of them, and then the pivots leave the bucket. The number of pivots is
-multiplied from round to round up to MOST_PIVOTS, and a bucket ends when it holds one
-component, so every pair of a bucket is decided. A bucket is dealt out in groups of a
-block of at most BLOCK pivots and a chunk of about CHUNK members; two pivots meet in
-one of these groups only. A pair is looked at in one bucket only, that of
-the first band on which its sketches agree. There it must pass a likelihood test on
-the joint distribution of the registers (larger, smaller, equal), and only then are
-the two full sets intersected.
+members of other components. In the first rounds a member proposes only the pivot of the
+group that looks most like it, and a pivot keeps only the members of a component that look
+most like it: one link is enough. In the later rounds all pairs of a pivot are proposed, and
+then the pivots leave the bucket. The number of pivots is multiplied from round to round up
+to MOST_PIVOTS, and a bucket ends when it holds one component, so every pair of a bucket is
+decided. A bucket is dealt out in groups of a block of at most BLOCK pivots and a chunk of
+about CHUNK members; two pivots meet in one of these groups only. A pair is looked at in one
+bucket only, that of the first band on which its sketches agree. There it must pass a
+likelihood test on the joint distribution of the registers (larger, smaller, equal), and
+only then are the two full sets intersected. Pairs that failed there are remembered and not
+intersected again.
+
+The bands and the likelihood test miss a link right at the threshold about once in 10**5.
+With exact=True nothing is missed: the buckets are then the rarest n - ceil(0.75 n) + 1
+members of each set, of which two linked sets share one, and the test is left out.
 
 Defined results: null and empty texts have n_shingles 0 and stand alone. Rows
 of equal sets are one class and are compared once. Rows that repeat an id are
-judged by their own text each. Rows without an id take part; a component
+judged by their own text each. Texts are read whole; memory is bounded by a slice of them
+or the longest one. A table without rows gives no rows. Rows without an id take part; a component
 without any id has a null component_id. Further columns are ignored.
 """
 
@@ -37,7 +43,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlspike.llm.common import ascii_words, hash_strings, mix, slices
@@ -48,13 +54,13 @@ WORDS = 5
 REGISTERS, BAND, BANDS = 512, 4, 32
 BASE, RATE, TOP = 1.02, 20.0, 2**16 - 1
 EARLY_BANDS = 8  # the first round looks at these alone: most links show there
-#: Of the first rounds: pivots of a bucket, and members of another component that a
-#: pivot is compared with (0: all); later rounds have 16 times the pivots, up to
-#: MOST_PIVOTS, and compare all.
-ROUNDS = [(4, 0), (64, 2), (1024, 2), (64, 0)]
+#: Of the first rounds: pivots of a bucket, and pivots that a member proposes and members
+#: of a component that a pivot keeps (0: all); later rounds have 16 times the pivots, up to
+#: MOST_PIVOTS, and propose all.
+ROUNDS = [(4, 1), (64, 1), (64, 0)]
 MOST_PIVOTS = 16384
 CHUNK, BLOCK = 2000, 1024
-SALTS = 32  # parts of a bucket that are ranked on their own first
+SALTS, RANKED = 32, 4096  # larger buckets are ranked in parts, of which each gives its share
 #: Log-likelihood by which a pair must fall short of the best estimate to be
 #: passed over unverified: a pair right at the threshold does so about once in 10**5.
 MARGIN = 9.0
@@ -170,8 +176,9 @@ def _sets(words: int):
 
 def group_pairs(pivot, same, node, label, size, band, sketch, percent: int, most: int):
     """(a, b) of a group's pairs of a pivot and a member that need verification; same: of
-    the members, those that are pivots of this block too. `most`, if not 0: of a pivot and
-    another component the pairs with the most equal registers."""
+    the members, those that are pivots of this block too. `most`, if not 0: of a member the
+    pivots, then of a pivot and a component the members with the most equal registers.
+    A band below 0 stands for a bucket of the exact way: no test on the sketches."""
     one, two = np.flatnonzero(pivot), np.flatnonzero(~pivot)
     p, m = np.nonzero(
         (label[one][:, None] != label[two][None, :])
@@ -184,29 +191,41 @@ def group_pairs(pivot, same, node, label, size, band, sketch, percent: int, most
     out = []
     for start in range(0, len(p), 10_000):
         x, y = p[start : start + 10_000], m[start : start + 10_000]
-        head = sketch[x, : BANDS * BAND] == sketch[y, : BANDS * BAND]
-        first = head.reshape(len(x), BANDS, BAND).all(axis=2).argmax(axis=1) == band
-        x, y = x[first], y[first]
+        if band >= 0:
+            head = sketch[x, : BANDS * BAND] == sketch[y, : BANDS * BAND]
+            first = head.reshape(len(x), BANDS, BAND).all(axis=2).argmax(axis=1) == band
+            x, y = x[first], y[first]
         alike = (sketch[x] == sketch[y]).sum(axis=1)
-        # equal registers are about as many as the similarity says; this far below
-        # the threshold (ten standard deviations) the likelihood need not be asked
-        close = alike >= REGISTERS * (percent / 100 - 0.2)
-        x, y, alike = x[close], y[close], alike[close]
-        if len(x):
-            good = likely(sketch[x], sketch[y], size[x], size[y], percent / 100)
-            out.append(np.stack([x[good], y[good], alike[good]], axis=1))
+        if band >= 0:
+            # equal registers are about as many as the similarity says; this far below
+            # the threshold (ten standard deviations) the likelihood need not be asked
+            close = alike >= REGISTERS * (percent / 100 - 0.2)
+            x, y, alike = x[close], y[close], alike[close]
+            good = likely(sketch[x], sketch[y], size[x], size[y], percent / 100) if len(x) else np.zeros(0, bool)
+            x, y, alike = x[good], y[good], alike[good]
+        out.append(np.stack([x, y, alike], axis=1))
     if not out:
         return np.zeros((0, 2), np.int64)
     x, y, alike = np.concatenate(out).T
     if most:
-        order = np.lexsort((y, -alike, label[y], x))
-        x, y = x[order], y[order]
-        new = np.append(True, (np.diff(x) != 0) | (np.diff(label[y]) != 0))
-        place = np.arange(len(x)) - np.maximum.accumulate(np.where(new, np.arange(len(x)), 0))
-        x, y = x[place < most], y[place < most]
+        own = _best([y], alike, node[x], most)
+        x, y, alike = x[own], y[own], alike[own]
+        own = _best([x, label[y]], alike, node[y], most)
+        x, y = x[own], y[own]
     return np.stack([node[x], node[y]], axis=1)
 
 
+def _best(group: list[np.ndarray], alike: np.ndarray, node: np.ndarray, most: int) -> np.ndarray:
+    """The places of the `most` rows of each group with the most equal registers."""
+    order = np.lexsort((node, -alike, *group))
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for column in group:
+        new[1:] |= np.diff(column[order]) != 0
+    place = np.arange(len(order))
+    return order[place - np.maximum.accumulate(np.where(new, place, 0)) < most]
+
+
 def _chunk_pairs(percent: int, most: int):
     """Rows of groups, one group after the other, to the pairs to verify."""
 
@@ -249,12 +268,14 @@ def _chunk_pairs(percent: int, most: int):
 def _confirm(percent: int):
     def run(batches):
         for batch in batches:
-            keep = []
+            linked = []
             for x, y in zip(batch.column("set_a"), batch.column("set_b")):
                 one, two = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
                 common = len(np.intersect1d(one, two, assume_unique=True))
-                keep.append(100 * common >= percent * (len(one) + len(two) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                linked.append(100 * common >= percent * (len(one) + len(two) - common))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], ["a", "b", "linked"]
+            )
 
     return run
 
@@ -274,19 +295,26 @@ def open_rows(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return held.join(parts.join(several, "bucket"), ["bucket", "label"])
 
 
+def _shares(pivots: int) -> tuple[Column, Column, Column]:
+    """Of a bucket of `size` members: the parts it is ranked in, the pivots that each part
+    gives, and those of them that go into one block."""
+    parts = F.least(F.ceil(F.col("size") / RANKED), F.lit(min(SALTS, pivots)))
+    each = F.least(F.floor(pivots / parts), F.col("size"))
+    return parts, each, F.greatest(F.floor(BLOCK / parts), F.lit(1))
+
+
 def choose_pivots(rows: DataFrame, pivots: int) -> DataFrame:
-    """The rows of `pivots` members of each bucket, those of its smallest components
-    first, with the block that they are in. A bucket's rows are ranked in SALTS parts
-    first, so its last ranking gets at most SALTS times `pivots` rows."""
+    """The rows of at most `pivots` members of each bucket, those of its smallest components
+    first, with the block that they are in. A large bucket is ranked in up to SALTS parts,
+    each of which gives its share, so no task ranks a bucket."""
+    parts, each, block = _shares(pivots)
     part = Window.partitionBy("bucket", "salt").orderBy("own", "node")
-    whole = Window.partitionBy("bucket").orderBy("own", "node")
     return (
-        rows.withColumn("salt", F.pmod(F.xxhash64("node", F.lit(5)), F.lit(SALTS)))
+        rows.withColumn("salt", F.pmod(F.xxhash64("node", F.lit(5)), parts))
         .withColumn("place", F.row_number().over(part))
         .filter(F.col("place") <= pivots)
-        .withColumn("place", F.row_number().over(whole))
-        .filter(F.col("place") <= pivots)
-        .withColumn("own_block", F.floor((F.col("place") - 1) / BLOCK).cast("int"))
+        .filter(F.col("place") <= each)
+        .withColumn("own_block", F.floor((F.col("place") - 1) / block).cast("int"))
         .drop("place", "salt")
     )
 
@@ -296,7 +324,8 @@ def deal(rows: DataFrame, chosen: DataFrame, pivots: int) -> DataFrame:
     the chosen (pivot 0) and a chunk of members (pivot 1). Of two chosen, the one of the
     later block is the member, so they meet in one group."""
     chunks = F.ceil(F.col("size") / CHUNK).cast("int")
-    blocks = F.ceil(F.least(F.col("size"), F.lit(pivots)) / BLOCK).cast("int")
+    _, each, block = _shares(pivots)
+    blocks = F.ceil(each / block).cast("int")
     names = ["bucket", "block", "chunk", "pivot", "own_block", "node", "label", "band"]
     picked = (
         chosen.withColumn("block", F.col("own_block"))
@@ -345,14 +374,52 @@ def merge_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     )
 
 
+def bands(classes: DataFrame) -> DataFrame:
+    """(node, band, bucket) of each class by the bands of its sketch."""
+    values = [F.xxhash64(F.lit(i), F.substring("sketch", 2 * BAND * i + 1, 2 * BAND)) for i in range(BANDS)]
+    return classes.select("node", F.posexplode(F.array(*values)).alias("band", "bucket"))
+
+
+def rare_members(source: DataFrame, classes: DataFrame, percent: int, words: int) -> DataFrame:
+    """(node, band, bucket) of each class by the members of its set that the fewest sets
+    hold, as many as make two linked sets share one. The band is -1."""
+    sets = materialize(full_sets(source, classes.select("node", "cls", "doc"), words), "whole")
+    flat = materialize(sets.mapInArrow(_members, "node long, n long, bucket long"), "flat")
+    often = flat.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    place = F.row_number().over(Window.partitionBy("node").orderBy("c", "bucket"))
+    # members of one set only meet nothing and come first in the order
+    held = flat.join(often, "bucket", "left").withColumn("c", F.coalesce("c", F.lit(1).cast("long")))
+    most = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    rare = held.withColumn("place", place).filter(F.col("place") <= most).filter("c > 1")
+    return rare.select("node", F.lit(-1).alias("band"), "bucket")
+
+
+def _members(batches):
+    for batch in batches:
+        for node, members in zip(batch.column("node").to_pylist(), batch.column("members")):
+            own = np.frombuffer(members.as_buffer(), np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(own), node)), pa.array(np.full(len(own), len(own))), pa.array(own)],
+                ["node", "n", "bucket"],
+            )
+
+
+def full_sets(source: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(node, members) of the wanted classes (node, cls, doc), from the texts of source."""
+    holds = wanted.withColumnRenamed("doc", "own")
+    texts = source.join(holds, F.col("doc").eqNullSafe(F.col("own"))).select("node", "cls", "text")
+    return texts.mapInArrow(_sets(words), "node long, members binary").dropDuplicates(["node"])
+
+
 def near_classes(
     docs: DataFrame,
     key: str = "doc_id",
     text: str = "text",
     percent: int = 75,
     words: int = WORDS,
+    exact: bool = False,
 ) -> DataFrame:
-    """(doc, n, component) for each row of docs."""
+    """(doc, n, component) for each row of docs; exact: see above."""
     source = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
     rows = materialize(
         source.mapInArrow(_row_digests(words), "doc long, n long, cls binary, sketch binary"),
@@ -365,25 +432,14 @@ def near_classes(
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    banded = classes.select(
-        "node",
-        F.posexplode(
-            F.array(
-                *[F.xxhash64(F.lit(i), F.substring("sketch", 2 * BAND * i + 1, 2 * BAND)) for i in range(BANDS)]
-            )
-        ).alias("band", "bucket"),
-    )
-    met = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = materialize(banded.join(met.select("bucket"), "bucket").select("bucket", "band", "node"), "members")
+    shared = rare_members(source, classes, percent, words) if exact else bands(classes)
+    met = shared.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = materialize(shared.join(met.select("bucket"), "bucket").select("bucket", "band", "node"), "members")
 
     active = members.select("node").distinct().join(classes, "node").select("node", "cls", "doc")
-    holds = active.withColumnRenamed("doc", "own")
-    texts = source.join(holds, F.col("doc").eqNullSafe(F.col("own"))).select("node", "cls", "text")
-    sets = materialize(
-        texts.mapInArrow(_sets(words), "node long, members binary").dropDuplicates(["node"]), "sets"
-    )
+    sets = materialize(full_sets(source, active, words), "sets")
 
-    labels, ahead = None, list(ROUNDS)
+    labels, failed, ahead = None, None, list(ROUNDS)
     rest = members.filter(F.col("band") < EARLY_BANDS)
     late = members.filter(F.col("band") >= EARLY_BANDS)
     while True:
@@ -395,8 +451,12 @@ def near_classes(
         if not ahead:
             ahead.append((min(16 * pivots, MOST_PIVOTS), 0))
         chosen = materialize(choose_pivots(undecided, pivots), "pivots")
-        pairs = materialize(likely_pairs(undecided, chosen, pivots, classes, percent, most), "pairs")
-        links = materialize(verified(pairs, sets, percent), "links")
+        pairs = likely_pairs(undecided, chosen, pivots, classes, percent, most)
+        if failed is not None:
+            pairs = pairs.join(failed, ["a", "b"], "left_anti")
+        tested = materialize(verified(pairs, sets, percent), "tested")
+        links, bad = tested.filter("linked").select("a", "b"), tested.filter("not linked").select("a", "b")
+        failed = bad if failed is None else failed.unionByName(bad)
         if not links.isEmpty():
             labels = merge_labels(labels, links)
         rest = undecided.select("bucket", "band", "node")
@@ -418,11 +478,11 @@ def near_classes(
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity."""
+    """The pairs (a, b) with whether their full sets reach the similarity (linked)."""
     for side in ("a", "b"):
         own = sets.select(F.col("node").alias(side), F.col("members").alias(f"set_{side}"))
         pairs = pairs.join(own, side)
-    return pairs.select("a", "b", "set_a", "set_b").mapInArrow(_confirm(percent), "a long, b long")
+    return pairs.select("a", "b", "set_a", "set_b").mapInArrow(_confirm(percent), "a long, b long, linked boolean")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -164,3 +164,44 @@ def test_groups_are_bounded_and_pairs_meet_once(spark, rows, monkeypatch):
     monkeypatch.setattr(near_dedup, "MOST_PIVOTS", 12)
     got = near_dedup.near_classes(docs(spark, rows))
     assert found(got) == sorted([(k, n, c) for k, n, c, _ in brute(rows)], key=str)
+
+
+def test_the_exact_way_equals_brute_force(spark, rows):
+    got = near_dedup.near_classes(docs(spark, rows), exact=True)
+    assert found(got) == sorted([(k, n, c) for k, n, c, _ in brute(rows)], key=str)
+    assert near_dedup.near_classes(docs(spark, []), exact=True).count() == 0
+
+
+def boilerplate(count, shared, own):
+    """Texts that have `shared` words in common and `own` words of their own."""
+    rng = random.Random(count)
+    common = " ".join("c%d" % i for i in range(shared))
+    return [(i, common + " " + " ".join("o%d" % rng.randrange(10**9) for _ in range(own))) for i in range(count)]
+
+
+def counted_pairs(monkeypatch):
+    """The pairs that reach the verification, round by round."""
+    kept, verified = [], near_dedup.verified
+
+    def counting(pairs, sets, percent):
+        kept.extend(tuple(r) for r in pairs.select("a", "b").collect())
+        return verified(pairs, sets, percent)
+
+    monkeypatch.setattr(near_dedup, "verified", counting)
+    return kept
+
+
+def test_failed_pairs_are_not_verified_again(spark, monkeypatch):
+    kept = counted_pairs(monkeypatch)
+    rows = boilerplate(120, 200, 50)  # a similarity of 0.66: no links
+    got = near_dedup.near_classes(docs(spark, rows))
+    assert found(got) == sorted([(k, n, c) for k, n, c, _ in brute(rows)], key=str)
+    assert len(kept) == len(set(kept))
+
+
+@pytest.mark.parametrize("count", [150, 600])
+def test_a_group_of_near_copies_proposes_few_pairs(spark, monkeypatch, count):
+    kept = counted_pairs(monkeypatch)
+    got = near_dedup.near_classes(docs(spark, boilerplate(count, 200, 16)))  # a similarity of 0.83
+    assert {r.component for r in got.collect()} == {0}
+    assert len(kept) <= 8 * count
