@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from marlspike.functions.scalar import merge_text
 from marlspike.models import joint, linear
-from marlspike.models.joint import JointModel, TrainConfig
+from marlspike.models.joint import JointModel
+from marlspike.models.sparse import TrainConfig
 from marlspike.operators import evaluate as E
 from marlspike.operators import features as X
 from marlspike.operators import profile as P
@@ -109,7 +110,7 @@ def build_wide_text(
     rows = base.where(F.col(f"`{require}`").isNotNull()) if require else base
     folded = rows.select(key, merge_text(list(text_cols), keep_blanks=False).alias("text"))
     cut = T.tokenize(folded, "text", **tokenizing)
-    cleaned = T.remove_stopwords(cut, "tokens", stopwords, key).select(key, "tokens")
+    cleaned = T.remove_stopwords(cut, "tokens", stopwords).select(key, "tokens")
     cleaned = materialize(cleaned, "tokens")
     return T.tokens_to_wide(cleaned, key, "tokens", T.build_vocab(cleaned, "tokens"), n)
 

@@ -3,7 +3,8 @@ import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from marlspike.models import linear, joint as W
+from marlspike.models import joint as W
+from marlspike.models import linear, sparse
 from marlspike.models.store import load_model, save_model
 from marlspike.operators import evaluate as E
 from marlspike.operators.features import FeatureSpec, assemble
@@ -45,7 +46,11 @@ def batch(n=7, seed=1):
 @pytest.mark.parametrize("model_type", W.MODEL_TYPES)
 def test_gradient(model_type):
     """Analytic gradient against central differences."""
-    params = W.init_params(SPEC, 3, model_type, (6, 4), 3)
+    params = W.dense_params(SPEC, 3, model_type, (6, 4), 3)
+    if model_type != "deep":
+        params["wide"] = np.zeros((7, 3))
+    if model_type != "wide":
+        params["embed0"] = np.zeros((4, 5))
     rng = np.random.default_rng(0)
     params = {k: v + rng.normal(0, 0.1, v.shape) for k, v in params.items()}
     held = batch()
@@ -79,13 +84,47 @@ def test_accuracy_beats_majority(trained, assembled):
     assert scored.select(F.max(F.abs(F.aggregate("probabilities", F.lit(0.0), lambda s, p: s + p) - 1))).first()[0] < 1e-9
 
 
+def held_weights(model):
+    return {r["key"]: np.frombuffer(bytes(r["value"])) for r in model.table.collect()}
+
+
 def test_weights_do_not_depend_on_partitions(assembled, monkeypatch):
-    """Nor on how a gradient is cut into chunks."""
+    """Nor on how a gradient is cut into chunks, nor on when logs are merged."""
     config = W.TrainConfig(epochs=2, steps_per_epoch=2, learning_rate=3e-2, decay=1e-5)
     two, _ = W.train_joint(assembled.repartition(2), SPEC, 3, config)
-    monkeypatch.setattr(W, "WEIGHT_CHUNK", 50)
+    monkeypatch.setattr(sparse, "WEIGHT_CHUNK", 50)
+    monkeypatch.setattr(sparse, "MERGE_STEPS", 3)
     eight, _ = W.train_joint(assembled.repartition(8), SPEC, 3, config)
-    assert all(np.allclose(two.params[k], eight.params[k]) for k in two.params)
+    assert all(np.allclose(two.dense[k], eight.dense[k]) for k in two.dense)
+    one, other = held_weights(two), held_weights(eight)
+    assert one.keys() == other.keys() and all(np.allclose(one[k], other[k]) for k in one)
+
+
+def test_training_equals_training_in_memory(assembled):
+    """Against the same steps on one dense set of weights in numpy."""
+    config = W.TrainConfig(epochs=3, steps_per_epoch=1, learning_rate=3e-2, decay=1e-5)
+    model, history = W.train_joint(assembled, SPEC, 3, config)
+    learner = W.JointLearner(SPEC, 3, "joint", config.seed)
+    params = W.dense_params(SPEC, 3, "joint", config.hidden, config.seed)
+    params["wide"] = np.array([learner.initial(k) for k in range(7)])
+    params["embed0"] = np.array([learner.initial(k) for k in range(7, 11)])
+    data = assembled.toPandas()
+    held = {c: np.array(data[c].tolist()) for c in ("wide", "indicator", "embed", "cont")}
+    held["label"] = data["label"].to_numpy() - 1
+    flat = sparse.flatten(params)
+    first, second, losses = np.zeros_like(flat), np.zeros_like(flat), []
+    for step in range(1, 4):
+        loss, _, grads = W.loss_and_gradient(params, SPEC, held)
+        losses.append(loss / len(data))
+        mean = sparse.flatten({k: grads[k] for k in params}) / len(data)
+        flat, first, second = config.moved(step, mean, flat, first, second)
+        params = sparse.unflatten(flat, params)
+    found = [r["value"] for r in history.where("metric = 'loss'").orderBy("step").collect()]
+    assert np.allclose(found, losses)
+    assert all(np.allclose(model.dense[k], params[k]) for k in model.dense)
+    own = held_weights(model)
+    assert np.allclose([own[k] for k in range(7)], params["wide"])
+    assert np.allclose([own[k] for k in range(7, 11)], params["embed0"])
 
 
 def test_batch_size_is_kept(assembled):
@@ -95,7 +134,7 @@ def test_batch_size_is_kept(assembled):
 
 
 def test_save_and_load(spark, trained, assembled, monkeypatch):
-    monkeypatch.setattr(W, "WEIGHT_CHUNK", 7)
+    monkeypatch.setattr(sparse, "WEIGHT_CHUNK", 7)
     path = scratch_path(spark, "wnd")
     save_model(trained[0], spark, path)
     again = load_model(spark, path, "joint")
@@ -106,10 +145,32 @@ def test_save_and_load(spark, trained, assembled, monkeypatch):
     assert one == two and again.spec == SPEC
 
 
-def test_too_many_weights():
-    big = FeatureSpec(embed_cols=["e"], embed_in=[10**7], embed_out=[64])
-    with pytest.raises(ValueError, match="weights"):
-        W.init_params(big, 2, "deep", (4,), 0)
+def test_any_number_of_ids(spark):
+    """A thousand million ids: the table holds those that occur."""
+    big = FeatureSpec(embed_cols=["e"], embed_in=[10**9], embed_out=[4])
+    ids = F.when(F.col("id") % 2 == 0, F.lit(999_999_999)).otherwise(F.lit(5)).cast("int")
+    df = spark.range(200).select(F.col("id"), ids.alias("e"), (F.col("id") % 2 + 1).cast("int").alias("label"))
+    rows = assemble(df, big, F.lit(1), "id")
+    model, _ = W.train_joint(rows, big, 2, W.TrainConfig(epochs=20, learning_rate=0.1, hidden=(4,)), "deep")
+    assert {r["key"] for r in model.table.collect()} == {5, 999_999_999}
+    scored = W.score_pairs(model, rows).join(rows.select("item_id", "label"), "item_id")
+    assert E.accuracy(scored).first()["accuracy"] == 1.0
+
+
+def test_files_grow_with_rows_not_with_batches(assembled, monkeypatch):
+    """A slice is read from one folder of many slices."""
+    learner = W.JointLearner(SPEC, 3, "joint")
+    examples = W._examples(assembled, learner)
+    table = sparse.index_batches(examples, 300, 1200, 0)
+    assert len(table.inputFiles()) == 1
+    monkeypatch.setattr(sparse, "SHELF_ROWS", 400)
+    table = sparse.index_batches(examples, 300, 1200, 0)
+    assert len(table.inputFiles()) == 3
+    assert table.select("row").distinct().count() == 1200
+    part = sparse.one_slice(table, 300, 1200, 150)
+    assert {r["slice"] for r in part.collect()} == {150} and len(part.inputFiles()) == 3
+    plan = part._jdf.queryExecution().toString()
+    assert "PushedFilters: [IsNotNull(slice), EqualTo(slice,150)]" in plan and "PartitionFilters: [isnotnull(shelf" in plan
 
 
 def test_wide_job(spark, rows):
