@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marlspike.catalog.base import Query, sql_hash, tables
 from marlspike.functions.hashing import threshold
-from marlspike.operators import text
+from marlspike.operators import discover, text
 from marlspike.plans import jobs
 from marlspike.session import materialize
 from marlspike.sources.readers import spread
@@ -227,7 +227,107 @@ SELECT cut.doc_id, {WIDE_COLS} FROM cut
 LEFT JOIN p ON p.doc_id = cut.doc_id LEFT JOIN vocab ON vocab.token = p.token GROUP BY 1
 """
 
+#: Stand-ins of the Latin letters, for text in a script without spaces.
+LATIN = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+HAN = "天地人山水火木金土日月星云雨风雪花草鱼鸟虫牛马羊龙虎" * 2
+
+
+def _han_conversations(spark: SparkSession, d: str) -> DataFrame:
+    """The turns with their letters as Han signs and without blanks; all else parts runs."""
+    (conversations,) = tables(spark, d, "conversations")
+    joined = F.translate(F.regexp_replace("text", r"[ \t\r\n]+", ""), LATIN, HAN)
+    return conversations.select("conv_id", "turn", F.regexp_replace(joined, r"[^\p{IsHan}]+", " ").alias("text"))
+
+
+HAN_SQL = rf"""han AS (SELECT conv_id, turn, regexp_extract_all(
+    translate(regexp_replace(text, '[ \t\r\n]+', '', 'g'), '{LATIN}', '{HAN}'), '\p{{Han}}+') AS runs FROM conversations),
+run AS (SELECT conv_id, turn, unnest(runs) AS r, generate_subscripts(runs, 1) AS k FROM han)"""
+# for the least count and the thresholds of discover_words
+FOUND = {"longest": 4, "least": 20, "cohesion": 2.0, "entropy": 1.0}
+WORDS_SQL = """
+place AS (SELECT r, unnest(range(1, length(r) + 1)) AS i FROM run),
+gram AS (SELECT substr(r, i, s) AS word, CASE WHEN i > 1 THEN substr(r, i - 1, 1) ELSE '' END AS "left",
+  substr(r, i + s, 1) AS "right" FROM place, (SELECT unnest([1, 2, 3, 4]) AS s) WHERE i + s - 1 <= length(r)),
+often AS (SELECT word, count(*) AS n FROM gram GROUP BY 1),
+signs AS (SELECT sum(n) AS total FROM often WHERE length(word) = 1),
+many AS (SELECT * FROM often WHERE length(word) > 1 AND n >= 20),
+cuts AS (SELECT word, n, unnest(range(1, length(word))) AS k FROM many),
+held AS (SELECT c.word, c.n, min(ln(c.n * total::DOUBLE / (h.n::DOUBLE * t.n::DOUBLE))) AS cohesion
+  FROM cuts c JOIN often h ON h.word = substr(c.word, 1, k) JOIN often t ON t.word = substr(c.word, k + 1), signs
+  GROUP BY 1, 2),
+beside AS (SELECT word, "left" AS sign, 'left' AS side, count(*) AS c FROM gram GROUP BY 1, 2
+  UNION ALL SELECT word, "right", 'right', count(*) FROM gram GROUP BY 1, 2),
+ent AS (SELECT word, side, ln(sum(c)) - sum(c * ln(c)) / sum(c) AS e FROM beside GROUP BY 1, 2),
+found AS (SELECT held.word, held.n, cohesion, l.e AS left_entropy, r.e AS right_entropy FROM held
+  JOIN ent l ON l.word = held.word AND l.side = 'left' JOIN ent r ON r.word = held.word AND r.side = 'right'
+  WHERE cohesion >= 2 AND l.e >= 1 AND r.e >= 1)"""
+
+
+def discovered(spark: SparkSession, d: str) -> DataFrame:
+    found = discover.discover_words(_han_conversations(spark, d), "text", **FOUND)
+    rounded = [F.round(c, 6).alias(c) for c in ("cohesion", "left_entropy", "right_entropy")]
+    return found.select("word", "n", *rounded)
+
+
+DISCOVERED = f"""
+WITH {HAN_SQL}, {WORDS_SQL}
+SELECT word, n, round(cohesion, 6) AS cohesion, round(left_entropy, 6) AS left_entropy,
+  round(right_entropy, 6) AS right_entropy FROM found
+"""
+
+
+def segmented(spark: SparkSession, d: str) -> DataFrame:
+    """Turns cut by the words that were discovered in them, plainly and for search."""
+    texts = _han_conversations(spark, d)
+    words = materialize(discover.discover_words(texts, "text", **FOUND).select("word", "n"), "discovered")
+    plain = text.tokenize(texts, "text", "plain", "dict", dictionary=words)
+    both = text.tokenize(plain, "text", "search", "dict", True, dictionary=words)
+    return both.select("conv_id", "turn", *[F.array_join(c, " ").alias(c) for c in ("plain", "search")])
+
+
+SEGMENTED = f"""
+WITH {HAN_SQL}, {WORDS_SQL},
+size AS (SELECT sum(n)::DOUBLE AS total FROM found),
+dict AS (SELECT word, length(word) AS s, round(1000 * ln(n / total))::BIGINT AS score FROM found, size),
+every AS (SELECT DISTINCT r FROM run),
+edge AS (
+  SELECT r, i, s, score FROM (SELECT r, unnest(range(1, length(r) + 1)) AS i FROM every) p,
+    (SELECT unnest([2, 3, 4]) AS z) JOIN dict ON s = z AND word = substr(r, i, z) WHERE i + z - 1 <= length(r)
+  UNION ALL
+  SELECT r, i, 1, round(1000 * ln(1 / total))::BIGINT
+  FROM (SELECT r, unnest(range(1, length(r) + 1)) AS i FROM every), size),
+ways AS (SELECT r, i, list({{'s': s, 'score': score}}) AS o FROM edge GROUP BY 1, 2),
+-- from the end of a run: the best sums of the next four places, and the word that is best here
+back AS (
+  WITH RECURSIVE w(r, i, best, s) AS (
+    SELECT r, length(r) + 1, [0::BIGINT], 0::BIGINT FROM every
+    UNION ALL
+    SELECT r, i, list_prepend(top.a, best)[1:4], top.b FROM (
+      SELECT w.r, ways.i, w.best, list_reverse_sort(list_transform(ways.o,
+        lambda x: {{'a': x.score + w.best[x.s], 'b': x.s::BIGINT}}))[1] AS top
+      FROM w JOIN ways ON ways.r = w.r AND ways.i = w.i - 1))
+  SELECT r, i, s FROM w WHERE s > 0),
+forth AS (
+  WITH RECURSIVE f(r, i, s) AS (
+    SELECT r, i, s FROM back WHERE i = 1
+    UNION ALL SELECT back.r, back.i, back.s FROM f JOIN back ON back.r = f.r AND back.i = f.i + f.s)
+  SELECT * FROM f),
+sub AS (
+  SELECT r, i, g, i + o AS spot FROM (SELECT *, unnest(range(0, s - g + 1)) AS o FROM forth, (SELECT unnest([2, 3]) AS g) WHERE s > g)
+  WHERE EXISTS (SELECT 1 FROM dict WHERE word = substr(r, i + o, g))),
+token AS (
+  SELECT r, i, 9 AS kind, i AS spot, substr(r, i, s) AS word FROM forth
+  UNION ALL SELECT r, i, g, spot, substr(r, spot, g) FROM sub),
+whole AS (
+  SELECT conv_id, turn, string_agg(word, ' ' ORDER BY k, i) FILTER (kind = 9) AS plain,
+    string_agg(word, ' ' ORDER BY k, i, kind, spot) AS search
+  FROM run JOIN token USING (r) GROUP BY 1, 2)
+SELECT conv_id, turn, coalesce(plain, '') AS plain, coalesce(search, '') AS search FROM han LEFT JOIN whole USING (conv_id, turn)
+"""
+
 QUERIES = {
+    "q_discover_words": Query(discovered, DISCOVERED),
+    "q_segment": Query(segmented, SEGMENTED),
     "q_tokenize": Query(tokens, TOKENIZE),
     "q_tokenize_pairs": Query(
         conversation_tokens,

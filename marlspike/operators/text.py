@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import pandas as pd
 import regex
@@ -19,7 +21,8 @@ from marlspike.sources.parsers import format_id_line
 MODES = ("unicode", "cjk_bigram", "dict")
 # Size checks in front of driver-side lists; larger tables join instead.
 MAX_STOPWORDS = 20_000
-MAX_DICTIONARY = 1_000_000
+# Signs of a dictionary's words that are sent to the tasks in one piece.
+SHARD_SIGNS = 1 << 20
 MAX_VOCABULARY = 200_000
 MAX_EMBEDDINGS = 20_000
 
@@ -76,14 +79,16 @@ def tokenize(
     mode: str = "unicode",
     search: bool = False,
     dictionary: DataFrame | None = None,
-    key: str | None = None,
 ) -> DataFrame:
-    """Add an array of tokens. mode="dict" cuts Han runs by the longest word
-    of a one-column dictionary table; other text is cut as in unicode mode.
-
-    A checked dictionary goes to every task, a larger one is joined; the tokens are
-    the same. The join finds its rows again by key, a column unique per row, or
-    without one by a number written beside them.
+    """Add an array of tokens. mode="dict" cuts Han runs by a dictionary table (word and,
+    as a second column, how often it occurs; 1 without it); other text is cut as in
+    unicode mode.
+
+    All dictionary words of a run make a lattice; of its paths the one with the largest
+    sum of log frequencies is taken, at a tie the one with the longer first word. A sign
+    in no word counts as occurring once. search adds the dictionary words of two and
+    three signs inside a longer token. A dictionary of any size is sent in shards of
+    bounded size, and a task matches a batch against one after the other.
     """
     if mode not in MODES:
         raise ValueError(f"mode is one of {', '.join(MODES)}")
@@ -91,114 +96,102 @@ def tokenize(
         return df.withColumn(out, token_column(col, mode, search))
     if dictionary is None:
         raise ValueError("dict mode needs a dictionary table")
-    word = dictionary.columns[0]
-    held, small = localize(
-        dictionary.select(F.lower(word).alias("word")).where(F.length("word") > 1).distinct(),
-        MAX_DICTIONARY,
-    )
     runs = F.regexp_extract_all(
         F.lower(F.coalesce(F.col(col), F.lit(""))), F.lit(f"({RUN})"), F.lit(0)
     )
-    if not small:
-        if key is None:
-            rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
-            return _match_by_join(rows, "_row", runs, held, search, out).drop("_row")
-        return _match_by_join(df, key, runs, held, search, out)
-    words = df.sparkSession.sparkContext.broadcast(frozenset(r["word"] for r in held.collect()))
+    shards, unknown = _shards(dictionary)
 
     @F.pandas_udf("array<string>")
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = words.value
-        longest = max(map(len, known), default=1)
         for batch in batches:
-            yield batch.map(lambda runs: _longest_match(runs, known, longest, search))
+            han = [r for runs in batch for r in runs if HAN.match(r)]  # the script decides, as in HAN_RUN
+            found = _lattices(list(dict.fromkeys(han)), shards)
+            ways = {run: _best_path(run, words, unknown, search) for run, words in found.items()}
+            yield batch.map(lambda runs: [t for r in runs for t in ways.get(r, (r,))])
 
     return df.withColumn(out, cut(runs))
 
 
-def _longest_match(runs: Sequence[str], known: frozenset, longest: int, search: bool) -> list[str]:
+def _score(often: Column, total: int) -> Column:
+    """Log frequency in thousandths: whole numbers add up alike in any order."""
+    return F.round(1000 * F.log(often / F.lit(float(total)))).cast("bigint")
+
+
+def _shards(dictionary: DataFrame) -> tuple[list, int]:
+    """(broadcast shards of (word, score), the score of a sign in no word). A shard holds
+    about SHARD_SIGNS signs, by a hash of the word."""
+    names = dictionary.columns
+    often = F.greatest(F.col(names[1]).cast("double"), F.lit(1.0)) if len(names) > 1 else F.lit(1.0)
+    word = F.lower(F.col(names[0]))
+    words = dictionary.select(word.alias("word"), F.coalesce(often, F.lit(1.0)).alias("often"))
+    words = words.where(F.length("word") > 0).groupBy("word").agg(F.max("often").alias("often"))
+    words = materialize(words, "dictionary")
+    size = words.agg(F.sum(F.length("word")).alias("signs"), F.sum("often").alias("total")).first()
+    total = size["total"] or 1.0
+    count = max(1, math.ceil((size["signs"] or 0) / SHARD_SIGNS))
+    context = dictionary.sparkSession.sparkContext
+    shard = F.pmod(F.xxhash64("word"), F.lit(count))
+    held = words.select("word", _score(F.col("often"), total).alias("score"), shard.alias("shard"))
+    parts = []
+    for i in range(count):
+        own = held.where(F.col("shard") == i).select("word", "score").toPandas()
+        parts.append(context.broadcast((i, list(own["word"]), list(own["score"]))))
+    return parts, round(1000 * math.log(1.0 / total))
+
+
+@lru_cache(maxsize=2)
+def _automaton(shard):
+    """The trie of a shard's words with failure links; kept for the latest shards."""
+    import ahocorasick
+
+    trie = ahocorasick.Automaton()
+    _, words, scores = shard.value
+    for word, score in zip(words, scores):
+        trie.add_word(word, (len(word), int(score)))
+    trie.make_automaton()
+    return trie
+
+
+def _lattices(runs: Sequence[str], shards: Sequence) -> dict[str, list[dict[int, int]]]:
+    """For each run and place the dictionary words that start there: size to score."""
+    found: dict[str, list[dict[int, int]]] = {run: [{} for _ in run] for run in runs}
+    for shard in shards:
+        trie = _automaton(shard)
+        if len(trie):
+            for run, words in found.items():
+                for end, (size, score) in trie.iter(run):
+                    words[end - size + 1][size] = score
+    return found
+
+
+def _best_path(run: str, words: list[dict[int, int]], unknown: int, search: bool) -> list[str]:
+    n = len(run)
+    best, step = [0] * (n + 1), [1] * n
+    for at in range(n - 1, -1, -1):
+        ways = words[at] if 1 in words[at] else {1: unknown, **words[at]}
+        best[at], step[at] = max((score + best[at + size], size) for size, score in ways.items())
     tokens: list[str] = []
-    for run in runs:
-        if not HAN.match(run):  # the script decides, as in HAN_RUN
-            tokens.append(run)
-            continue
-        at = 0
-        while at < len(run):
-            size = min(longest, len(run) - at)
-            while size > 1 and run[at : at + size] not in known:
-                size -= 1
-            word = run[at : at + size]
-            if search:
-                for gram in (2, 3):
-                    if size > gram:
-                        parts = (word[i : i + gram] for i in range(size - gram + 1))
-                        tokens.extend(p for p in parts if p in known)
-            tokens.append(word)
-            at += size
+    at = 0
+    while at < n:
+        size = step[at]
+        if search:
+            for gram in (2, 3):
+                if size > gram:
+                    starts = range(at, at + size - gram + 1)
+                    tokens.extend(run[i : i + gram] for i in starts if gram in words[i])
+        tokens.append(run[at : at + size])
+        at += size
     return tokens
 
 
-def _match_by_join(
-    df: DataFrame, key: str, runs: Column, words: DataFrame, search: bool, out: str
-) -> DataFrame:
-    """Longest match with a dictionary of any size: every substring up to the
-    longest word is looked up by a join, then each run is walked in its row."""
-    longest = words.agg(F.max(F.length("word")).alias("n")).first()["n"]
-    text = F.col("_text")
-    cut = df.select(key, F.posexplode_outer(runs).alias("_run", "_text"))
-    places = cut.where(text.rlike(HAN_RUN) & (F.length(text) > 1)).select(
-        key, "_run", "_text", F.explode(F.sequence(F.lit(1), F.length(text) - 1)).alias("_at")
-    )
-    room = F.least(F.lit(longest), F.length(text) - F.col("_at") + 1)
-    spans = places.select("*", F.explode(F.sequence(F.lit(2), room)).alias("_size"))
-    found = spans.withColumn("word", F.substring(text, F.col("_at"), F.col("_size")))
-    sizes = (
-        found.join(words, "word", "left_semi")
-        .groupBy(key, "_run", "_at")
-        .agg(F.collect_list("_size").alias("_sizes"))
-    )
-    hits = sizes.groupBy(key, "_run").agg(
-        F.map_from_entries(F.collect_list(F.struct("_at", "_sizes"))).alias("_hits")
-    )
-    none = F.array().cast("array<string>")
-
-    def sizes_at(i: Column) -> Column:
-        return F.coalesce(F.try_element_at("_hits", i), F.array().cast("array<int>"))
-
-    def parts(i: Column, size: Column, gram: int) -> Column:
-        starts = F.filter(
-            F.sequence(i, i + size - gram), lambda j: F.array_contains(sizes_at(j), gram)
-        )
-        words_at = F.transform(starts, lambda j: F.substring(text, j, F.lit(gram)))
-        return F.when(size > gram, words_at).otherwise(none)
-
-    def walk(state: Column, i: Column) -> Column:
-        size = F.coalesce(F.array_max(sizes_at(i)), F.lit(1))
-        token = F.array(F.substring(text, i, size))
-        added = F.concat(parts(i, size, 2), parts(i, size, 3), token) if search else token
-        taken = F.struct((i + size).alias("next"), F.concat(state["out"], added).alias("out"))
-        return F.when(i < state["next"], state).otherwise(taken)
-
-    start = F.struct(F.lit(1).alias("next"), none.alias("out"))
-    walked = F.aggregate(F.sequence(F.lit(1), F.length(text)), start, walk, lambda s: s["out"])
-    tokens = F.when(text.rlike(HAN_RUN), walked).otherwise(F.array(text))
-    per_run = cut.where(text.isNotNull()).join(hits, [key, "_run"], "left")
-    whole = per_run.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("_run", tokens.alias("_cut")))).alias("_runs")
-    )
-    merged = df.join(whole.select(key, F.flatten("_runs._cut").alias("_tokens")), key, "left")
-    kept = [F.col(f"`{c}`") for c in df.columns if c != out]
-    return merged.select(*kept, F.coalesce("_tokens", none).alias(out))
-
-
 def remove_stopwords(
-    df: DataFrame, tokens: str, stopwords: DataFrame, key: str | None = None, out: str | None = None
+    df: DataFrame, tokens: str, stopwords: DataFrame, out: str | None = None
 ) -> DataFrame:
     """Drop exact, case-sensitive matches, keeping order and repeats.
 
     A checked list becomes a hash-set predicate inside the row, without a
-    shuffle. With a larger one tokens are exploded, anti-joined and put back in order,
-    by the row key or, without one, by a number written beside the rows.
+    shuffle. With a larger one tokens are exploded, anti-joined and put back in order
+    by a number written beside the rows.
     """
     out = out or tokens
     word = stopwords.columns[0]
@@ -208,10 +201,8 @@ def remove_stopwords(
         if not listed:
             return df.withColumn(out, F.col(tokens))
         return df.withColumn(out, F.filter(tokens, lambda t: ~t.isin(listed)))
-    if key is None:
-        rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
-        return _without(rows, tokens, stopwords, "_row", out).drop("_row")
-    return _without(df, tokens, stopwords, key, out)
+    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    return _without(rows, tokens, stopwords, "_row", out).drop("_row")
 
 
 def _without(df: DataFrame, tokens: str, stopwords: DataFrame, key: str, out: str) -> DataFrame:

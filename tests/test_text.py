@@ -1,6 +1,14 @@
+import math
+import random
+from collections import Counter
+
 import pytest
+import regex
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from marlspike.operators import discover
 from marlspike.operators import text as T
 
 
@@ -33,39 +41,108 @@ def test_dictionary(spark):
         cut(spark, "x", mode="dict")
 
 
+def best_paths(run, often):
+    """Every cut of a run into dictionary words and single signs, best first: by the sum of
+    the scores, then by the sizes from the front, longer first."""
+    total = sum(often.values()) or 1
+    score = lambda w: round(1000 * math.log(often.get(w, 1) / total))
+
+    def cuts(at):
+        if at == len(run):
+            yield ()
+        for end in range(at + 1, len(run) + 1):
+            if end == at + 1 or run[at:end] in often:
+                for rest in cuts(end):
+                    yield (run[at:end], *rest)
+
+    return max(cuts(0), key=lambda c: (sum(map(score, c)), [len(w) for w in c]))
+
+
+OFTEN = {"北京": 40, "北京大学": 6, "大学生": 9, "大学": 30, "学生": 25, "生活": 20, "京大学": 1, "活": 7, "学": 3}
+
+
+@pytest.mark.parametrize("signs", [1 << 20, 5])
 @pytest.mark.parametrize("search", [False, True])
-def test_dictionary_beyond_the_check(spark, monkeypatch, search):
-    """The joined form cuts as the form that holds the dictionary in each task."""
-    words = spark.createDataFrame([(w,) for w in ("北京", "北京大学", "大学生", "大学", "学生", "生活", "京大学")], "w string")
-    rows = [(1, "我在北京大学生活 ok"), (2, "北京大学，大学生 x1"), (3, ""), (4, None), (5, "学"), (6, "生活北京北京大"), (7, "abc")]
-    df = spark.createDataFrame(rows, "k int, t string")
-    held = T.tokenize(df, "t", mode="dict", dictionary=words, search=search)
-    small = {r["k"]: r["tokens"] for r in held.collect()}
-    monkeypatch.setattr(T, "MAX_DICTIONARY", 2)
-    joined = T.tokenize(df, "t", mode="dict", dictionary=words, search=search, key="k")
-    assert {r["k"]: r["tokens"] for r in joined.collect()} == small
-    assert small[2][-1] == "x1" and small[3] == small[4] == []
-    unkeyed = T.tokenize(df, "t", mode="dict", dictionary=words, search=search)
-    assert {r["k"]: r["tokens"] for r in unkeyed.collect()} == small
-
-
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_one_rule_for_the_script(spark, monkeypatch, limit):
+def test_lattice_equals_every_cut(spark, monkeypatch, search, signs):
+    """Whatever the number of shards, and with rows and keys that repeat."""
+    monkeypatch.setattr(T, "SHARD_SIGNS", signs)
+    words = spark.createDataFrame([*OFTEN.items(), ("北京", 2), ("", 5), ("没有", None)], "w string, n long")
+    often = OFTEN | {"没有": 1}
+    texts = ["我在北京大学生活 ok", "北京大学，大学生 x1", "", None, "学", "生活北京北京大", "abc", "北京大学生活北京大学生活", "abc"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    held = T.tokenize(df, "t", mode="dict", dictionary=words, search=search).collect()
+    for row in held:
+        want = []
+        for run in regex.findall(r"\p{Han}+|[a-z0-9]+", texts[row["k"]] or ""):
+            for token in best_paths(run, often) if regex.match(r"\p{Han}", run) else (run,):
+                if search and regex.match(r"\p{Han}", run):
+                    for gram in (2, 3):
+                        if len(token) > gram:
+                            parts = [token[i : i + gram] for i in range(len(token) - gram + 1)]
+                            want += [p for p in parts if p in often]
+                want.append(token)
+        assert row["tokens"] == want, texts[row["k"]]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="天地人", max_size=9), st.dictionaries(st.text(alphabet="天地人", min_size=1, max_size=4), st.integers(1, 50)))
+def test_best_path_is_best(run, often):
+    total = sum(often.values()) or 1
+    score = lambda w: round(1000 * math.log(often.get(w, 1) / total))
+    words = [{e - i: score(run[i:e]) for e in range(i + 1, len(run) + 1) if run[i:e] in often} for i in range(len(run))]
+    assert tuple(T._best_path(run, words, score("?"), False)) == best_paths(run, often)
+
+
+@pytest.mark.parametrize("signs", [1_000_000, 1])
+def test_one_rule_for_the_script(spark, monkeypatch, signs):
     """Signs of the script outside the usual code ranges are cut like the others."""
-    monkeypatch.setattr(T, "MAX_DICTIONARY", limit)
+    monkeypatch.setattr(T, "SHARD_SIGNS", signs)
     words = spark.createDataFrame([("〇一",)], "w string")
     df = spark.createDataFrame([(1, "〇一二 々")], "k int, t string")
     assert T.tokenize(df, "t", mode="dict", dictionary=words).first()["tokens"] == ["〇一", "二", "々"]
 
 
+def test_no_dictionary_words(spark):
+    none = spark.createDataFrame([], "w string, n long")
+    assert cut(spark, "北京 ok", mode="dict", dictionary=none) == ["北", "京", "ok"]
+
+
 @pytest.mark.parametrize("limit", [20_000, 1])
 def test_stopwords_both_ways(spark, monkeypatch, limit):
     monkeypatch.setattr(T, "MAX_STOPWORDS", limit)
-    df = spark.createDataFrame([(1, ["a", "b", "a", "C", "c"]), (2, ["b"]), (3, []), (4, None)], "k int, tokens array<string>")
+    rows = [(1, ["a", "b", "a", "C", "c"]), (1, ["c", "the"]), (2, ["b"]), (3, []), (4, None)]
+    df = spark.createDataFrame(rows, "k int, tokens array<string>")
     stop = spark.createDataFrame([("b",), ("c",), ("c",)], "w string")
-    for key in ("k", None):
-        found = T.remove_stopwords(df, "tokens", stop, key=key).collect()
-        assert {r["k"]: r["tokens"] for r in found} == {1: ["a", "a", "C"], 2: [], 3: [], 4: None}
+    found = sorted(((r["k"], r["tokens"]) for r in T.remove_stopwords(df, "tokens", stop).collect()), key=str)
+    assert found == [(1, ["a", "a", "C"]), (1, ["the"]), (2, []), (3, []), (4, None)]
+
+
+def test_word_discovery(spark):
+    """Against counts in plain Python."""
+    rng = random.Random(4)
+    words = ["天地", "山水火", "木", "金", "土日月星", "云"]
+    texts = ["".join(rng.choice(words) for _ in range(30)) + "x" for _ in range(40)] + [None, "", "abc", "云"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = {r["word"]: tuple(r)[1:] for r in discover.discover_words(df, "t", 4, 20, 0.3, 0.4).collect()}
+    n, beside = Counter(), {"left": {}, "right": {}}
+    for run in (r for t in texts for r in regex.findall(r"\p{Han}+", t or "")):
+        for i in range(len(run)):
+            for size in range(1, min(4, len(run) - i) + 1):
+                w = run[i : i + size]
+                n[w] += 1
+                beside["left"].setdefault(w, Counter())[run[i - 1] if i else ""] += 1
+                beside["right"].setdefault(w, Counter())[run[i + size : i + size + 1]] += 1
+    total = sum(c for w, c in n.items() if len(w) == 1)
+    want = {}
+    for w, c in n.items():
+        if len(w) > 1 and c >= 20:
+            held = min(math.log(c * total / (n[w[:k]] * n[w[k:]])) for k in range(1, len(w)))
+            ent = [math.log(c) - sum(x * math.log(x) for x in beside[s][w].values()) / c for s in ("left", "right")]
+            if held >= 0.3 and min(ent) >= 0.4:
+                want[w] = (c, held, *ent)
+    assert found.keys() == want.keys() and {"天地", "山水火", "土日月星"} <= found.keys()
+    assert all(found[w] == pytest.approx(want[w]) for w in want)
+    assert discover.discover_words(df.limit(0), "t").count() == 0
 
 
 def test_vocabulary(spark):
