@@ -37,16 +37,16 @@ LEFT JOIN (SELECT o_custkey, count(*) AS n_urgent FROM orders
 
 def join_right(spark: SparkSession, d: str) -> DataFrame:
     orders, lineitem = tables(spark, d, "orders", "lineitem")
-    base = orders.where(F.col("o_orderstatus") == "F").select(
-        F.col("o_orderkey").alias("key"), "o_orderpriority"
-    )
+    # open orders get keys that no line has
+    key = F.when(F.col("o_orderstatus") == "O", -F.col("o_orderkey")).otherwise(F.col("o_orderkey"))
+    base = orders.select(key.alias("key"), "o_orderpriority")
     predictions = lineitem.select(F.col("l_orderkey").alias("key"), "l_partkey", "l_quantity")
     return relate.join_predictions(base, predictions, "key")
 
 
 JOIN_RIGHT = """
 SELECT l_orderkey AS key, o_orderpriority, l_partkey, l_quantity
-FROM (SELECT * FROM orders WHERE o_orderstatus = 'F')
+FROM (SELECT CASE WHEN o_orderstatus = 'O' THEN -o_orderkey ELSE o_orderkey END AS o_orderkey, o_orderpriority FROM orders)
 RIGHT JOIN lineitem ON o_orderkey = l_orderkey
 """
 
@@ -291,14 +291,14 @@ SELECT l_returnflag, l_suppkey, count(*) AS n FROM k GROUP BY 1, 2
 def first_n(spark: SparkSession, d: str) -> DataFrame:
     (orders,) = tables(spark, d, "orders")
     negatives = orders.where(F.col("o_orderstatus") == "O").select("o_orderkey", "o_totalprice")
-    positives = orders.where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_totalprice")
+    positives = orders.where(F.col("o_orderstatus") != "O").select("o_orderkey", "o_totalprice")
     return sample.take_n(negatives, 3000, "o_orderkey", SEED).unionByName(positives)
 
 
 TAKE_N = f"""
 (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'O'
   ORDER BY {ORDER_HASH}, o_orderkey LIMIT 3000)
-UNION ALL (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F')
+UNION ALL (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'O')
 """
 
 

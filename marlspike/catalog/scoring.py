@@ -126,10 +126,9 @@ def _f_sql(rows: str, score: str, positive: str) -> str:
 
 
 def evaluated(spark: SparkSession, d: str) -> DataFrame:
-    """Predictions of some items joined back to labels, as a long report."""
+    """Predictions joined back to labels, as a long report."""
     scored = _scored(spark, d)
-    predictions = scored.where(F.col("prediction") != 2).drop("label")
-    report = evaluate.evaluate(predictions, scored.select("item_id", "label"), "item_id", positive=1)
+    report = evaluate.evaluate(scored.drop("label"), scored.select("item_id", "label"), "item_id", positive=1)
     matrix = report["confusion"].select(
         F.concat_ws(" as ", "label", "prediction").alias("what"), F.col("count").cast("double").alias("value")
     )
@@ -139,12 +138,11 @@ def evaluated(spark: SparkSession, d: str) -> DataFrame:
     return matrix.unionByName(share).unionByName(best)
 
 
-_PREDICTED = f"SELECT * FROM ({SCORED}) WHERE prediction <> 2"
 _CLASS_1 = "(CASE WHEN prediction = 1 THEN probability ELSE 1 - probability END)"
 EVALUATE = f"""
-SELECT label || ' as ' || prediction AS what, count(*)::DOUBLE AS value FROM ({_PREDICTED}) GROUP BY 1
-UNION ALL SELECT 'accuracy', round(avg((label = prediction)::INT), 9) FROM ({_PREDICTED})
-UNION ALL SELECT 'best f', round(max(f), 9) FROM ({_f_sql(_PREDICTED, _CLASS_1, "label = 1")})
+SELECT label || ' as ' || prediction AS what, count(*)::DOUBLE AS value FROM ({SCORED}) GROUP BY 1
+UNION ALL SELECT 'accuracy', round(avg((label = prediction)::INT), 9) FROM ({SCORED})
+UNION ALL SELECT 'best f', round(max(f), 9) FROM ({_f_sql(SCORED, _CLASS_1, "label = 1")})
 """
 
 
@@ -187,18 +185,22 @@ WHERE rank <= 2000
 def _published_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     (orders,) = tables(spark, d, "orders")
     name = F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("company_name")
-    scored = orders.where(F.col("o_orderpriority") != "5-LOW").select(
-        name, F.col("o_orderkey").alias("id"),
+    # some scored orders have ids without a prediction, some attributes names that none has
+    low = F.when(F.col("o_orderpriority") == "5-LOW", -F.col("o_orderkey")).otherwise(F.col("o_orderkey"))
+    scored = orders.select(
+        name, low.alias("id"),
         F.expr("CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END").alias("label"),
     )
-    attributes = orders.where(F.col("o_totalprice") > 100000).select(name, "o_totalprice")
+    cheap = F.when(F.col("o_totalprice") > 100000, "").otherwise("other ")
+    attributes = orders.select(F.concat(cheap, name).alias("company_name"), "o_totalprice")
     return _lines(spark, d), scored, attributes
 
 
-_SCORED_NAMES = """(SELECT 'order ' || o_orderkey AS company_name, o_orderkey AS item_id,
-  CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS label
-  FROM orders WHERE o_orderpriority <> '5-LOW')"""
-_ATTRIBUTES = "(SELECT 'order ' || o_orderkey AS company_name, o_totalprice FROM orders WHERE o_totalprice > 100000)"
+_SCORED_NAMES = """(SELECT 'order ' || o_orderkey AS company_name,
+  CASE WHEN o_orderpriority = '5-LOW' THEN -o_orderkey ELSE o_orderkey END AS item_id,
+  CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS label FROM orders)"""
+_ATTRIBUTES = """(SELECT CASE WHEN o_totalprice > 100000 THEN '' ELSE 'other ' END || 'order ' || o_orderkey AS company_name,
+  o_totalprice FROM orders)"""
 
 
 def publish_results(spark: SparkSession, d: str) -> DataFrame:
