@@ -23,16 +23,16 @@ from marlspike.session import materialize
 BUCKETS = 1 << 24
 
 
-def gram_keys(tokens: str, buckets: int = BUCKETS) -> Column:
-    """The keys of a token array's words and neighbouring pairs."""
+def gram_keys(tokens: str, pairs: bool, buckets: int = BUCKETS) -> Column:
+    """The keys of a token array's words and, if asked for, of neighbouring pairs."""
     c = F.col(tokens)
     words = F.transform(c, lambda t: F.pmod(F.xxhash64(t), F.lit(buckets)))
-    pairs = F.zip_with(
+    both = F.zip_with(
         F.slice(c, 1, F.greatest(F.size(c) - 1, F.lit(0))), F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0))),
         lambda a, b: F.pmod(F.xxhash64(a, b, F.lit(2)), F.lit(buckets)),
     )
     none = F.array().cast("array<long>")
-    return F.coalesce(F.concat(words, F.when(F.size(c) > 1, pairs).otherwise(none)), none)
+    return F.coalesce(F.concat(words, F.when(F.size(c) > 1, both).otherwise(none)) if pairs else words, none)
 
 
 @dataclass(frozen=True)
@@ -40,6 +40,7 @@ class GramLearner(Learner):
     classes: int
     width: int = 8
     seed: int = 0
+    pairs: bool = True
 
     def vector_bytes(self) -> int:
         return 8 * self.width
@@ -96,10 +97,11 @@ def train_ngrams(
     label: str = "label",
     config: TrainConfig = TrainConfig(),
     width: int = 8,
+    pairs: bool = True,
 ) -> tuple[GramModel, DataFrame]:
     """Fit on token arrays; labels count from 0."""
-    learner = GramLearner(classes, width, config.seed)
-    examples = rows.select(F.col(label).cast("int").alias("label"), gram_keys(tokens).alias("keys"))
+    learner = GramLearner(classes, width, config.seed, pairs)
+    examples = rows.select(F.col(label).cast("int").alias("label"), gram_keys(tokens, pairs).alias("keys"))
     dense, table, history = sparse.train(examples, learner, learner.dense(), config)
     return GramModel(learner, dense, table), history
 
@@ -108,7 +110,7 @@ def score_ngrams(model: GramModel, rows: DataFrame, key: str, tokens: str = "tok
     """(key, prediction, probability, probabilities) of rows; classes count from 0."""
     shared = rows.sparkSession.sparkContext.broadcast(model.dense)
     learner = model.learner
-    keyed = rows.select(F.col(key).alias("own"), gram_keys(tokens).alias("keys"))
+    keyed = rows.select(F.col(key).alias("own"), gram_keys(tokens, learner.pairs).alias("keys"))
     numbered = materialize(keyed.withColumn("row", F.monotonically_increasing_id()), "scoring")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
