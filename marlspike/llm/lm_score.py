@@ -10,7 +10,7 @@ The filter is built in segments by the hash of the n-gram; each is as large as i
 entries ask for (BITS bits an entry and level). Segments are broadcast to the
 workers, at most `most_bytes` at a time. If the filter is larger, the texts are
 probed in as many rounds, each against a part of the segments; a text's levels from
-all rounds are brought together by its digest before it is scored. One round or
+all rounds, packed, are brought together by its digest before it is scored. One round or
 several give the same scores.
 
     p(w | h) = (f(h w) + MU * p(w)) / (f(h) + MU)
@@ -20,7 +20,8 @@ The base score needs exact counts. Those of the most frequent words are broadcas
 `head` words of at most HEAD_BYTES altogether; all other words of a text are joined with
 the counts.
 
-Defined results: a null text counts as empty and consists of its end. Rows that
+Defined results: a null text counts as empty and consists of its end. A table without
+rows gives no rows. Rows that
 share an id are scored each. Without training texts N and V are 0 and every token
 has the probability 1. Further columns are ignored.
 """
@@ -28,6 +29,7 @@ has the probability 1. Further columns are ignored.
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -295,7 +297,8 @@ def _score_rows(sent, head, facts):
 
 
 def _probe_rows(sent):
-    """Rows (text) to (digest, levels) from a part of the filter."""
+    """Rows (text) to (digest, levels) from a part of the filter. The levels are packed: a
+    part holds few of a text's n-grams, the others have the level 0."""
 
     def run(batches):
         for batch in batches:
@@ -306,7 +309,9 @@ def _probe_rows(sent):
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("digest"),
-                        pa.array([levels[:, a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()),
+                        pa.array(
+                            [zlib.compress(levels[:, a:b].tobytes(), 1) for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()
+                        ),
                     ],
                     ["digest", "levels"],
                 )
@@ -321,8 +326,10 @@ def _joined_scores(facts):
         for batch in batches:
             scores = []
             for parts in batch.column("parts"):
-                found = np.stack([np.frombuffer(x.as_buffer(), np.uint8) for x in parts.values])
-                words, pairs = found.max(axis=0).reshape(2, -1)
+                found = np.zeros(1, np.uint8)
+                for part in parts.values:
+                    found = np.maximum(found, np.frombuffer(zlib.decompress(part.as_buffer()), np.uint8))
+                words, pairs = found.reshape(2, -1)
                 is_end = np.zeros(len(words), bool)
                 is_end[-1] = True
                 scores.append(float(token_scores(words, pairs, is_end, facts).sum()))
