@@ -12,7 +12,7 @@ The result has one narrow row per digest. Each document finds its class by its
 digest; where one digest turns out to stand for several texts, those documents
 find theirs by (digest, text) instead.
 
-Defined results: a null text counts as empty, and empty texts are equal. Rows
+Defined results: a table without rows gives no rows; a null text counts as empty, and empty texts are equal. Rows
 that share an id and a text are counted each and kept or dropped together. A
 null id is kept only if no equal text has an id. Further columns are ignored.
 """

@@ -17,7 +17,7 @@ without any clusters, the hardest case; clustered data need a smaller REACH.
 Equal vectors are indexed once and stand for their smallest ids, so a vector that
 many rows share makes no large group, and ties go to smaller ids.
 
-Defined results: vectors that are null, of a length other than the most frequent,
+Defined results: a table without rows gives no rows; vectors that are null, of a length other than the most frequent,
 zero, or hold a null or non-finite component take no part; nor do rows without an
 id. An id on several rows counts once, with the smallest of its vectors. Further
 columns are ignored.

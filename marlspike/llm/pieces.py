@@ -16,7 +16,7 @@ per Arrow batch, and a difference raises an error. Decoding joins the pieces'
 bytes, marks as spaces, and drops the space of the first piece.
 
 Texts are handled whole. The memory is bounded by a batch slice, its longest text
-and MOST_KEPT stretches. Defined results: a null text counts as empty; an empty
+and MOST_KEPT stretches. Defined results: a table without rows gives no rows; a null text counts as empty; an empty
 text has no ids and decodes to an empty text. A literal U+2581 decodes to a space,
 as in the library. Repeated rows give repeated results; further columns are
 ignored.

@@ -26,7 +26,7 @@ of a name, whatever the title. Further mentions of such a name in the text, with
 title, get the same surrogate. Letters of no fixed alphabet stay among those of their
 case in the same 256 code points, digits of other scripts among the ten of their script.
 
-Defined results: a null text stays null, an empty one empty; a text without entities
+Defined results: a table without rows gives no rows; a null text stays null, an empty one empty; a text without entities
 is returned unchanged. Repeated rows give repeated results; further columns are
 ignored. Texts are handled whole, one after the other.
 """

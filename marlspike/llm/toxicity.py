@@ -16,7 +16,7 @@ below the median of the sample, grade 2 from there on. The sample is dealt over
 Spark tasks whose parameters are averaged; the model sent to the workers has at most
 MOST weights.
 
-Defined results: a null or empty text has no features and the severity that the
+Defined results: a table without rows gives no rows; a null or empty text has no features and the severity that the
 thresholds alone give. Rows that share an id are judged each; labels that are null or
 disagree for an id count as toxic if one says so. Without toxic labels every text has
 severity 0. Further columns are ignored.
