@@ -1,12 +1,18 @@
 """WARC archives through a chunked record table.
 
-A payload becomes rows (record, chunk number, data): no row holds more than
-`chunk` characters. Writing puts each chunk into a record of its own: the first
-into a `response` record, the others into `continuation` records that name it, as
-the format's segmentation asks; a payload that an earlier record has becomes a
-`revisit` without a payload. Spark's text writer commits the files, so a lost
-executor leaves nothing half-written. Files are compressed and not split when
-read, so a file's lines arrive in order.
+A payload becomes rows (row, chunk number, data, bytes so far, SHA-1 so far): no row
+holds more than `chunk` bytes, or three more where a character would be cut. An Arrow
+generator cuts each payload once, from a view of its bytes, with running digests; the
+chunk rows are written as a table, and only they move from then on. The last row of
+each payload gives its length and digests, from which the plan of records is made
+without any payload. The plan's row of a record sorts in front of its chunks and a
+running window hands its fields down, so that the record's lines leave a task in
+order and a task holds no payload: the window spills. The first chunk becomes a
+`response` record, the others `continuation` records that name it, as the format's
+segmentation asks; a payload that an earlier record has becomes a `revisit` without a
+payload. Spark's text writer commits the files, so a lost executor leaves nothing
+half-written. Files are compressed and not split when read, so a file's lines arrive
+in order.
 
 Reading follows the lines as a stream and hands out payloads piece by piece: it
 buffers at most PIECE bytes and a line, whatever a record's length, and yields rows
@@ -30,98 +36,137 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marlspike.session import scratch_path
+from marlspike.session import materialize, scratch_path
 
-CHUNK = 1 << 20  # characters of a payload in one record
+CHUNK = 1 << 16  # bytes of a payload in one record
 PIECE = 1 << 16  # bytes that the reader hands out at once
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 DATE = "2000-01-01T00:00:00Z"
+CHUNKS = "row long, id long, url string, chunk long, data binary, size long, digest string, sha string, last boolean"
 COLUMNS = (
     "record string, id long, kind string, refers long, payload_bytes long, "
     "chunk long, size long, data binary, digest string, last boolean"
 )
 
 
-def _base32(hexadecimal: Column) -> Column:
-    """Upper-case base32 of a SHA-1 given in hexadecimal: 32 groups of five bits."""
-    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-    quads = [F.conv(F.substring(hexadecimal, 10 * i + 1, 10), 16, 10).cast("long") for i in range(4)]
-    out = []
-    for quad in quads:
-        for shift in range(35, -1, -5):
-            place = F.shiftright(quad, shift).bitwiseAND(F.lit(31)).cast("int") + 1
-            out.append(F.substring(F.lit(letters), place, F.lit(1)))
-    return F.concat(*out)
+def arrow_schema(columns: str) -> pa.Schema:
+    kinds = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
+    return pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in columns.split(", ")])
+
+
+def pack(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+
+
+def pieces(raw: memoryview, chunk: int) -> Iterator[memoryview]:
+    """raw in parts of chunk bytes that end where a UTF-8 character ends; one empty part for nothing."""
+    start, size = 0, len(raw)
+    while True:
+        end = min(start + chunk, size)
+        while end < size and raw[end] & 0xC0 == 0x80:
+            end += 1
+        yield raw[start:end]
+        start = end
+        if start >= size:
+            return
+
+
+def cut(pages: DataFrame, key: str, payload: str, url: str | None, chunk: int) -> DataFrame:
+    """The chunked record table of pages (see CHUNKS): size and digest run along, sha is
+    the SHA-256 of the whole payload and stands in its last row only."""
+    schema = arrow_schema(CHUNKS)
+
+    def run(batches):
+        for batch in batches:
+            out, held = [], 0
+            for row, own, target, body in zip(*(batch.column(i) for i in range(4))):
+                row, own, target = row.as_py(), own.as_py(), target.as_py()
+                raw = memoryview(body.as_buffer() if body.is_valid else b"")
+                sha1, sha256, size = hashlib.sha1(), hashlib.sha256(), 0
+                for number, part in enumerate(pieces(raw, chunk)):
+                    sha1.update(part)
+                    sha256.update(part)
+                    size += len(part)
+                    last = size == len(raw)
+                    digest = base64.b32encode(sha1.copy().digest()).decode()
+                    whole = sha256.hexdigest() if last else None
+                    out.append((row, own, target, number, bytes(part), size, digest, whole, last))
+                    held += 200 + len(part)
+                    if held > 4_000_000:
+                        yield pack(out, schema)
+                        out, held = [], 0
+            if out:
+                yield pack(out, schema)
+
+    target = F.col(url) if url else F.lit(None)
+    rows = pages.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col(key).cast("long").alias("id"),
+        target.cast("string").alias("url"),
+        F.col(payload).cast("string").alias("body"),
+    )
+    return rows.mapInArrow(run, CHUNKS)
 
 
 def name(key: Column, sha: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(key.cast("string"), F.lit("none")), F.lit(":"), F.substring(sha, 1, 16), F.lit(">"))
 
 
-def plan_records(pages: DataFrame, key: str, payload: str, least: int) -> DataFrame:
-    """(id, sha, bytes, refers) for each distinct id and payload; refers: the id of the
-    response, null for responses."""
-    body = F.coalesce(F.col(payload), F.lit(""))
-    rows = pages.select(
-        F.col(key).alias("id"), F.sha2(body.cast("binary"), 256).alias("sha"), F.octet_length(body).cast("long").alias("bytes")
-    ).distinct()
-    first = rows.filter(F.col("bytes") >= least).groupBy("sha", "bytes").agg(F.max("id").alias("first"))
-    joined = rows.join(first, ["sha", "bytes"], "left")
-    return joined.select(
-        "id", "sha", "bytes", F.when(~F.col("id").eqNullSafe(F.col("first")), F.col("first")).alias("refers")
+def plan_records(chunks: DataFrame, least: int) -> DataFrame:
+    """(row, id, url, sha, bytes, digest, count, refers) for each payload; count: of its
+    chunks; refers: the id of the response, null for responses."""
+    ends = chunks.filter("last").select(
+        "row", "id", "url", "sha", F.col("size").alias("bytes"), "digest", (F.col("chunk") + 1).alias("count")
     )
+    first = ends.filter(F.col("bytes") >= least).groupBy("sha", "bytes").agg(F.max("id").alias("first"))
+    refers = F.when(~F.col("id").eqNullSafe(F.col("first")), F.col("first")).alias("refers")
+    return ends.join(first, ["sha", "bytes"], "left").select(*ends.columns, refers)
 
 
-def records(pages: DataFrame, key: str, payload: str, url: str | None, least: int, chunk: int) -> DataFrame:
+def records(chunks: DataFrame, least: int) -> DataFrame:
     """(value): each WARC record as a text whose last line end is left to the writer."""
-    plan = plan_records(pages, key, payload, least).select(
-        F.col("id").alias("plan_id"), F.col("sha").alias("plan_sha"), "bytes", "refers"
-    )
-    body = F.coalesce(F.col(payload), F.lit(""))
-    target = F.col(url) if url else F.lit(None).cast("string")
-    rows = (
-        pages.select(F.col(key).alias("id"), target.alias("url"), body.alias("body"))
-        .withColumn("sha", F.sha2(F.col("body").cast("binary"), 256))
-    )
-    rows = rows.join(plan, F.col("id").eqNullSafe(F.col("plan_id")) & (F.col("sha") == F.col("plan_sha")))
-    count = F.greatest(F.ceil(F.length("body") / chunk), F.lit(1)).cast("int")
-    count = F.when(F.col("refers").isNull(), count).otherwise(1)
-    rows = rows.withColumn("count", count).withColumn("digest", _base32(F.sha1(F.col("body").cast("binary"))))
-    rows = rows.withColumn("segment", F.explode(F.sequence(F.lit(1), F.col("count"))))
-    part = F.substring(F.col("body"), (F.col("segment") - 1) * chunk + 1, F.lit(chunk))
-    first, visit = F.col("segment") == 1, F.col("refers").isNotNull()
-    block = F.when(visit, F.lit(HTTP)).otherwise(F.concat(F.when(first, F.lit(HTTP)).otherwise(""), part))
-    own = name(F.col("id"), F.col("sha"))
-    record = F.when(first, own).otherwise(F.concat(F.expr("substring(own, 1, length(own) - 1)"), F.lit("/"), F.col("segment").cast("string"), F.lit(">")))
+    plan = plan_records(chunks, least)
+    fields = F.struct(*[c for c in plan.columns if c != "row"])
+    heads = plan.select("row", F.lit(-1).cast("long").alias("chunk"), F.lit(None).cast("binary").alias("data"), fields.alias("head"))
+    parts = chunks.select("row", "chunk", "data", F.lit(None).cast(heads.schema["head"].dataType).alias("head"))
+    along = Window.partitionBy("row").orderBy("chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = heads.unionByName(parts).withColumn("head", F.first("head").over(along))
+    rows = rows.filter((F.col("chunk") == 0) | ((F.col("chunk") > 0) & F.col("head.refers").isNull()))
+    rows = rows.select("chunk", F.col("data").cast("string").alias("part"), "head.*")
+    rows = rows.withColumn("own", name(F.col("id"), F.col("sha")))
+
+    first, visit = F.col("chunk") == 0, F.col("refers").isNotNull()
+    several = (F.col("count") > 1) & ~visit
+    segment = F.col("chunk") + 1
+    part = F.when(visit, F.lit("")).otherwise(F.col("part"))
+    block = F.concat(F.when(first, F.lit(HTTP)).otherwise(F.lit("")), part)
+    later = F.concat(F.expr("substring(own, 1, length(own) - 1)"), F.lit("/"), segment.cast("string"), F.lit(">"))
 
     def line(label: str, value: Column) -> Column:
         return F.coalesce(F.concat(F.lit(f"{label}: "), value.cast("string"), F.lit("\r\n")), F.lit(""))
 
-    several = F.col("count") > 1
-    safe_url = F.regexp_replace("url", r"[\x00-\x20\x7F]", "_")
     kind = F.when(visit, "revisit").when(first, "response").otherwise("continuation")
     head = F.concat(
         F.lit("WARC/1.1\r\n"),
         line("WARC-Type", kind),
-        line("WARC-Record-ID", record),
+        line("WARC-Record-ID", F.when(first, F.col("own")).otherwise(later)),
         line("WARC-Date", F.lit(DATE)),
-        line("WARC-Target-URI", safe_url),
+        line("WARC-Target-URI", F.regexp_replace("url", r"[\x00-\x20\x7F]", "_")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
         line("WARC-Refers-To", F.when(visit, name(F.col("refers"), F.col("sha")))),
         line("WARC-Profile", F.when(visit, F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))),
-        line("WARC-Segment-Number", F.when(several, F.col("segment"))),
-        line("WARC-Segment-Origin-ID", F.when(several & ~first, own)),
-        line("WARC-Segment-Total-Length", F.when(several & (F.col("segment") == F.col("count")), F.col("bytes") + len(HTTP))),
+        line("WARC-Segment-Number", F.when(several, segment)),
+        line("WARC-Segment-Origin-ID", F.when(several & ~first, F.col("own"))),
+        line("WARC-Segment-Total-Length", F.when(several & (segment == F.col("count")), F.col("bytes") + len(HTTP))),
         line("Payload-Length", F.col("bytes")),
         line("Content-Type", F.when(first, F.lit("application/http; msgtype=response"))),
         line("Content-Length", F.octet_length("block")),
         F.lit("\r\n"),
     )
-    rows = rows.withColumn("own", own).withColumn("block", block)
-    return rows.select(F.concat(head, F.col("block"), F.lit("\r\n\r")).alias("value"))
+    return rows.withColumn("block", block).select(F.concat(head, F.col("block"), F.lit("\r\n\r")).alias("value"))
 
 
 def write_archives(
@@ -134,9 +179,8 @@ def write_archives(
     chunk: int = CHUNK,
 ) -> None:
     """Write a record, or several segments, for each row of pages into archives under path."""
-    records(pages, key, payload, url, least, chunk).write.option("lineSep", "\n").option(
-        "compression", "gzip"
-    ).text(path)
+    chunks = materialize(cut(pages, key, payload, url, chunk), "chunks")
+    records(chunks, least).write.option("lineSep", "\n").option("compression", "gzip").text(path)
 
 
 class Parser:
@@ -224,13 +268,9 @@ def chunk_table(spark: SparkSession, path: str, piece: int = PIECE, data: bool =
     """The archives under path as rows of chunks (see COLUMNS); data: whether rows
     carry their bytes besides sizes and digests."""
     lines = spark.read.option("lineSep", "\n").text(path)
-    kinds = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
-    schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in COLUMNS.split(", ")])
+    schema = arrow_schema(COLUMNS)
     blank = schema.get_field_index("data")
 
-    def pack(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
-
     def run(batches):
         parser = Parser(piece)
         for batch in batches:
@@ -240,10 +280,10 @@ def chunk_table(spark: SparkSession, path: str, piece: int = PIECE, data: bool =
                     out.append(row if data else (*row[:blank], None, *row[blank + 1 :]))
                     held += 200 + row[6] * data
                 if held > 4_000_000:
-                    yield pack(out)
+                    yield pack(out, schema)
                     out, held = [], 0
             if out:
-                yield pack(out)
+                yield pack(out, schema)
 
     return lines.mapInArrow(run, COLUMNS)
 
@@ -262,4 +302,18 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op6_warc": (op6_warc, None)}
+OP6_WARC = """
+WITH payload AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS sha,
+    max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+  FROM pages
+)
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(sha, (1 + 10 * (i // 8))::INT, 10))::BIGINT >> (35 - 5 * (i % 8))::INT) & 31)::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM payload
+"""
+
+QUERIES = {"op6_warc": (op6_warc, OP6_WARC)}

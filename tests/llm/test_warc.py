@@ -94,3 +94,26 @@ def test_a_wrong_payload_is_an_error():
     assert list(parser.line(b"\r")) == []
     with pytest.raises(ValueError, match="declared"):
         list(parser.line(b"x"))
+
+
+@pytest.mark.parametrize("text", ["", "a", "é梦🙂" * 5, "abc"])
+@pytest.mark.parametrize("chunk", [1, 2, 4, 7])
+def test_parts_end_where_characters_end(text, chunk):
+    parts = [bytes(p) for p in warc.pieces(memoryview(text.encode()), chunk)]
+    assert "".join(p.decode() for p in parts) == text and len(parts) >= 1
+    assert all(len(p) <= chunk + 3 for p in parts)
+
+
+def test_chunk_rows_carry_running_digests(spark):
+    rows = spark.createDataFrame([(1, "u", "é" * 500), (2, "u", "é" * 500), (3, "u", None)], SCHEMA)
+    found = warc.cut(rows, "page_id", "html", "url", 64).orderBy("id", "chunk").collect()
+    for key, body in ((1, "é" * 500), (2, "é" * 500), (3, "")):
+        own = [r for r in found if r.id == key]
+        running, size = hashlib.sha1(), 0
+        for number, row in enumerate(own):
+            running.update(row.data)
+            size += len(row.data)
+            assert (row.chunk, row.size, row.digest) == (number, size, base64.b32encode(running.digest()).decode())
+            assert row.last == (size == len(body.encode())) and (row.sha is not None) == row.last
+        assert b"".join(r.data for r in own).decode() == body
+    assert len({r.row for r in found}) == 3
