@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from marlspike.catalog.base import Query, sql_hash, tables
 from marlspike.functions.hashing import threshold
 from marlspike.operators import ids, profile, relate, sample
+from marlspike.session import scratch_path
+from marlspike.sources.versions import publish, read_version
 
 SEED = 7
 
@@ -198,6 +200,32 @@ SELECT p_partkey, p_name, coalesce(idx, 0) AS name_id FROM p LEFT JOIN f ON valu
 """
 
 
+def dictionary_versions(spark: SparkSession, d: str) -> DataFrame:
+    """A dictionary of customers, published after the orders of 1992 and again after the rest."""
+    (orders,) = tables(spark, d, "orders")
+    early = F.coalesce(F.col("o_orderdate").cast("date") < F.lit("1993-01-01").cast("date"), F.lit(False))
+    rows = orders.select(F.col("o_custkey").cast("string").alias("customer"), early.alias("early"))
+    path = scratch_path(spark, "versions")
+    first = publish(profile.extend_dictionary(None, rows.where("early"), "customer", 1), path)
+    second = publish(profile.extend_dictionary(read_version(spark, path), rows.where("NOT early"), "customer", 2), path)
+    both = [read_version(spark, path, v).withColumn("version", F.lit(v)) for v in (first, second)]
+    return both[0].unionByName(both[1])
+
+
+DICTIONARY_VERSIONS = """
+WITH o AS (
+  SELECT o_custkey::VARCHAR AS value, coalesce(o_orderdate::DATE < DATE '1993-01-01', false) AS early
+  FROM orders WHERE o_custkey IS NOT NULL
+), v1 AS (
+  SELECT value, count(*) AS count, row_number() OVER (ORDER BY count(*) DESC, value) AS idx FROM o WHERE early GROUP BY 1
+), late AS (SELECT value, count(*) AS n FROM o WHERE NOT early GROUP BY 1)
+SELECT value, count, idx, 1 AS since, 1 AS version FROM v1
+UNION ALL SELECT v1.value, count + coalesce(n, 0), idx, 1, 2 FROM v1 LEFT JOIN late ON late.value = v1.value
+UNION ALL SELECT value, n, (SELECT coalesce(max(idx), 0) FROM v1) + row_number() OVER (ORDER BY n DESC, value), 2, 2
+FROM late WHERE value NOT IN (SELECT value FROM v1)
+"""
+
+
 def ids_up(spark: SparkSession, d: str) -> DataFrame:
     (customer,) = tables(spark, d, "customer")
     return ids.assign_ids(customer.select("c_name", "c_custkey"), "c_name", as_string=True)
@@ -351,6 +379,7 @@ QUERIES = {
         "SELECT max(l_partkey) AS l_partkey, max(l_suppkey) AS l_suppkey FROM lineitem",
     ),
     "q_dictionary_index": Query(dictionary_index, DICTIONARY_INDEX),
+    "q_dictionary_versions": Query(dictionary_versions, DICTIONARY_VERSIONS),
     "q_dictionary_apply": Query(dictionary_apply, DICTIONARY_APPLY),
     "q_assign_ids": Query(
         ids_up,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marlspike.operators.ids import number_rows
 from marlspike.operators.relate import join_ranked
+from marlspike.session import materialize
 
 # Dictionary entries joined by broadcast; the rarer rest joins by shuffle.
 SMALL_DICTIONARY = 100_000
@@ -52,6 +53,31 @@ def fit_dictionary(df: DataFrame, col: str) -> DataFrame:
     return number_rows(counts, [F.desc("count"), F.asc("value")], "idx")
 
 
+def extend_dictionary(saved: DataFrame | None, df: DataFrame, col: str, since: int) -> DataFrame:
+    """(value, count, idx, since): a saved dictionary with the values of new rows.
+
+    Counts are summed. A saved value keeps its idx, whatever its count is now; a new one
+    gets the next after the largest, by falling count in the new rows, ties by value. So
+    rows that were coded with the saved dictionary stay right, and old rows are not read
+    again. since is the number of the batch that brought a value; without a saved
+    dictionary this is fit_dictionary. Null is not indexed.
+    """
+    if saved is None:
+        return fit_dictionary(df, col).withColumn("since", F.lit(since))
+    counts = (
+        df.where(F.col(col).isNotNull())
+        .groupBy(F.col(col).alias("value"))
+        .agg(F.count(F.lit(1)).alias("_new"))
+    )
+    merged = materialize(saved.join(counts, "value", "full"), "dictionary")
+    total = F.col("count") + F.coalesce("_new", F.lit(0))
+    known = merged.where(F.col("idx").isNotNull()).select("value", total.alias("count"), "idx", "since")
+    unseen = merged.where(F.col("idx").isNull()).select("value", F.col("_new").alias("count"))
+    fresh = number_rows(unseen, [F.desc("count"), F.asc("value")], "idx")
+    following = (F.col("idx") + (dictionary_size(saved) - 1)).alias("idx")
+    return known.unionByName(fresh.select("value", "count", following, F.lit(since).alias("since")))
+
+
 def dictionary_size(dictionary: DataFrame) -> int:
     """The number of codes of a fitted dictionary, 0 included."""
     return int(dictionary.agg(F.coalesce(F.max("idx"), F.lit(0)) + 1).first()[0])

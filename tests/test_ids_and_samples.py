@@ -135,6 +135,21 @@ def test_dictionary(spark):
     assert profile.dictionary_size(fitted) == 5 and profile.dictionary_size(fitted.limit(0)) == 1
 
 
+def test_dictionary_grows_and_keeps_its_ids(spark):
+    def rows(*values):
+        return spark.createDataFrame([(v,) for v in values], "v string")
+
+    def held(dictionary):
+        return {r["value"]: (r["count"], r["idx"], r["since"]) for r in dictionary.collect()}
+
+    one = profile.extend_dictionary(None, rows("b", "b", "a", None), "v", 1)
+    assert held(one) == {"b": (2, 1, 1), "a": (1, 2, 1)}
+    two = profile.extend_dictionary(one, rows("a", "a", "a", "z", "z", "c", "", None), "v", 2)
+    assert held(two) == {"b": (2, 1, 1), "a": (4, 2, 1), "z": (2, 3, 2), "": (1, 4, 2), "c": (1, 5, 2)}
+    assert held(profile.extend_dictionary(two, rows(None), "v", 3)) == held(two)
+    assert held(profile.extend_dictionary(one.limit(0), rows("q"), "v", 2)) == {"q": (1, 1, 2)}
+
+
 def test_ranked_join_beyond_the_limit(spark, monkeypatch):
     """Head broadcast and tail shuffled give what one join gives."""
     ranked = spark.range(1, 101).select(F.concat(F.lit("t"), F.col("id")).alias("t"), F.col("id").cast("int").alias("i"))

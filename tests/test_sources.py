@@ -3,7 +3,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import types as T
 
 from marlspike.session import scratch_path
-from marlspike.sources import parsers, readers, schemas, sinks
+from marlspike.sources import parsers, readers, schemas, sinks, versions
 
 
 def lines(spark, *values):
@@ -77,3 +77,20 @@ def test_jdbc_options():
         "url": "jdbc:x", "dbtable": "db.t", "user": "u", "password": "p",
         "driver": "driver.Class", "fetchsize": "2",
     }
+
+
+def test_versions(spark, tmp_path):
+    path = str(tmp_path / "table")
+    with pytest.raises(ValueError, match="no version"):
+        versions.read_version(spark, path)
+    assert versions.publish(spark.range(3), path) == 1
+    failing = spark.range(5).selectExpr("CAST(raise_error('on purpose') AS BIGINT) AS id")
+    with pytest.raises(Exception, match="on purpose"):
+        versions.publish(failing, path)
+    assert versions.read_version(spark, path).count() == 3
+    # the version before is read while the next one is written
+    assert versions.publish(versions.read_version(spark, path).where("id > 0"), path) == 2
+    assert versions.read_version(spark, path).count() == 2
+    assert versions.read_version(spark, path, 1).count() == 3
+    with pytest.raises(ValueError, match="no version 9"):
+        versions.read_version(spark, path, 9)
