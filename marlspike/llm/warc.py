@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marlspike.session import materialize, scratch_path
+from marlspike.session import scratch_path
 
 CHUNK = 1 << 16  # bytes of a payload in one record
 PIECE = 1 << 16  # bytes that the reader hands out at once
@@ -179,7 +179,10 @@ def write_archives(
     chunk: int = CHUNK,
 ) -> None:
     """Write a record, or several segments, for each row of pages into archives under path."""
-    chunks = materialize(cut(pages, key, payload, url, chunk), "chunks")
+    spark = pages.sparkSession
+    table = scratch_path(spark, "chunks")
+    cut(pages, key, payload, url, chunk).write.option("compression", "zstd").parquet(table)
+    chunks = spark.read.schema(CHUNKS.replace(" long", " bigint")).parquet(table)
     records(chunks, least).write.option("lineSep", "\n").option("compression", "gzip").text(path)
 
 
