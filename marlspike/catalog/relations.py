@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from marlspike.catalog.base import Query, sql_hash, tables
 from marlspike.functions.hashing import threshold
 from marlspike.operators import ids, profile, relate, sample
+from marlspike.plans.stages import run_stages
 from marlspike.session import scratch_path
-from marlspike.sources.versions import publish, read_version
+from marlspike.sources.versions import publish, read_version, versions
 
 SEED = 7
 
@@ -74,6 +75,27 @@ GROUP BY 1, 2
 """
 
 
+def hot_join(spark: SparkSession, d: str) -> DataFrame:
+    """Lines joined to orders, where one order has half of all lines and a part has none."""
+    lineitem, orders = tables(spark, d, "lineitem", "orders")
+    first = orders.agg(F.min("o_orderkey")).first()[0]
+    key = (
+        F.when(F.col("l_linenumber") % 2 == 1, F.lit(first))
+        .when(F.col("l_linenumber") == 2, F.lit(None))
+        .otherwise(F.col("l_orderkey"))
+    )
+    lines = lineitem.select(key.cast("bigint").alias("o_orderkey"), "l_orderkey", "l_linenumber", "l_quantity")
+    return relate.join_spread(lines, orders.select("o_orderkey", "o_orderpriority", "o_totalprice"), "o_orderkey")
+
+
+HOT_JOIN = """
+WITH f AS (SELECT min(o_orderkey) AS first FROM orders),
+l AS (SELECT CASE WHEN l_linenumber % 2 = 1 THEN first WHEN l_linenumber = 2 THEN NULL ELSE l_orderkey END::BIGINT AS o_orderkey,
+  l_orderkey, l_linenumber, l_quantity FROM lineitem, f)
+SELECT l.*, o_orderpriority, o_totalprice FROM l LEFT JOIN orders USING (o_orderkey)
+"""
+
+
 def attach_label(spark: SparkSession, d: str) -> DataFrame:
     documents, labels = tables(spark, d, "documents", "labels")
     held = labels.select("doc_id", F.col("quality").cast("string").alias("text_label"))
@@ -160,6 +182,38 @@ def cardinality_sketch(spark: SparkSession, d: str) -> DataFrame:
     return sketch.join(exact, F.col("l_orderkey") == F.col("n")).select("l_orderkey", *near)
 
 
+STATE_COLS = ["l_partkey", "l_suppkey", "l_returnflag"]
+
+
+def profile_states(spark: SparkSession, d: str) -> DataFrame:
+    """States by month, saved in two batches and united by year, next to exact counts."""
+    (lineitem,) = tables(spark, d, "lineitem")
+    rows = lineitem.select(F.date_format("l_shipdate", "yyyy-MM").alias("month"), *STATE_COLS)
+    early = F.coalesce(F.col("month") < "1995-01", F.lit(False))
+    path = scratch_path(spark, "states")
+    publish(profile.profile_state(rows.where(early), STATE_COLS, ["month"]), path)
+    later = profile.profile_state(rows.where(~early), STATE_COLS, ["month"])
+    publish(read_version(spark, path).unionByName(later), path)
+    year = F.substring("month", 1, 4).alias("year")
+    saved = read_version(spark, path).select(year, "name", "n", "largest", "sketch")
+    found = profile.read_states(profile.unite_states(saved, ["year"]))
+    exact = rows.groupBy(year).agg(*[F.count_distinct(F.col(c)).alias(c) for c in STATE_COLS])
+    exact = exact.unpivot("year", STATE_COLS, "name", "n_exact")
+    within = F.col("n_exact").between(F.col("at_least"), F.col("at_most")).alias("within")
+    met = found.alias("f").join(
+        exact.alias("e"), F.expr("f.year <=> e.year AND f.name = e.name"), "full"
+    )
+    return met.select("f.year", "f.name", "n", "largest", "n_exact", within)
+
+
+PROFILE_STATES = "\nUNION ALL ".join(
+    f"""SELECT strftime(l_shipdate, '%Y') AS year, '{c}' AS name, count({c}) AS n,
+  {"NULL::BIGINT" if c == "l_returnflag" else f"max({c})::BIGINT"} AS largest,
+  count(DISTINCT {c}) AS n_exact, true AS within FROM lineitem GROUP BY 1"""
+    for c in STATE_COLS
+)
+
+
 def embedding_dims(spark: SparkSession, d: str) -> DataFrame:
     (lineitem,) = tables(spark, d, "lineitem")
     return profile.embedding_dims(lineitem, ["l_partkey", "l_suppkey"])
@@ -226,6 +280,65 @@ FROM late WHERE value NOT IN (SELECT value FROM v1)
 """
 
 
+def staged_run(spark: SparkSession, d: str) -> DataFrame:
+    """Three stages that fail in the last one, are taken up again, and run once more after
+    the second one was revised: how often each was computed, and what its table holds."""
+    customer, orders = tables(spark, d, "customer", "orders")
+    path = scratch_path(spark, "stages")
+    started = {"placed": 0, "totals": 0, "labelled": 0}
+
+    def run(fail: bool = False, least: int = 1, **revisions: str) -> None:
+        def placed(held):
+            started["placed"] += 1
+            return held["orders"].select("o_custkey", "o_totalprice").where("o_custkey IS NOT NULL")
+
+        def totals(held):
+            started["totals"] += 1
+            n = F.count(F.lit(1)).alias("n")
+            return held["placed"].groupBy("o_custkey").agg(n, F.max("o_totalprice").alias("top")).where(n >= least)
+
+        def labelled(held):
+            started["labelled"] += 1
+            if fail:
+                raise InterruptedError("on purpose")
+            joined = held["customer"].join(held["totals"], F.col("c_custkey") == F.col("o_custkey"), "left")
+            return joined.select("c_custkey", "n", "top", F.when(F.col("n").isNull(), 2).otherwise(1).alias("label"))
+
+        stages = [("placed", placed), ("totals", totals), ("labelled", labelled)]
+        run_stages(spark, path, {"customer": customer, "orders": orders}, stages, revisions)
+
+    try:
+        run(fail=True)
+    except InterruptedError:
+        run()
+    run()
+    run(least=10, totals="10")
+    sizes = {"placed": F.lit(0), "totals": F.sum("n"), "labelled": F.sum("label")}
+    listed = None
+    for name, size in sizes.items():
+        for version in [r["version"] for r in versions(spark, f"{path}/{name}").collect()]:
+            held = read_version(spark, f"{path}/{name}", version)
+            row = held.agg(F.count(F.lit(1)).alias("n"), F.coalesce(size, F.lit(0)).cast("bigint").alias("total"))
+            row = row.select(
+                F.lit(name).alias("stage"), F.lit(version).alias("version"), F.lit(started[name]).alias("computed"), "n", "total"
+            )
+            listed = row if listed is None else listed.unionByName(row)
+    return listed
+
+
+_TOTALS = "SELECT o_custkey, count(*) AS n FROM orders WHERE o_custkey IS NOT NULL GROUP BY 1"
+STAGED_RUN = f"""
+WITH t1 AS ({_TOTALS}), t2 AS ({_TOTALS} HAVING count(*) >= 10)
+SELECT 'placed' AS stage, 1 AS version, 1 AS computed, count(*) AS n, 0::BIGINT AS total FROM orders WHERE o_custkey IS NOT NULL
+UNION ALL SELECT 'totals', 1, 2, count(*), coalesce(sum(n), 0)::BIGINT FROM t1
+UNION ALL SELECT 'totals', 2, 2, count(*), coalesce(sum(n), 0)::BIGINT FROM t2
+UNION ALL SELECT 'labelled', 1, 3, count(*), coalesce(sum(CASE WHEN n IS NULL THEN 2 ELSE 1 END), 0)::BIGINT
+  FROM customer LEFT JOIN t1 ON o_custkey = c_custkey
+UNION ALL SELECT 'labelled', 2, 3, count(*), coalesce(sum(CASE WHEN n IS NULL THEN 2 ELSE 1 END), 0)::BIGINT
+  FROM customer LEFT JOIN t2 ON o_custkey = c_custkey
+"""
+
+
 def ids_up(spark: SparkSession, d: str) -> DataFrame:
     (customer,) = tables(spark, d, "customer")
     return ids.assign_ids(customer.select("c_name", "c_custkey"), "c_name", as_string=True)
@@ -365,6 +478,7 @@ QUERIES = {
     "q_enrich_left": Query(enrich_left, ENRICH_LEFT),
     "q_join_right": Query(join_right, JOIN_RIGHT),
     "q_star_join": Query(star_join, STAR_JOIN),
+    "q_hot_join": Query(hot_join, HOT_JOIN),
     "q_attach_label": Query(attach_label, ATTACH_LABEL),
     "q_population": Query(population, POPULATION),
     "q_exclude": Query(excluded, EXCLUDE),
@@ -374,6 +488,7 @@ QUERIES = {
         cardinality_sketch,
         "SELECT count(l_orderkey) AS l_orderkey, true AS l_partkey_near, true AS l_suppkey_near FROM lineitem",
     ),
+    "q_profile_states": Query(profile_states, PROFILE_STATES),
     "q_embedding_dims": Query(
         embedding_dims,
         "SELECT max(l_partkey) AS l_partkey, max(l_suppkey) AS l_suppkey FROM lineitem",
@@ -381,6 +496,7 @@ QUERIES = {
     "q_dictionary_index": Query(dictionary_index, DICTIONARY_INDEX),
     "q_dictionary_versions": Query(dictionary_versions, DICTIONARY_VERSIONS),
     "q_dictionary_apply": Query(dictionary_apply, DICTIONARY_APPLY),
+    "q_staged_run": Query(staged_run, STAGED_RUN),
     "q_assign_ids": Query(
         ids_up,
         """SELECT c_name, c_custkey, (row_number() OVER (ORDER BY c_name))::VARCHAR AS id

@@ -175,3 +175,22 @@ def test_relations(spark):
     assert {(r["k"], r["v"]) for r in last} == {("a", 2), ("b", 3), (None, 4)}
     population = relate.build_population(df, known, df.select("k"), "k", "v").collect()
     assert {(r["k"], r["label"]) for r in population} == {("a", 1), ("b", 2)}
+
+
+def test_profile_states_unite_like_one_pass(spark):
+    df = spark.range(20_000).select(
+        F.col("id"), (F.col("id") % 4).cast("int").alias("day"), F.concat(F.lit("v"), F.col("id") % 9000).alias("name"),
+        F.lit(None).cast("string").alias("none"), F.when(F.col("id") % 2 == 0, "").alias("blank"),
+    )
+    cols = ["id", "name", "none", "blank"]
+    saved = profile.profile_state(df, cols, ["day"])
+    assert saved.count() == 16
+    states = {r["name"]: r for r in profile.read_states(profile.unite_states(saved)).collect()}
+    once = {r["name"]: r for r in profile.read_states(profile.profile_state(df, cols)).collect()}
+    exact = {"id": 20_000, "name": 9000, "none": 0, "blank": 1}
+    for name, n in exact.items():
+        assert states[name]["at_least"] <= n <= states[name]["at_most"]
+        assert once[name]["at_least"] <= n <= once[name]["at_most"]
+    assert states["id"]["largest"] == 19_999 and states["name"]["largest"] is None
+    assert states["none"]["n"] == 0 and states["blank"]["n"] == 10_000
+    assert profile.unite_states(saved.limit(0)).count() == 0
