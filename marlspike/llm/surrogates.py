@@ -426,8 +426,8 @@ def entities(text: str) -> list[tuple[int, int, str]]:
             if area in ("000", "666") or area[0] == "9" or group == "00" or serial == "0000":
                 continue
         if kind == "full":
-            second = value.split(" ")[1]
-            if not second[:1].isupper() or len(second) < 2 or second.lower() in NO_SURNAME:
+            first, second = value.split(" ")
+            if not second[:1].isupper() or len(second) < 2 or second == first or second.lower() in NO_SURNAME:
                 continue
         if kind == "name" and value.split(" ")[0] in TITLES["any"] and _AFTER_NAME.search(text[max(0, m.start() - 40) : m.start()]):
             continue  # a street
