@@ -215,3 +215,18 @@ def test_the_session_names_the_secret(spark, tmp_path):
         assert S.op3_surrogates(spark, folder).first().text == S.replace("Mr John Smith", b"another one")[0]
     finally:
         spark.conf.unset(S.SECRET)
+
+
+def test_signs_leave_nothing_out():
+    """Every entity has the sign of its kind, and what is found does not depend on the signs."""
+    around = {"token": 'token = "%s"', "password": "password=%s"}
+    texts = [around.get(k, "x %s y") % v for k, vs in SAMPLES.items() for v in vs]
+    texts += [" ".join(texts), "+٤٩ ٣٠ ١٢٣٤ ٥٦٧٨", "４１１１ １１１１ １１１１ １１１１", "Sr Ng", "a@b.cd"]
+    assert S.SIGNS.keys() == S.PATTERNS.keys()
+    for text in texts:
+        for kind, pattern in S.PATTERNS.items():
+            assert not re.search(pattern, text) or re.search(S.SIGNS[kind], text)
+    found = [S.entities(t) for t in texts]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(S, "_SIGNS", {kind: re.compile("") for kind in S.PATTERNS})
+        assert [S.entities(t) for t in texts] == found and all(found)
