@@ -67,35 +67,44 @@ def tag_split(
 
 def take_n(df: DataFrame, n: int, key: Key, seed: int = 0) -> DataFrame:
     """Exactly n rows (or all, if fewer), those with the smallest key hash."""
-    names = _names(key)
-    sizes, small = _class_sizes(df.select(F.lit(1).alias("_all"), *names), "_all")
-    needs = sizes.select("_c", F.least("_size", F.lit(n)).alias("_need"))
     whole = df.withColumn("_all", F.lit(1))
-    return _lowest(whole, "_all", needs, small, names, seed).drop("_all")
+    keys, sizes, small = _keys(whole, "_all", _names(key), seed)
+    needs = sizes.select("_c", F.least("_size", F.lit(n)).alias("_need"))
+    return _lowest(whole, "_all", keys, needs, small, _names(key), seed).drop("_all")
 
 
 def sample_counts(
     df: DataFrame, label: str, counts: Mapping, key: Key, seed: int = 0
 ) -> DataFrame:
     """At most the given number of rows of each listed class; other classes whole."""
-    sizes, small = _class_sizes(df, label)
+    keys, sizes, small = _keys(df, label, _names(key), seed)
     quota = F.col("_size")
     for value, n in counts.items():
         quota = F.when(F.col("_c") == F.lit(value), F.least("_size", F.lit(n))).otherwise(quota)
-    return _lowest(df, label, sizes.select("_c", quota.alias("_need")), small, _names(key), seed)
+    needs = sizes.select("_c", quota.alias("_need"))
+    return _lowest(df, label, keys, needs, small, _names(key), seed)
 
 
 def balance_classes(df: DataFrame, label: str, key: Key, seed: int = 0) -> DataFrame:
     """Every class cut to the size of the smallest one."""
-    sizes, small = _class_sizes(df, label)
+    keys, sizes, small = _keys(df, label, _names(key), seed)
     smallest = sizes.agg(F.min("_size").alias("n")).first()["n"]
     needs = sizes.select("_c", F.lit(smallest).cast("bigint").alias("_need"))
-    return _lowest(df, label, needs, small, _names(key), seed)
+    return _lowest(df, label, keys, needs, small, _names(key), seed)
 
 
-def _class_sizes(df: DataFrame, label: str) -> tuple[DataFrame, bool]:
-    sizes = df.groupBy(F.col(label).alias("_c")).agg(F.count(F.lit(1)).alias("_size"))
-    return localize(sizes, SMALL_CLASSES)
+def _keys(
+    df: DataFrame, label: str, names: list[str], seed: int
+) -> tuple[DataFrame, DataFrame, bool]:
+    """(class and key hash of each row, rows of each class, whether these are few).
+
+    The hashes are written once: what the caller's plan costs, and the hashing, is not paid
+    again by every histogram.
+    """
+    hashed = df.select(F.col(label).alias("_c"), row_hash(names, seed).alias("_h"))
+    keys = materialize(hashed, "keys")
+    sizes = keys.groupBy("_c").agg(F.count(F.lit(1)).alias("_size"))
+    return keys, *localize(sizes, SMALL_CLASSES)
 
 
 def _per_class(rows: DataFrame, facts: DataFrame, small: bool) -> DataFrame:
@@ -118,18 +127,24 @@ def _cut_point(counts: DataFrame, by: str) -> DataFrame:
 
 
 def _lowest(
-    df: DataFrame, label: str, needs: DataFrame, small: bool, names: list[str], seed: int
+    df: DataFrame,
+    label: str,
+    keys: DataFrame,
+    needs: DataFrame,
+    small: bool,
+    names: list[str],
+    seed: int,
 ) -> DataFrame:
     """Per class, exactly _need rows: those with the smallest key hash.
 
     Found by counting, not by ranking. A histogram of hash ranges finds the
     range that holds the cut, the next one looks inside that range, and so on
-    to the cut value; the rows then come from a plain filter. Only label and
-    key are read before that filter, each task sends at most one count per
+    to the cut value; the rows then come from a plain filter. Only the written
+    keys are read before that filter, each task sends at most one count per
     class and range, and no class is gathered in one task.
     """
     h = row_hash(names, seed)
-    inside = df.select(F.col(label).alias("_c"), h.alias("_h"))
+    inside = keys
     shift = HASH_BITS
     while shift:
         shift = shift - RANGE_BITS
@@ -141,7 +156,7 @@ def _lowest(
             break
         needs = cuts.select("_c", F.col("_take").alias("_need"))
         place = cuts.select("_c", F.col("_b").alias("_range"))
-        held = _per_class(df.select(F.col(label).alias("_c"), h.alias("_h")), place, small)
+        held = _per_class(keys, place, small)
         inside = held.where(F.shiftright("_h", shift) == F.col("_range")).select("_c", "_h")
 
     cuts = cuts.select("_c", F.col("_b").alias("_cut"), "_n", "_take")

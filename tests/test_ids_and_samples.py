@@ -194,3 +194,17 @@ def test_profile_states_unite_like_one_pass(spark):
     assert states["id"]["largest"] == 19_999 and states["name"]["largest"] is None
     assert states["none"]["n"] == 0 and states["blank"]["n"] == 10_000
     assert profile.unite_states(saved.limit(0)).count() == 0
+
+
+def test_a_sample_reads_the_rows_twice(spark, rows):
+    """Once for the table of keys, once for the sample, whatever the number of histograms."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    kept = sample.balance_classes(rows.mapInArrow(counted, rows.schema), "label", "key", 3)
+    assert kept.groupBy("label").count().where("count = 500").count() == 3
+    assert read.value == 2 * 5000
