@@ -9,8 +9,9 @@ from marlspike.catalog.base import Query, sql_hash, tables
 from marlspike.functions.hashing import threshold
 from marlspike.operators import discover, text
 from marlspike.plans import jobs
-from marlspike.session import materialize
-from marlspike.sources.readers import spread
+from marlspike.session import materialize, scratch_path
+from marlspike.sources.readers import load_stopwords, spread
+from marlspike.sources.sinks import save
 
 SEED = 7
 TOKENS_SQL = r"""list_filter(regexp_split_to_array(lower({c}), '[^\p{{L}}\p{{N}}]+'), lambda t: t <> '')"""
@@ -73,6 +74,25 @@ FROM cut, s
 """
 
 
+def stopword_file(spark: SparkSession, d: str) -> DataFrame:
+    """Words seen at most three times, read from a file that replaced another list."""
+    cut = _cut_documents(spark, d)
+    counts = text.count_tokens(cut, "tokens")
+    path = scratch_path(spark, "stopwords")
+    save(counts.where("count > 3").select("token"), path, "text")
+    save(counts.where("count <= 3").select("token"), path, "text")
+    kept = text.remove_stopwords(cut, "tokens", load_stopwords(spark, path))
+    return kept.select("doc_id", F.array_join("tokens", " ").alias("joined"))
+
+
+STOPWORD_FILE = f"""
+WITH {CUT}, {WORDS}, {COUNTS},
+p AS (SELECT doc_id, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM cut),
+k AS (SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS joined FROM p JOIN counts USING (token) WHERE count > 3 GROUP BY 1)
+SELECT doc_id, coalesce(joined, '') AS joined FROM cut LEFT JOIN k USING (doc_id)
+"""
+
+
 def vocab_top(spark: SparkSession, d: str) -> DataFrame:
     return text.build_vocab(_cut_documents(spark, d), "tokens", max_words=5000, remove_top_n=10)
 
@@ -334,6 +354,7 @@ QUERIES = {
         f"""SELECT conv_id, turn, array_to_string({_tokens_sql('text')}, ' ') AS joined
         FROM conversations""",
     ),
+    "q_stopword_file": Query(stopword_file, STOPWORD_FILE),
     "q_stopwords": Query(stopwords, STOPWORDS),
     "q_vocab": Query(
         vocab_top,

@@ -245,10 +245,12 @@ def build_vocab(
     kept; without max_words the vocabulary holds every token.
     """
     counts = count_tokens(df, tokens)
-    if max_words is None:
+    if max_words is None or max_words + remove_top_n > MAX_VOCABULARY:
         ranked = number_rows(counts, [F.desc("count"), F.asc("token")], "rn")
+        if max_words is not None:
+            ranked = ranked.where(F.col("rn") <= max_words + remove_top_n)
     else:
-        # A top-k: the ranked rows are bounded by the requested size.
+        # A top-k of at most MAX_VOCABULARY rows, in one task; a longer one is numbered above.
         top = counts.orderBy(F.desc("count"), "token").limit(max_words + remove_top_n)
         order = Window.orderBy(F.desc("count"), "token")
         ranked = top.withColumn("rn", F.row_number().over(order))

@@ -199,3 +199,11 @@ def test_prepare(spark):
 def test_long_text_is_whole(spark):
     df = spark.range(1).select(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(30000)), lambda i: F.concat(F.lit("w"), i)), " ").alias("t"))
     assert len(T.tokenize(df, "t").first()["tokens"]) == 30000
+
+
+def test_a_long_vocabulary_is_numbered_like_a_short_one(spark, monkeypatch):
+    df = spark.range(300).select(F.transform(F.sequence(F.lit(0), F.col("id") % 40), lambda i: F.concat(F.lit("w"), i)).alias("t"))
+    short = sorted(map(tuple, T.build_vocab(df, "t", max_words=20, remove_top_n=3).collect()))
+    monkeypatch.setattr(T, "MAX_VOCABULARY", 10)
+    found = T.build_vocab(df, "t", max_words=20, remove_top_n=3)
+    assert sorted(map(tuple, found.collect())) == short and len(short) == 20
