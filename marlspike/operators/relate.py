@@ -64,15 +64,15 @@ def _key_hash(names: Sequence[str], kinds: Sequence[str]) -> Column:
 
 
 def join_spread(df: DataFrame, dim: DataFrame, key: Key, how: str = "left") -> DataFrame:
-    """df.join(dim, key, how) for how "left" or "inner", without a hot task.
+    """df.join(dim, key, how) for how "left", "inner" or "left_anti", without a hot task.
 
     Rows of a heavy key (heavy_keys) are cut into pieces by a hash of the row and of its
     partition, both the same when a task is repeated, and the dimension's rows of that key
     are copied once for each piece: at most partitions / PIECE_PART copies beyond one for
     each heavy key, for a unique key. Rows without a key meet nothing, so they are spread too.
     """
-    if how not in ("left", "inner"):
-        raise ValueError("how is 'left' or 'inner'")
+    if how not in ("left", "inner", "left_anti"):
+        raise ValueError("how is 'left', 'inner' or 'left_anti'")
     names = _names(key)
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shared = df.select(*names).unionByName(dim.select(*names)).schema
@@ -167,7 +167,11 @@ def join_ranked(
 
 def exclude(df: DataFrame, known: DataFrame, key: Key) -> DataFrame:
     """Rows of df whose key is not among the known ones; a null key is kept."""
-    return df.join(known.select(*_names(key)).distinct(), _names(key), "left_anti")
+    names = _names(key)
+    once = known.select(*names).distinct()
+    if at_most(known, LOCAL_ROWS):
+        return df.join(once, names, "left_anti")
+    return join_spread(df, once, names, "left_anti")
 
 
 def dedup(df: DataFrame, keys: Key, order_by: Key = (), keep: str = "first") -> DataFrame:

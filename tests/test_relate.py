@@ -75,3 +75,21 @@ def test_join_predictions_keeps_the_order_of_columns(spark):
     found, plain = relate.join_predictions(base, predictions, "k"), base.join(predictions, ["k"], "right")
     assert found.columns == plain.columns == ["k", "name", "v", "score", "v"]
     assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+
+
+@pytest.mark.parametrize("limit", [0, 20_000])
+def test_exclude_keeps_rows_without_a_key(spark, monkeypatch, limit):
+    """The same rows by the plain join and by the one that splits heavy keys."""
+    monkeypatch.setattr(relate, "LOCAL_ROWS", limit)
+    df, known = facts(spark, 8000), dimension(spark).unionByName(dimension(spark))
+    for some in (known.where("k != 7"), known, known.limit(0)):
+        found = relate.exclude(df, some, "k")
+        keys = {r["k"] for r in some.select("k").distinct().collect()}
+        want = sorted((tuple(r) for r in df.collect() if r["k"] not in keys), key=str)
+        assert found.columns == ["k", "v"] and sorted(map(tuple, found.collect()), key=str) == want
+
+
+def test_exclude_spreads_a_heavy_key(spark, shuffled):
+    found = relate.join_spread(facts(spark), dimension(spark).where("k != 7").select("k"), "k", "left_anti")
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 2 * statistics.median(sizes)
