@@ -56,10 +56,8 @@ class GramLearner(Learner):
         sizes = np.diff(ends, prepend=0)
         owner = np.repeat(np.arange(len(ends)), sizes)
         share = 1.0 / np.maximum(sizes, 1)[owner]
-        mean = np.zeros((len(ends), self.width))
-        if len(values):
-            np.add.at(mean, owner, np.array(values) * share[:, None])
-        return mean, owner, share
+        own = np.asarray(values) * share[:, None] if len(values) else np.zeros((0, self.width))
+        return sparse.summed_rows(owner, own, len(ends)), owner, share
 
     def chances(self, dense: Params, mean: np.ndarray) -> np.ndarray:
         logits = mean @ dense["out"] + dense["bias"]
@@ -78,8 +76,7 @@ class GramLearner(Learner):
         prob[at, label] -= 1.0
         back = prob @ dense["out"].T
         distinct, place = np.unique(keys, return_inverse=True)
-        own = np.zeros((len(distinct), self.width))
-        np.add.at(own, place, back[owner] * share[:, None])
+        own = sparse.summed_rows(place, back[owner] * share[:, None], len(distinct))
         return loss, hits, {"out": mean.T @ prob, "bias": prob.sum(axis=0)}, [(distinct, own)]
 
 

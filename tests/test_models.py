@@ -228,3 +228,27 @@ def test_text_job_and_save(spark):
     assert load_model(spark, path, "text").stages[0].vocabulary == model.stages[0].vocabulary
     with pytest.raises(ValueError):
         load_model(spark, path, "other")
+
+
+def test_few_vectors_need_no_tables(spark, assembled, monkeypatch):
+    """Vectors that fit into SENT_BYTES make the same steps, without a log for each step; keys
+    of held-out rows that training has not seen have their initial values."""
+    config = W.TrainConfig(epochs=2, steps_per_epoch=3, learning_rate=3e-2, decay=1e-5)
+    seen, unseen = assembled.where("item_id % 4 < 3"), assembled.where("item_id % 4 = 3")
+    with monkeypatch.context() as patch:
+        patch.setattr(sparse, "SENT_BYTES", 0)
+        written, long = W.train_joint(seen, SPEC, 3, config, valid=unseen)
+
+    def fail(*_):
+        raise AssertionError("a step wrote a log")
+
+    monkeypatch.setattr(sparse, "sums", fail)
+    held, short = W.train_joint(seen, SPEC, 3, config, valid=unseen)
+    assert all(np.allclose(held.dense[k], written.dense[k]) for k in written.dense)
+    one, other = held_weights(held), held_weights(written)
+    assert one.keys() == other.keys() and all(np.allclose(one[k], other[k]) for k in one)
+    key = ["step", "epoch", "split", "metric"]
+    mine, theirs = (h.toPandas().sort_values(key) for h in (short, long))
+    assert (mine[key].to_numpy() == theirs[key].to_numpy()).all() and np.allclose(mine["value"], theirs["value"])
+    none, _ = W.train_joint(seen.where("false"), SPEC, 3, config)
+    assert none.table.count() == 0
