@@ -77,7 +77,7 @@ FROM cut, s
 def stopword_file(spark: SparkSession, d: str) -> DataFrame:
     """Words seen at most three times, read from a file that replaced another list."""
     cut = _cut_documents(spark, d)
-    counts = text.count_tokens(cut, "tokens")
+    counts = materialize(text.count_tokens(cut, "tokens"), "counts")
     path = scratch_path(spark, "stopwords")
     save(counts.where("count > 3").select("token"), path, "text")
     save(counts.where("count <= 3").select("token"), path, "text")

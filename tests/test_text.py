@@ -207,3 +207,16 @@ def test_a_long_vocabulary_is_numbered_like_a_short_one(spark, monkeypatch):
     monkeypatch.setattr(T, "MAX_VOCABULARY", 10)
     found = T.build_vocab(df, "t", max_words=20, remove_top_n=3)
     assert sorted(map(tuple, found.collect())) == short and len(short) == 20
+
+
+def test_long_stop_list_moves_stop_words_only(spark):
+    """Order, repeats, empty and null arrays stay; what meets the list is little more than it."""
+    rows = [(1, ["a", "x", "b", "a", "y"]), (2, ["x"]), (3, []), (4, None), (5, ["b", None, "b"]), (6, ["y", "y", "a"])]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>")
+    stop = spark.createDataFrame([("x",), ("y",), ("y",), (None,)], "word string")
+    found = T._stop_places(df, "tokens", stop, "id")
+    assert sorted(map(tuple, found.select("id", "_pos", "_token").collect())) == [
+        (1, 1, "x"), (1, 4, "y"), (2, 0, "x"), (6, 0, "y"), (6, 1, "y"),
+    ]
+    kept = {r["id"]: r["tokens"] for r in T._without(df, "tokens", stop, "id", "tokens").collect()}
+    assert kept == {1: ["a", "b", "a"], 2: [], 3: [], 4: None, 5: ["b", "b"], 6: ["a"]}
