@@ -23,6 +23,8 @@ MODES = ("unicode", "cjk_bigram", "dict")
 MAX_STOPWORDS = 20_000
 # Words of 64 bits in front of the join with a larger list.
 STOP_SLOTS = 1 << 20
+# Signs of runs whose lattices a task holds at once.
+LATTICE_SIGNS = 1 << 17
 # Signs of a dictionary's words that are sent to the tasks in one piece.
 SHARD_SIGNS = 1 << 20
 MAX_VOCABULARY = 200_000
@@ -107,8 +109,10 @@ def tokenize(
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             han = [r for runs in batch for r in runs if HAN.match(r)]  # the script decides, as in HAN_RUN
-            found = _lattices(list(dict.fromkeys(han)), shards)
-            ways = {run: _best_path(run, words, unknown, search) for run, words in found.items()}
+            ways = {}
+            for part in _portions(list(dict.fromkeys(han))):
+                found = _lattices(part, shards)
+                ways |= {run: _best_path(run, words, unknown, search) for run, words in found.items()}
             yield batch.map(lambda runs: [t for r in runs for t in ways.get(r, (r,))])
 
     return df.withColumn(out, cut(runs))
@@ -154,6 +158,19 @@ def _automaton(shard):
     return trie
 
 
+def _portions(runs: Sequence[str]) -> Iterator[list[str]]:
+    """runs in portions of about LATTICE_SIGNS signs."""
+    part, signs = [], 0
+    for run in runs:
+        part.append(run)
+        signs += len(run)
+        if signs >= LATTICE_SIGNS:
+            yield part
+            part, signs = [], 0
+    if part:
+        yield part
+
+
 def _lattices(runs: Sequence[str], shards: Sequence) -> dict[str, list[dict[int, int]]]:
     """For each run and place the dictionary words that start there: size to score."""
     found: dict[str, list[dict[int, int]]] = {run: [{} for _ in run] for run in runs}

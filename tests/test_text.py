@@ -220,3 +220,9 @@ def test_long_stop_list_moves_stop_words_only(spark):
     ]
     kept = {r["id"]: r["tokens"] for r in T._without(df, "tokens", stop, "id", "tokens").collect()}
     assert kept == {1: ["a", "b", "a"], 2: [], 3: [], 4: None, 5: ["b", "b"], 6: ["a"]}
+
+
+def test_lattices_are_held_in_portions(monkeypatch):
+    monkeypatch.setattr(T, "LATTICE_SIGNS", 4)
+    assert list(T._portions(["天地", "人山", "水", "火木金土日", "月"])) == [["天地", "人山"], ["水", "火木金土日"], ["月"]]
+    assert list(T._portions([])) == []
