@@ -29,6 +29,8 @@ LATTICE_SIGNS = 1 << 17
 SHARD_SIGNS = 1 << 20
 MAX_VOCABULARY = 200_000
 MAX_EMBEDDINGS = 20_000
+# Bytes of vectors that are sent to the tasks at once.
+SHARD_BYTES = 32 << 20
 
 WORD_GAP = r"[^\p{L}\p{N}]++"
 RUN = r"\p{IsHan}+|[\p{L}\p{N}&&[^\p{IsHan}]]+"
@@ -340,25 +342,23 @@ def pool_embeddings(
 ) -> DataFrame:
     """(key, mean embedding of the known tokens, number of them).
 
-    The dimensions are summed as columns, not exploded into rows. Next to a
-    checked table the tokens of a key stay in one task and leave it as one
-    row. A larger table joins by shuffle, with repeats counted before it.
+    The dimensions are summed as columns, not exploded into rows. The tokens of a key stay
+    in one task and leave it as one row, next to a checked table or next to each shard of a
+    larger one, of about SHARD_BYTES, that is sent to the tasks; the tokens are then written once.
     """
-    small = at_most(table, MAX_EMBEDDINGS)
+    shards = 1 if at_most(table, MAX_EMBEDDINGS) else math.ceil(table.count() * 8 * dim / SHARD_BYTES)
     items = [F.get("embedding", F.lit(i)).cast("double").alias(f"_e{i}") for i in range(dim)]
     held = table.select("token", *items)
+    if shards > 1:
+        df = materialize(df.select(key, tokens), "tokens")
     found = _one_per_row(df, tokens, key)
-    if small:
-        rows, times = found.join(F.broadcast(held), "token"), None
-    else:
-        counted = found.groupBy(key, "token").agg(F.count(F.lit(1)).alias("_n"))
-        rows, times = counted.join(held, "token"), F.col("_n")
-
-    def total(c: Column) -> Column:
-        return F.sum(c) if times is None else F.sum(times * c)
-
-    sums = [total(F.col(f"_e{i}")).alias(f"_s{i}") for i in range(dim)]
-    summed = rows.groupBy(key).agg(total(F.lit(1)).alias("n_tokens"), *sums)
+    rows = None
+    for i in range(shards):
+        own = held.where(F.pmod(F.xxhash64("token"), F.lit(shards)) == i) if shards > 1 else held
+        met = found.join(F.broadcast(own), "token")
+        rows = met if rows is None else rows.unionByName(met)
+    sums = [F.sum(f"_e{i}").alias(f"_s{i}") for i in range(dim)]
+    summed = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_tokens"), *sums)
     mean = F.array(*[F.col(f"_s{i}") / F.col("n_tokens") for i in range(dim)])
     return summed.select(key, mean.alias(out), "n_tokens")
 

@@ -226,3 +226,16 @@ def test_lattices_are_held_in_portions(monkeypatch):
     monkeypatch.setattr(T, "LATTICE_SIGNS", 4)
     assert list(T._portions(["天地", "人山", "水", "火木金土日", "月"])) == [["天地", "人山"], ["水", "火木金土日"], ["月"]]
     assert list(T._portions([])) == []
+
+
+def test_pooling_in_shards(spark, monkeypatch):
+    """A table in several shards gives the means of the whole table, in one row a key."""
+    df = spark.createDataFrame([(i, [f"t{j % 9}" for j in range(i + 1)] + ["none"]) for i in range(12)], "id long, tokens array<string>")
+    table = spark.createDataFrame([(f"t{j}", [float(j), j * 0.5]) for j in range(9)], "token string, embedding array<double>")
+    monkeypatch.setattr(T, "MAX_EMBEDDINGS", 2)
+    monkeypatch.setattr(T, "SHARD_BYTES", 48)  # three shards
+    found = {r["id"]: r for r in T.pool_embeddings(df, "id", "tokens", table, 2).collect()}
+    assert len(found) == 12
+    for i, row in found.items():
+        own = [j % 9 for j in range(i + 1)]
+        assert row["n_tokens"] == len(own) and row["pooled"] == pytest.approx([sum(own) / len(own), sum(own) / len(own) / 2])
