@@ -22,8 +22,12 @@ decided. A bucket is dealt out in groups of a block of at most BLOCK pivots and
 about CHUNK members; two pivots meet in one of these groups only. A pair is looked at in one
 bucket only, that of the first band on which its sketches agree. There it must pass a
 likelihood test on the joint distribution of the registers (larger, smaller, equal), and
-only then are the two full sets intersected. Pairs that failed there are remembered and not
-intersected again.
+only then are the two full sets intersected. In the first rounds pairs are few and are joined
+with their sets; those that failed are remembered and not intersected again there. In the
+later rounds a large group of texts just below the threshold has pairs as the square of its
+size, so no pair becomes a row: the members that have a likely partner get their set, the
+group is dealt out once more, and a task intersects the sets of a group and returns the links
+that join its components, fewer than the group has members.
 
 The bands and the likelihood test miss a link right at the threshold about once in 10**5.
 With exact=True nothing is missed: the buckets are then the rarest n - ceil(0.75 n) + 1
@@ -60,6 +64,8 @@ EARLY_BANDS = 8  # the first round looks at these alone: most links show there
 ROUNDS = [(4, 1), (64, 1), (64, 0)]
 MOST_PIVOTS = 16384
 CHUNK, BLOCK = 2000, 1024
+GROUP = ["bucket", "block", "chunk"]
+FLAG_BITS = 20  # of a member's hash, for a first look at what two sets have in common
 SALTS, RANKED = 32, 4096  # larger buckets are ranked in parts, of which each gives its share
 #: Log-likelihood by which a pair must fall short of the best estimate to be
 #: passed over unverified: a pair right at the threshold does so about once in 10**5.
@@ -175,7 +181,7 @@ def _sets(words: int):
 
 
 def group_pairs(pivot, same, node, label, size, band, sketch, percent: int, most: int):
-    """(a, b) of a group's pairs of a pivot and a member that need verification; same: of
+    """The places of a group's pairs of a pivot and a member that need verification; same: of
     the members, those that are pivots of this block too. `most`, if not 0: of a member the
     pivots, then of a pivot and a component the members with the most equal registers.
     A band below 0 stands for a bucket of the exact way: no test on the sketches."""
@@ -212,7 +218,7 @@ def group_pairs(pivot, same, node, label, size, band, sketch, percent: int, most
         x, y, alike = x[own], y[own], alike[own]
         own = _best([x, label[y]], alike, node[y], most)
         x, y = x[own], y[own]
-    return np.stack([node[x], node[y]], axis=1)
+    return np.stack([x, y], axis=1)
 
 
 def _best(group: list[np.ndarray], alike: np.ndarray, node: np.ndarray, most: int) -> np.ndarray:
@@ -226,53 +232,127 @@ def _best(group: list[np.ndarray], alike: np.ndarray, node: np.ndarray, most: in
     return order[place - np.maximum.accumulate(np.where(new, place, 0)) < most]
 
 
+def _whole_groups(batches):
+    """Rows of groups, one group after the other, as (table, edges): group i has the rows
+    from edges[i] to edges[i + 1]."""
+    waiting = None
+    for batch in chain(batches, [None]):
+        if batch is not None:
+            table = pa.Table.from_batches([batch])
+            waiting = table if waiting is None else pa.concat_tables([waiting, table])
+        if waiting is None or not waiting.num_rows:
+            continue
+        held = [waiting.column(c).to_numpy() for c in GROUP]
+        new = np.any([np.diff(x) != 0 for x in held], axis=0)
+        edges = np.concatenate([[0], np.flatnonzero(new) + 1, [waiting.num_rows]])
+        if batch is not None:
+            edges = edges[:-1]  # the last group may go on in the next batch
+        yield waiting.slice(0, int(edges[-1])), edges
+        waiting = waiting.slice(int(edges[-1]))
+
+
+def _likely_places(table: pa.Table, edges: np.ndarray, percent: int, most: int):
+    """Yields for each group the places in the table of its pairs that need verification."""
+    names = ("block", "pivot", "own_block", "node", "label", "n", "band")
+    held = {c: table.column(c).to_numpy() for c in names}
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        part = slice(lo, hi)
+        yield lo + group_pairs(
+            held["pivot"][part] == 0, held["own_block"][part] == held["block"][part],
+            held["node"][part], held["label"][part], held["n"][part], held["band"][lo],
+            sketch[part], percent, most,
+        )
+
+
 def _chunk_pairs(percent: int, most: int):
-    """Rows of groups, one group after the other, to the pairs to verify."""
+    """Rows of groups to the pairs to verify."""
+
+    def run(batches):
+        for table, edges in _whole_groups(batches):
+            node = table.column("node").to_numpy()
+            pairs = np.concatenate([np.zeros((0, 2), np.int64), *_likely_places(table, edges, percent, most)])
+            yield pa.RecordBatch.from_arrays([pa.array(node[pairs[:, 0]]), pa.array(node[pairs[:, 1]])], ["a", "b"])
+
+    return run
 
-    def columns(table):
-        names = ("bucket", "block", "chunk", "pivot", "own_block", "node", "label", "n", "band")
-        held = {c: table.column(c).to_numpy() for c in names}
-        data = b"".join(table.column("sketch").to_pylist())
-        return held, np.frombuffer(data, np.uint16).reshape(-1, REGISTERS)
+
+def _partnered(percent: int):
+    """Rows of groups to those of them that are in a pair to verify."""
 
     def run(batches):
-        waiting = None
-        for batch in chain(batches, [None]):
-            if batch is not None:
-                table = pa.Table.from_batches([batch])
-                waiting = table if waiting is None else pa.concat_tables([waiting, table])
-            if waiting is None or not waiting.num_rows:
+        for table, edges in _whole_groups(batches):
+            wanted = np.zeros(table.num_rows, bool)
+            for pairs in _likely_places(table, edges, percent, 0):
+                wanted[pairs.ravel()] = True
+            yield from table.filter(pa.array(wanted)).to_batches()
+
+    return run
+
+
+def joining_links(pairs: np.ndarray, label: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Of the pairs (places of a pivot and a member) linked ones that join the same
+    components as all linked ones do, without a circle."""
+    parent: dict[int, int] = {}
+
+    def root(x):
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    out = []
+    if not len(pairs):
+        return out
+    flags = np.zeros(2**FLAG_BITS, bool)
+    shift = np.uint64(64 - FLAG_BITS)
+    pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+    for own in np.split(pairs, np.flatnonzero(np.diff(pairs[:, 0])) + 1):
+        x = int(own[0, 0])
+        for start in range(0, len(own), 256):
+            rest = [y for y in own[start : start + 256, 1].tolist() if root(label[y]) != root(label[x])]
+            if not rest:
                 continue
-            held, sketch = columns(waiting)
-            new = np.any([np.diff(held[c]) != 0 for c in ("bucket", "block", "chunk")], axis=0)
-            edges = np.concatenate([[0], np.flatnonzero(new) + 1, [waiting.num_rows]])
-            if batch is not None:
-                edges = edges[:-1]  # the last group may go on in the next batch
-            found = [np.zeros((0, 2), np.int64)]
-            for lo, hi in zip(edges[:-1], edges[1:]):
-                part = slice(lo, hi)
-                found.append(
-                    group_pairs(
-                        held["pivot"][part] == 0, held["own_block"][part] == held["block"][part],
-                        held["node"][part], held["label"][part], held["n"][part], held["band"][lo],
-                        sketch[part], percent, most,
-                    )
-                )
-            waiting = waiting.slice(int(edges[-1]))
-            pairs = np.concatenate(found)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            flags[sets[x] >> shift] = True
+            sizes = np.array([len(sets[y]) for y in rest])
+            seen = flags[np.concatenate([sets[y] for y in rest]) >> shift]
+            flags[sets[x] >> shift] = False
+            # members that look common are at least those that are: who fails so, fails
+            most = np.add.reduceat(seen, np.cumsum(sizes) - sizes, dtype=np.int64)
+            for y in np.array(rest)[100 * most >= percent * (len(sets[x]) + sizes - most)].tolist():
+                if root(label[x]) != root(label[y]) and _similar(sets[x], sets[y], percent):
+                    parent[root(label[y])] = root(label[x])
+                    out.append((x, y))
+    return out
+
+
+def _group_links(percent: int):
+    """Rows of groups, with their sets, to links."""
+
+    def run(batches):
+        for table, edges in _whole_groups(batches):
+            node, label = table.column("node").to_numpy(), table.column("label").to_numpy().tolist()
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("members")]
+            found = []
+            for pairs in _likely_places(table, edges, percent, 0):
+                found += joining_links(pairs, label, sets, percent)
+            links = np.array(found, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(node[links[:, 0]]), pa.array(node[links[:, 1]])], ["a", "b"])
 
     return run
 
 
+def _similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * common >= percent * (len(one) + len(two) - common)
+
+
 def _confirm(percent: int):
     def run(batches):
         for batch in batches:
             linked = []
             for x, y in zip(batch.column("set_a"), batch.column("set_b")):
                 one, two = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
-                common = len(np.intersect1d(one, two, assume_unique=True))
-                linked.append(100 * common >= percent * (len(one) + len(two) - common))
+                linked.append(_similar(one, two, percent))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], ["a", "b", "linked"]
             )
@@ -343,18 +423,35 @@ def deal(rows: DataFrame, chosen: DataFrame, pivots: int) -> DataFrame:
     return picked.select(names).unionByName(every.select(names))
 
 
+def in_groups(rows: DataFrame) -> DataFrame:
+    """rows with each group in one partition, one group after the other."""
+    return rows.repartition(*GROUP).sortWithinPartitions(*GROUP, "pivot")
+
+
+def dealt_rows(rows: DataFrame, chosen: DataFrame, pivots: int, classes: DataFrame) -> DataFrame:
+    dealt = in_groups(deal(rows, chosen, pivots).join(classes.select("node", "n", "sketch"), "node"))
+    return dealt.select(*GROUP, "pivot", "own_block", "node", "label", "band", "n", "sketch")
+
+
 def likely_pairs(
     rows: DataFrame, chosen: DataFrame, pivots: int, classes: DataFrame, percent: int, most: int
 ) -> DataFrame:
     """Pairs (a, b) of a chosen member and another of its bucket, of different
     components, whose sketches allow for the similarity."""
-    dealt = deal(rows, chosen, pivots).join(classes.select("node", "n", "sketch"), "node")
-    group = ["bucket", "block", "chunk"]
-    dealt = dealt.repartition(*group).sortWithinPartitions(*group, "pivot")
-    dealt = dealt.select(*group, "pivot", "own_block", "node", "label", "band", "n", "sketch")
+    dealt = dealt_rows(rows, chosen, pivots, classes)
     return dealt.mapInArrow(_chunk_pairs(percent, most), "a long, b long").distinct()
 
 
+def bucket_links(
+    rows: DataFrame, chosen: DataFrame, pivots: int, classes: DataFrame, sets: DataFrame, percent: int
+) -> DataFrame:
+    """Links (a, b) that join what all links of a chosen member and another of its bucket
+    join. Sets move once for each member of a group, not for each pair."""
+    dealt = dealt_rows(rows, chosen, pivots, classes)
+    partnered = dealt.mapInArrow(_partnered(percent), dealt.schema)
+    return in_groups(partnered.join(sets, "node")).mapInArrow(_group_links(percent), "a long, b long")
+
+
 def merge_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     """labels (node, label) after the links (a, b) join their components."""
     if labels is None:
@@ -451,12 +548,15 @@ def near_classes(
         if not ahead:
             ahead.append((min(16 * pivots, MOST_PIVOTS), 0))
         chosen = materialize(choose_pivots(undecided, pivots), "pivots")
-        pairs = likely_pairs(undecided, chosen, pivots, classes, percent, most)
-        if failed is not None:
-            pairs = pairs.join(failed, ["a", "b"], "left_anti")
-        tested = materialize(verified(pairs, sets, percent), "tested")
-        links, bad = tested.filter("linked").select("a", "b"), tested.filter("not linked").select("a", "b")
-        failed = bad if failed is None else failed.unionByName(bad)
+        if most:
+            pairs = likely_pairs(undecided, chosen, pivots, classes, percent, most)
+            if failed is not None:
+                pairs = pairs.join(failed, ["a", "b"], "left_anti")
+            tested = materialize(verified(pairs, sets, percent), "tested")
+            links, bad = tested.filter("linked").select("a", "b"), tested.filter("not linked").select("a", "b")
+            failed = bad if failed is None else failed.unionByName(bad)
+        else:
+            links = materialize(bucket_links(undecided, chosen, pivots, classes, sets, percent), "links")
         if not links.isEmpty():
             labels = merge_labels(labels, links)
         rest = undecided.select("bucket", "band", "node")

@@ -205,3 +205,50 @@ def test_a_group_of_near_copies_proposes_few_pairs(spark, monkeypatch, count):
     got = near_dedup.near_classes(docs(spark, boilerplate(count, 200, 16)))  # a similarity of 0.83
     assert {r.component for r in got.collect()} == {0}
     assert len(kept) <= 8 * count
+
+
+def test_a_group_just_below_the_threshold_makes_few_rows(spark, monkeypatch):
+    """Its pairs all need verification, but no table has a row for each of them."""
+    count = 300
+    kept, sizes, materialize = counted_pairs(monkeypatch), [], near_dedup.materialize
+
+    def counting(df, label="table", *rest):
+        table = materialize(df, label, *rest)
+        sizes.append((table.count(), label))
+        return table
+
+    monkeypatch.setattr(near_dedup, "materialize", counting)
+    rows = boilerplate(count, 200, 37)  # a similarity of 0.71: no links
+    rows += [(k + 10_000, f"{text} one end") for k, text in rows[: count // 3]]
+    got = near_dedup.near_classes(docs(spark, rows))
+    want = [(k, n, c) for k, n, c, _ in brute(rows)]
+    assert len({c for *_, c in want}) == count
+    assert found(got) == sorted(want, key=str)
+    assert len(kept) <= near_dedup.BANDS * len(rows)
+    assert max(sizes)[0] <= near_dedup.BANDS * len(rows)
+
+
+def test_joining_links_join_what_all_links_join():
+    rng = np.random.default_rng(4)
+    base = np.unique(rng.integers(0, 2**64, 300, dtype=np.uint64))
+    sets = []
+    for size in rng.integers(0, 70, 60):
+        own = rng.integers(0, 2**64, size, dtype=np.uint64)
+        sets.append(np.unique(np.concatenate([base[size:], own])))
+    label = [i if i % 4 else 0 for i in range(60)]
+    pairs = np.array([(i, j) for i in range(20) for j in range(60) if i != j and label[i] != label[j]])
+    share = lambda i, j: 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))
+    linked = {(i, j) for i, j in pairs.tolist() if share(i, j)}
+
+    def groups(links):
+        of = {x: {x} for x in label}
+        for i, j in links:
+            both = of[label[i]] | of[label[j]]
+            of.update((x, both) for x in both)
+        return {frozenset(x) for x in of.values()}
+
+    got = near_dedup.joining_links(pairs, label, sets, 75)
+    assert set(got) <= linked and 0 < len(linked) < len(pairs)
+    assert groups(got) == groups(linked)
+    assert len(got) == len(set(label)) - len(groups(linked))
+    assert near_dedup.joining_links(pairs[:0], label, sets, 75) == []
