@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,30 @@ def slices(batch: pa.RecordBatch, text: str, most: int = 4_000_000) -> Iterator[
         start = stop
 
 
+def give_back() -> None:
+    """Return what Arrow and the C library have freed, but still hold, to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
+def returning(run: Callable, forget: Callable = lambda: None) -> Callable:
+    """run, a function of a task's batches, that gives its memory back behind the last one.
+
+    Spark keeps a task's Python process for the tasks of later stages, and what the process
+    holds then stands beside theirs. forget is called first, to drop what the task remembers."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            forget()
+            give_back()
+
+    return whole
+
+
 def ascii_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """(offsets, words): text i holds words[offsets[i]:offsets[i + 1]].
 

@@ -44,7 +44,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlspike.llm.common import hash_strings, id_remainder, slices
+from marlspike.llm.common import hash_strings, id_remainder, returning, slices
 
 BITS = 17
 LEXICON = 2000
@@ -148,10 +148,11 @@ def lexicon_rows(lexicon: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, n
     return place, lexicon[place] == hashes
 
 
-def forward_backward(scores: np.ndarray, transitions: np.ndarray, fresh: np.ndarray):
+def forward_backward(scores: np.ndarray, transitions: np.ndarray, fresh: np.ndarray, expect: bool = True):
     """(label probabilities by word, expected transitions) of chains laid end to end.
 
-    scores: words by labels; fresh: whether a word starts a chain.
+    scores: words by labels; fresh: whether a word starts a chain; expect: whether the
+    transitions are wanted (else None), which take labels by labels numbers a word.
     """
     words, labels = scores.shape
     blocks = -(-words // BLOCK)
@@ -197,6 +198,8 @@ def forward_backward(scores: np.ndarray, transitions: np.ndarray, fresh: np.ndar
         current = current / current.sum(axis=1, keepdims=True)
     found = forward * backward
     found /= found.sum(axis=2, keepdims=True)
+    if not expect:
+        return found.reshape(-1, labels)[:words], None
     chained = ~start
     previous = np.concatenate([entering[:, None, :], forward[:, :-1]], axis=1)[chained]
     pair = previous[:, :, None] * step[None] * (emit * backward)[chained][:, None, :]
@@ -245,7 +248,7 @@ def weigh(model: Model, texts: pa.Array) -> tuple[list, np.ndarray, np.ndarray,
         scores, letters = word_scores(model, coded.dictionary)
         fresh = np.zeros(len(code), bool)
         fresh[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
-        found, _ = forward_backward(scores[code], model.transitions, fresh)
+        found, _ = forward_backward(scores[code], model.transitions, fresh, expect=False)
         counted = letters[code]
         owner = np.repeat(np.arange(count), np.diff(offsets))[counted]
         for k in range(labels):
@@ -455,7 +458,7 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
 
     rows = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
     kind = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc {kind}, lang_pred string, score double, n_words long")
+    return rows.mapInArrow(returning(run), f"doc {kind}, lang_pred string, score double, n_words long")
 
 
 def keep_identified(docs: DataFrame, model: Model, least: float = LEAST, text: str = "text") -> DataFrame:
@@ -472,7 +475,7 @@ def keep_identified(docs: DataFrame, model: Model, least: float = LEAST, text: s
                 rows = part.column("row").filter(pa.array((real > 0) & (upper_share(backed, real) >= least)))
                 yield batch.take(rows)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(returning(run), docs.schema)
 
 
 def held_out(key: Column) -> Column:

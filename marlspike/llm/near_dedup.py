@@ -50,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlspike.llm.common import ascii_words, hash_strings, mix, slices
+from marlspike.llm.common import ascii_words, hash_strings, mix, returning, slices
 from marlspike.llm.components import components
 from marlspike.session import materialize
 
@@ -65,6 +65,7 @@ ROUNDS = [(4, 1), (64, 1), (64, 0)]
 MOST_PIVOTS = 16384
 CHUNK, BLOCK = 2000, 1024
 GROUP = ["bucket", "block", "chunk"]
+SLICE = 1_000_000  # bytes of text whose words are held at once
 FLAG_BITS = 20  # of a member's hash, for a first look at what two sets have in common
 SALTS, RANKED = 32, 4096  # larger buckets are ranked in parts, of which each gives its share
 #: Log-likelihood by which a pair must fall short of the best estimate to be
@@ -139,7 +140,7 @@ def likely(one: np.ndarray, two: np.ndarray, size_one, size_two, least: float) -
 def _row_digests(words: int):
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 sizes, digests, sketches = [], [], []
                 for members in shingle_sets(part.column("text"), words):
                     sizes.append(len(members))
@@ -161,7 +162,7 @@ def _row_digests(words: int):
 def _sets(words: int):
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 wanted = part.column("cls").to_pylist()
                 nodes = part.column("node").to_pylist()
                 out = [
@@ -439,7 +440,7 @@ def likely_pairs(
     """Pairs (a, b) of a chosen member and another of its bucket, of different
     components, whose sketches allow for the similarity."""
     dealt = dealt_rows(rows, chosen, pivots, classes)
-    return dealt.mapInArrow(_chunk_pairs(percent, most), "a long, b long").distinct()
+    return dealt.mapInArrow(returning(_chunk_pairs(percent, most)), "a long, b long").distinct()
 
 
 def bucket_links(
@@ -448,8 +449,8 @@ def bucket_links(
     """Links (a, b) that join what all links of a chosen member and another of its bucket
     join. Sets move once for each member of a group, not for each pair."""
     dealt = dealt_rows(rows, chosen, pivots, classes)
-    partnered = dealt.mapInArrow(_partnered(percent), dealt.schema)
-    return in_groups(partnered.join(sets, "node")).mapInArrow(_group_links(percent), "a long, b long")
+    partnered = dealt.mapInArrow(returning(_partnered(percent)), dealt.schema)
+    return in_groups(partnered.join(sets, "node")).mapInArrow(returning(_group_links(percent)), "a long, b long")
 
 
 def merge_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -481,7 +482,7 @@ def rare_members(source: DataFrame, classes: DataFrame, percent: int, words: int
     """(node, band, bucket) of each class by the members of its set that the fewest sets
     hold, as many as make two linked sets share one. The band is -1."""
     sets = materialize(full_sets(source, classes.select("node", "cls", "doc"), words), "whole")
-    flat = materialize(sets.mapInArrow(_members, "node long, n long, bucket long"), "flat")
+    flat = materialize(sets.mapInArrow(returning(_members), "node long, n long, bucket long"), "flat")
     often = flat.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     place = F.row_number().over(Window.partitionBy("node").orderBy("c", "bucket"))
     # members of one set only meet nothing and come first in the order
@@ -505,7 +506,7 @@ def full_sets(source: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(node, members) of the wanted classes (node, cls, doc), from the texts of source."""
     holds = wanted.withColumnRenamed("doc", "own")
     texts = source.join(holds, F.col("doc").eqNullSafe(F.col("own"))).select("node", "cls", "text")
-    return texts.mapInArrow(_sets(words), "node long, members binary").dropDuplicates(["node"])
+    return texts.mapInArrow(returning(_sets(words)), "node long, members binary").dropDuplicates(["node"])
 
 
 def near_classes(
@@ -519,7 +520,7 @@ def near_classes(
     """(doc, n, component) for each row of docs; exact: see above."""
     source = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
     rows = materialize(
-        source.mapInArrow(_row_digests(words), "doc long, n long, cls binary, sketch binary"),
+        source.mapInArrow(returning(_row_digests(words)), "doc long, n long, cls binary, sketch binary"),
         "sketches",
     )
     classes = materialize(
@@ -582,7 +583,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     for side in ("a", "b"):
         own = sets.select(F.col("node").alias(side), F.col("members").alias(f"set_{side}"))
         pairs = pairs.join(own, side)
-    return pairs.select("a", "b", "set_a", "set_b").mapInArrow(_confirm(percent), "a long, b long, linked boolean")
+    return pairs.select("a", "b", "set_a", "set_b").mapInArrow(returning(_confirm(percent)), "a long, b long, linked boolean")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -35,10 +35,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlspike.llm.common import slices
+from marlspike.llm.common import returning, slices
 
 MARK = "▁"
 MOST_KEPT = 250_000  # stretches whose ids a task remembers
+SLICE = 1_000_000  # bytes of text that are cut into stretches at once
 LONG = 256  # longer stretches are not remembered
 WIDTHS = (4, 6, 9, 13, 20, 32)  # longer stretches are merged one by one
 
@@ -99,6 +100,10 @@ class Vocabulary:
             for one, two in zip(place, place[1:]):
                 if one and two:
                     self.beside[one, two] = True
+        self.forget()
+
+    def forget(self) -> None:
+        """Remember no stretch."""
         self.kept: dict[str, int] = {}  # stretch: its place in the arrays below
         self.kept_ids, self.kept_ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
@@ -238,8 +243,8 @@ class Vocabulary:
             starts[missing], counts[missing] = len(pool) + ends - sizes, sizes
             pool = np.concatenate([pool, ids])
             if len(kept) + len(new) > MOST_KEPT:
-                self.kept = kept = {}
-                self.kept_ids, self.kept_ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
+                self.forget()
+                kept = self.kept
             short = np.flatnonzero([len(x) <= LONG for x in new])[: MOST_KEPT - len(kept)]
             kept.update(zip([new[i] for i in short.tolist()], range(len(kept), len(kept) + len(short))))
             added = _ranges(ids, (ends - sizes)[short], sizes[short])
@@ -379,6 +384,11 @@ def model_path(path: str | None = None) -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def in_task(run, path: str | None):
+    """run, a function of a task's batches, with nothing remembered behind it."""
+    return returning(run, lambda: vocabulary(model_path(path)).forget())
+
+
 def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """(doc, ids) for each row of docs."""
     rows = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
@@ -386,13 +396,13 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
     def run(batches):
         words = vocabulary(model_path(path))
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 ids = words.encode_all(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc"), pa.array(ids, pa.list_(pa.int32()))], ["doc", "ids"]
                 )
 
-    return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, ids array<int>")
+    return rows.mapInArrow(in_task(run, path), f"doc {rows.schema['doc'].dataType.simpleString()}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -405,7 +415,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
             texts = [None if x is None else words.decode(x) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(texts, pa.string())], ["doc", "text"])
 
-    return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, text string")
+    return rows.mapInArrow(in_task(run, path), f"doc {rows.schema['doc'].dataType.simpleString()}, text string")
 
 
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
@@ -416,7 +426,7 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str
     def run(batches):
         words = vocabulary(model_path(path))
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 sizes, ids, texts = words.sums(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc"), pa.array(sizes), pa.array(ids, pa.string()), pa.array(texts, pa.string())],
@@ -424,7 +434,7 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str
                 )
 
     kind = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(in_task(run, path), f"doc {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op2_sentencepiece(spark, sf_dir: str) -> DataFrame:
