@@ -133,3 +133,44 @@ def test_the_head_is_bounded_in_bytes(spark):
     assert {r.word for r in lm_score.most_frequent(counts, 10).collect()} == {"ab", "cd", "ef"}
     assert {r.word for r in lm_score.most_frequent(counts, 10, 5).collect()} == {"ab", "cd"}
     assert lm_score.most_frequent(counts, 10, 3).count() == 0
+
+
+def test_texts_are_read_as_often_whatever_the_filter(spark):
+    """Texts are not read again for each part of a filter that is too large to be sent."""
+    reads = []
+    for most_bytes in (1 << 12, 64):
+        read = spark.sparkContext.accumulator(0)
+
+        def seen(batches, read=read):
+            for batch in batches:
+                read.add(batch.num_rows)
+                yield batch
+
+        table = docs(spark, ROWS)
+        table = table.mapInArrow(seen, table.schema)
+        found = lm_score.score(table, ~lm_score.held_out(F.col("doc_id")), segment=500, most_bytes=most_bytes)
+        assert len(found.collect()) == len(ROWS)
+        reads.append(read.value)
+    assert reads[0] == reads[1] <= 4 * len(ROWS)
+
+
+def test_many_packs_give_the_same_scores(spark, monkeypatch):
+    """A filter that is not sent scores as the model does, however the texts are packed."""
+    rows = [*ROWS, (77, "cat " * 300 + "é"), (None, None)]
+    want = [x for _, x in exact_scores(rows)]
+    for pack in (1, 200, 10**7):
+        monkeypatch.setattr(lm_score, "PACK", pack)
+        found = lm_score.score(docs(spark, rows), ~lm_score.held_out(F.col("doc_id")), head=3, segment=100, most_bytes=64)
+        got = found.collect()
+        assert sorted(((r.doc, r.n_tokens, r.n_known, round(r.base, 6)) for r in got), key=str) == sorted(
+            [(k, n, m, b) for k, _, n, m, _, b in brute(rows)], key=str
+        )
+        scores = [x for _, x in sorted(((r.doc, r.score) for r in got), key=str)]
+        assert np.mean([abs(a - b) < 1e-6 for a, b in zip(scores, want)]) > 0.9
+
+
+def test_values_come_back():
+    for kind in ("<u4", "<u8", np.uint8):
+        for values in ([], [0, 255, 7], [np.iinfo(kind).max, 1]):
+            found = lm_score.unpacked(lm_score.packed(np.array(values, kind)), len(values), kind)
+            assert found.tolist() == values
