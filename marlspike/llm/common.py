@@ -71,12 +71,16 @@ def returning(run: Callable, forget: Callable = lambda: None) -> Callable:
 
 
 def ascii_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """stretches() of the texts with A-Z in lower case."""
+    return stretches(pc.ascii_lower(texts.cast(pa.large_string())))
+
+
+def stretches(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """(offsets, words): text i holds words[offsets[i]:offsets[i + 1]].
 
-    Words are the runs of characters other than space and 0x09-0x0D of the text
-    with A-Z in lower case. A null text has none.
+    Words are the runs of characters other than space and 0x09-0x0D. A null text has none.
     """
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
     flat = lists.flatten()
     real = pc.greater(pc.binary_length(flat), 0)
     sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -20,9 +20,11 @@ makes over all pieces of the corpus, not over those of one task. Spark then numb
 pieces of each length (range partitions of a written table, ties by a row hash, so a
 frequent length is spread) and each piece finds its place by its length and number.
 
-Ids are those of the tokenizers library. Texts of characters up to U+00FF without a special
-token's "<|" are cut into the tokenizer's words here, each distinct word is merged by the
-library's model and remembered; all other texts go through the library whole.
+Ids are those of the tokenizers library. Texts without a special token's "<|" are split at
+blanks (space, 0x09-0x0D), which no token crosses, and each distinct stretch of a slice is
+encoded once. A stretch of characters up to U+00FF is cut into the tokenizer's words here
+and each distinct word is merged by the library's model and remembered; all other stretches, and texts with
+"<|", go through the library whole.
 
 Defined results: a null or empty text is the end alone. Whole texts are read, in slices;
 memory is bounded by a slice or the longest single text and MOST_KEPT words. Rows that
@@ -37,26 +39,29 @@ import math
 import os
 import re
 import zlib
+from array import array
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlspike.llm.common import slices
+from marlspike.llm.common import slices, stretches
 from marlspike.operators.ids import number_rows
 from marlspike.session import materialize
 
 END = 0
 MOST_KEPT = 250_000  # words whose ids a task remembers
+MOST_IDS = 8 * MOST_KEPT  # of them altogether
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
 DIGITS = "0-9²³¹¼-¾"
 BLANKS = r"\t-\r \x85\xA0"
-#: The tokenizer's own words, written out for characters up to U+00FF.
-WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^{BLANKS}{LETTERS}{DIGITS}]+")
+#: The tokenizer's own words, written out for characters up to U+00FF, and line feeds.
+WORDS = re.compile(rf"[{LETTERS}]+|\n|[{DIGITS}]|'(?:s|t|re|ve|m|ll|d)|[^{BLANKS}{LETTERS}{DIGITS}]+")
 
 
 @dataclass(frozen=True)
@@ -138,6 +143,28 @@ def places(patterns: list[tuple[int, dict[int, int]]]) -> dict[str, np.ndarray]:
     return dict(zip(("length", "first", "bins", "base", "offset"), table.T))
 
 
+class Kept(dict):
+    """Words to their spots: word i has the next sizes[i] ids of flat. An unknown word is added;
+    a line feed is a word without ids."""
+
+    def __init__(self, find):
+        """find: the ids of a word."""
+        self.find, self.flat, self.sizes = find, array("I"), array("q")
+        self.add("\n", [])
+
+    def add(self, word: str, ids: list[int]) -> int:
+        self.flat.extend(ids)
+        self.sizes.append(len(ids))
+        self[word] = spot = len(self)
+        return spot
+
+    def __missing__(self, word: str) -> int:
+        return self.add(word, self.find(word))
+
+    def full(self) -> bool:
+        return len(self) > MOST_KEPT or len(self.flat) > MOST_IDS
+
+
 class Words:
     """Ids of texts, word by word."""
 
@@ -146,48 +173,70 @@ class Words:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        kept = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
-        others = [b for b in range(256) if b not in kept]
-        self.byte = {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(others)}
-        self.kept: dict[str, np.ndarray] = {}
-
-    def word(self, word: str) -> np.ndarray:
-        found = self.library.model.tokenize("".join([self.byte[b] for b in word.encode()]))
-        return np.array([x.id for x in found], np.uint32)
-
-    def plain(self, text: str) -> bool:
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return False
-        return "<|" not in text
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        self.merges = self.library.model
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
+        others = [b for b in range(256) if b not in own]
+        self.byte = {b: chr(256 + i) for i, b in enumerate(others)}
+        self.kept = Kept(self.word)
+
+    def word(self, word: str) -> list[int]:
+        if not (word.isascii() and word.isprintable()):
+            word = word.encode().decode("latin-1").translate(self.byte)
+        return [x.id for x in self.merges.tokenize(word)]
+
+    def other(self, text: str) -> int:
+        """The spot of a stretch that is not cut into words."""
+        spot = self.kept.get(text)
+        return self.kept.add(text, self.whole(text)) if spot is None else spot
+
+    def whole(self, text: str) -> list[int]:
+        return self.library.encode(text, add_special_tokens=False).ids
+
+    def ids(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
         """The ids of each text."""
-        plain = [self.plain(x) for x in texts]
-        cut = [WORDS.findall(x.lower()) if own else [] for x, own in zip(texts, plain)]
-        coded = pa.array(list(chain.from_iterable(cut)), pa.large_string()).dictionary_encode()
-        if len(self.kept) > MOST_KEPT:
-            self.kept = {}
-        distinct, kept = [], self.kept
-        for word in coded.dictionary.to_pylist():
-            found = kept.get(word)
-            if found is None:
-                found = kept[word] = self.word(word)
-            distinct.append(found)
-        sizes = np.array([len(x) for x in distinct], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        flat = np.concatenate([*distinct, np.zeros(0, np.uint32)])
-        code = coded.indices.to_numpy().astype(np.int64)
-        own = sizes[code]
-        before = np.cumsum(own) - own
-        joined = flat[np.repeat(starts[code] - before, own) + np.arange(int(own.sum()))]
-        edges = np.concatenate([[0], np.cumsum([len(x) for x in cut], dtype=np.int64)])
-        edges = np.concatenate([before, [len(joined)]])[edges]
-        return [
-            joined[a:b] if own else np.array(self.library.encode(x, add_special_tokens=False).ids, np.uint32)
-            for x, own, a, b in zip(texts, plain, edges[:-1].tolist(), edges[1:].tolist())
-        ]
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.large_string())
+        special = pc.fill_null(pc.match_substring(texts, "<|"), False)
+        offsets, flat = stretches(pc.if_else(special, "", texts))
+        coded = flat.dictionary_encode()
+        distinct, sizes = self.stretches(coded.dictionary)
+        code = coded.indices.to_numpy()
+        joined = gathered(distinct, sizes, code)
+        edges = np.concatenate([[0], np.cumsum(sizes[code])])[offsets].tolist()
+        out = [joined[a:b] for a, b in zip(edges[:-1], edges[1:])]
+        for i in np.flatnonzero(special.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = np.array(self.whole(texts[i].as_py()), np.uint32)
+        return out
+
+    def stretches(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all stretches, one behind the other, and their number in each."""
+        if self.kept.full():
+            self.kept = Kept(self.word)
+        kept = self.kept
+        other = pc.match_substring_regex(texts, r"[^\x00-\x{FF}]").to_numpy(zero_copy_only=False)
+        plain = texts.filter(pa.array(~other))
+        # no stretch holds a line feed; it stands between the words of two
+        lists = pa.ListArray.from_arrays(pa.array([0, len(plain)], pa.int32()), plain)
+        joined = pc.binary_join(lists, pa.scalar("\n", plain.type))[0].as_py()
+        words = WORDS.findall(joined.lower() + "\n" * (len(plain) > 0))
+        code = np.fromiter(map(kept.__getitem__, words), np.int64, len(words))
+        others = np.array([self.other(x) for x in texts.filter(pa.array(other)).to_pylist()], np.int64)
+        # copied, as an array cannot grow while it is viewed
+        spots = np.array(kept.sizes, np.int64)
+        found = gathered(np.array(kept.flat, np.uint32), spots, np.concatenate([code, others]))
+        ends = np.cumsum(spots[code])[code == kept["\n"]]
+        sizes = np.concatenate([np.diff(ends, prepend=0), spots[others]])
+        # from the plain ones and the others behind them to the order of texts
+        order = np.argsort(np.concatenate([np.flatnonzero(~other), np.flatnonzero(other)]))
+        return gathered(found, sizes, order), sizes[order]
+
+
+def gathered(flat: np.ndarray, sizes: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """The pieces of flat (of these sizes) that the codes name, one behind the other."""
+    own = sizes[code]
+    before = np.cumsum(own) - own
+    starts = np.cumsum(sizes) - sizes
+    return flat[np.repeat(starts[code] - before, own) + np.arange(int(own.sum()))]
 
 
 @lru_cache(maxsize=1)
@@ -209,9 +258,8 @@ def _cut(longest: int, path: str | None, keep: bool):
         words = words_of(tokenizer_path(path))
         for batch in batches:
             for part in slices(batch, "text"):
-                texts = [x or "" for x in part.column("text").to_pylist()]
                 at, piece, start, length, crc, ids = [], [], [], [], [], []
-                for i, own in enumerate(words.ids(texts)):
+                for i, own in enumerate(words.ids(part.column("text"))):
                     whole = np.append(own, np.uint32(END)).astype("<u4")
                     for n, low in enumerate(range(0, len(whole), longest)):
                         one = whole[low : low + longest]

@@ -33,6 +33,47 @@ def test_ids_equal_the_library(library, own):
     assert [x.tolist() for x in found] == [library.encode(x or "", add_special_tokens=False).ids for x in TEXTS]
 
 
+def test_a_stretch_is_encoded_once(library, monkeypatch):
+    """The work follows the distinct stretches between blanks, not the words of all texts."""
+    texts = ["déjà vu, it's 中文 here", "中文 IT'S\nhere"] * 200
+
+    class Library:
+        calls = 0
+
+        def encode(self, text, **kind):
+            Library.calls += 1
+            return library.encode(text, **kind)
+
+    class Cutter:
+        signs = 0
+
+        def findall(self, text, found=packing.WORDS.findall):
+            Cutter.signs += len(text)
+            return found(text)
+
+    own = packing.Words(packing.tokenizer_path())
+    own.library = Library()
+    monkeypatch.setattr(packing, "WORDS", Cutter())
+    found = own.ids(texts)
+    assert [x.tolist() for x in found] == [library.encode(x, add_special_tokens=False).ids for x in texts]
+    assert Library.calls == 1 and Cutter.signs <= len(" ".join(texts[:2]))
+
+
+def test_marks_stay_with_their_letters(library, own):
+    """Upper case that composes with a mark only in lower case, and stretches in any order."""
+    texts = ["H\u0331 h\u0331 J\u030c A\u030a a", "a\u0301 b\u3000c", "Σ ΑΣ ΑΣ. a", "", "中 a 中 b", "<|x Ω", "Ω <|endoftext|>"]
+    for some in (texts, texts[::-1], ["Ω"], ["a"], [""], []):
+        assert [x.tolist() for x in own.ids(some)] == [library.encode(x, add_special_tokens=False).ids for x in some]
+
+
+def test_forgotten_words_are_found_again(library, monkeypatch):
+    monkeypatch.setattr(packing, "MOST_KEPT", 2)
+    own = packing.Words(packing.tokenizer_path())
+    for text in ("one two three 中", "three four", "中 one two"):
+        assert own.ids([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(own.kept) <= 6
+
+
 @settings(max_examples=500, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from(" 'strevmld.,<|\n"), st.characters(max_codepoint=255)), max_size=40))
 def test_any_latin_text(text):
