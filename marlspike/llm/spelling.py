@@ -234,7 +234,8 @@ def near_pairs(words: DataFrame) -> DataFrame:
     signed = words.select("word", "n").mapInArrow(_signed, "word string, n long, key long")
     a, b = (signed.select("key", F.col("word").alias(x), F.col("n").alias(f"{x}_n")) for x in "ab")
     odd = F.col("key").bitwiseAND(1) == 1
-    met = a.join(b, "key").filter(
+    # Spark sizes the keys by the file of the words, of which each word has many
+    met = a.hint("merge").join(b, "key").filter(
         (~odd & (F.col("a") < F.col("b"))) | (odd & (F.length("a") + 1 == F.length("b")))
     )
     close = met.filter(F.levenshtein("a", "b", 1) == 1)
@@ -267,16 +268,17 @@ def forms(words: DataFrame) -> DataFrame:
 
 
 def rooted(table: DataFrame) -> DataFrame:
-    """table (word, form, ...) with the root of each word: forms followed to the last."""
+    """table (word, form, ...) with the root of each word: forms followed to the last. Files
+    of words are far smaller than their rows in memory, so no side is sent to the tasks."""
     steps = table.filter(F.col("form").isNotNull()).select("word", F.col("form").alias("to"))
     while True:
         steps = materialize(steps, "steps")
         ahead = steps.select(F.col("word").alias("to"), F.col("to").alias("further"))
-        wider = steps.join(ahead, "to", "left")
+        wider = steps.hint("merge").join(ahead, "to", "left")
         if wider.filter(F.col("further").isNotNull()).isEmpty():
             break
         steps = wider.select("word", F.coalesce("further", "to").alias("to"))
-    return table.join(steps, "word", "left").withColumn("root", F.coalesce("to", "word")).drop("to")
+    return table.hint("merge").join(steps, "word", "left").withColumn("root", F.coalesce("to", "word")).drop("to")
 
 
 def variants(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

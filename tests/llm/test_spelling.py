@@ -121,3 +121,12 @@ def test_crc_of_joined_parts(one, two):
         np.array([zlib.crc32(one)], np.uint32), np.array([zlib.crc32(two)], np.uint32), np.array([len(two)])
     )
     assert int(found[0]) == zlib.crc32(one + two)
+
+
+def test_words_are_not_sent_to_the_tasks(spark):
+    """A file of words says little about the size of all their keys."""
+    rows = [(f"word{i:05d}".translate(str.maketrans("0123456789", "abcdefghij")), 3 + i % 7) for i in range(500)]
+    words = materialize(spark.createDataFrame(rows, "word string, n long"), "words")
+    pairs = spelling.near_pairs(words)
+    assert pairs.count() > 500
+    assert "Broadcast" not in pairs._jdf.queryExecution().toString()
