@@ -59,6 +59,30 @@ class GramLearner(Learner):
         own = np.asarray(values) * share[:, None] if len(values) else np.zeros((0, self.width))
         return sparse.summed_rows(owner, own, len(ends)), owner, share
 
+    def prepared(self, rows, keys, ends):
+        sizes = np.diff(ends, prepend=0)
+        owner = np.repeat(np.arange(len(ends)), sizes)
+        distinct, place = np.unique(keys, return_inverse=True)
+        # a key that occurs several times in a row is met once
+        own, times = np.unique(owner * len(distinct) + place, return_counts=True)
+        owner, place = np.divmod(own, max(1, len(distinct)))
+        label = rows.column("label").to_numpy(zero_copy_only=False)
+        made = {"label": label, "owner": owner.astype(np.int32), "place": place.astype(np.int32)}
+        return distinct, made | {"share": times / sizes[owner]}
+
+    def step(self, dense, made, values):
+        label, owner, place, share = (made[x] for x in ("label", "owner", "place", "share"))
+        own = values[place] * share[:, None]
+        mean = sparse.narrow_sums(owner, own, len(label))
+        prob = self.chances(dense, mean)
+        at = np.arange(len(label))
+        loss = float(-np.log(np.maximum(prob[at, label], 1e-12)).sum())
+        hits = int((prob.argmax(axis=1) == label).sum())
+        prob[at, label] -= 1.0
+        back = prob @ dense["out"].T
+        grad = sparse.narrow_sums(place, back[owner] * share[:, None], len(values))
+        return loss, hits, {"out": mean.T @ prob, "bias": prob.sum(axis=0)}, grad
+
     def chances(self, dense: Params, mean: np.ndarray) -> np.ndarray:
         logits = mean @ dense["out"] + dense["bias"]
         e = np.exp(logits - logits.max(axis=1, keepdims=True))
@@ -110,8 +134,10 @@ def score_ngrams(model: GramModel, rows: DataFrame, key: str, tokens: str = "tok
     keyed = rows.select(F.col(key).alias("own"), gram_keys(tokens, learner.pairs).alias("keys"))
     numbered = materialize(keyed.withColumn("row", F.monotonically_increasing_id()), "scoring")
 
+    lines, blocks = sparse.met(numbered, model.table, learner)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece, _, values, ends in sparse.blocks(batches, learner):
+        for piece, _, values, ends in blocks(batches):
             prob = learner.chances(shared.value, learner.means(values, ends)[0])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -123,4 +149,4 @@ def score_ngrams(model: GramModel, rows: DataFrame, key: str, tokens: str = "tok
 
     kind = numbered.schema["own"].dataType.simpleString()
     schema = f"own {kind}, prediction int, probability double, probabilities array<double>"
-    return sparse.with_vectors(numbered, model.table).mapInArrow(run, schema).withColumnRenamed("own", key)
+    return lines.mapInArrow(run, schema).withColumnRenamed("own", key)

@@ -252,3 +252,54 @@ def test_few_vectors_need_no_tables(spark, assembled, monkeypatch):
     assert (mine[key].to_numpy() == theirs[key].to_numpy()).all() and np.allclose(mine["value"], theirs["value"])
     none, _ = W.train_joint(seen.where("false"), SPEC, 3, config)
     assert none.table.count() == 0
+
+
+def jobs_of(spark, name, work):
+    """(result, number of Spark jobs) of work()."""
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        return work(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setJobGroup("rest", "rest")
+
+
+def test_many_steps_are_few_jobs(spark, assembled):
+    config = W.TrainConfig(epochs=2, steps_per_epoch=60)
+    (_, history), jobs_run = jobs_of(spark, "steps", lambda: W.train_joint(assembled, SPEC, 3, config, valid=assembled))
+    assert history.where("metric = 'loss' and split = 'train'").count() == 120 and jobs_run < 120
+
+
+def test_runs_of_some_slices(spark, monkeypatch):
+    """Vectors of all keys that no task may hold: runs of as many slices as have few enough make
+    the steps that one run makes in the same order, and no log for each step."""
+    big = FeatureSpec(embed_cols=["e", "f"], embed_in=[10**6, 3], embed_out=[4, 2])
+    df = spark.range(240).select(
+        "id", (F.col("id") * 7 % 200).cast("int").alias("e"), (F.col("id") % 3).cast("int").alias("f"),
+        (F.col("id") % 2 + 1).cast("int").alias("label"),
+    )
+    rows = assemble(df, big, F.lit(1), "id")
+    config = W.TrainConfig(epochs=3, steps_per_epoch=9, learning_rate=0.1, hidden=(4,))
+    sizes, run_size, plan = [], sparse.run_size, []
+
+    def fail(*_):
+        raise AssertionError("a step wrote a log")
+
+    monkeypatch.setattr(sparse, "sums", fail)
+    with monkeypatch.context() as patch:
+        patch.setattr(sparse, "SENT_BYTES", 32 * 45)
+        patch.setattr(sparse, "STATE_BYTES", 32 * 7)
+        patch.setattr(sparse, "PIECE_LINES", 16)
+        patch.setattr(sparse, "run_size", lambda *a: sizes.append(run_size(*a)) or sizes[-1])
+        some, first = W.train_joint(rows, big, 2, config, "deep", rows)
+    assert 1 <= sizes[0] <= 4
+    for epoch in (1, 2, 3):
+        plan.append((0, [x for _, steps in sparse.schedule(config, 9, sizes[0], 1) for x in steps if x[0] == epoch]))
+    assert all(sorted(slice for _, slice in steps) == list(range(9)) for _, steps in plan)
+    monkeypatch.setattr(sparse, "schedule", lambda *_: plan)
+    whole, second = W.train_joint(rows, big, 2, config, "deep", rows)
+    assert all(np.allclose(some.dense[k], whole.dense[k]) for k in some.dense)
+    one, other = held_weights(some), held_weights(whole)
+    assert len(one) == 203 and one.keys() == other.keys() and all(np.allclose(one[k], other[k]) for k in one)
+    key = ["step", "epoch", "split", "metric"]
+    mine, theirs = (h.toPandas().sort_values(key) for h in (first, second))
+    assert (mine[key].to_numpy() == theirs[key].to_numpy()).all() and np.allclose(mine["value"], theirs["value"])

@@ -42,3 +42,17 @@ def test_word_order_is_learned(spark):
     assert {r["split"] for r in history.collect()} == {"train"}
     none = spark.createDataFrame([(1, []), (2, None)], "id long, tokens array<string>")
     assert ngrams.score_ngrams(model, none, "id").count() == 2
+
+
+def test_prepared_steps_equal_outcomes():
+    learner = ngrams.GramLearner(3, 4)
+    rng = np.random.default_rng(0)
+    dense = {"out": rng.normal(size=(4, 3)), "bias": rng.normal(size=3)}
+    keys, ends = np.array([5, 6, 5, 7, 5]), np.array([2, 2, 5])
+    rows = pa.RecordBatch.from_arrays([pa.array([0, 2, 1])], ["label"])
+    table = {k: rng.normal(size=4) for k in (5, 6, 7)}
+    loss, hits, grads, [(own, summed)] = learner.outcome(dense, rows, keys, [table[k] for k in keys.tolist()], ends, True)
+    distinct, made = learner.prepared(rows, keys, ends)
+    found = learner.step(dense, made, np.array([table[k] for k in distinct.tolist()]))
+    assert distinct.tolist() == own.tolist() and found[1] == hits and np.isclose(found[0], loss)
+    assert all(np.allclose(found[2][k], grads[k]) for k in grads) and np.allclose(found[3], summed)
