@@ -6,7 +6,9 @@ import math
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -107,19 +109,33 @@ def tokenize(
     )
     shards, unknown = _shards(dictionary)
 
-    @F.pandas_udf("array<string>")
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<string>")
+    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            han = [r for runs in batch for r in runs if HAN.match(r)]  # the script decides, as in HAN_RUN
-            ways = {}
-            for part in _portions(list(dict.fromkeys(han))):
-                found = _lattices(part, shards)
-                ways |= {run: _best_path(run, words, unknown, search) for run, words in found.items()}
-            yield batch.map(lambda runs: [t for r in runs for t in ways.get(r, (r,))])
+            yield from _tokens(batch, shards, unknown, search)
 
     return df.withColumn(out, cut(runs))
 
 
+def _tokens(batch: pa.Array, shards: Sequence, unknown: int, search: bool) -> Iterator[pa.Array]:
+    """Rows of runs to rows of tokens, of about LATTICE_SIGNS signs at once: what is made of
+    a part of the rows is gone before the next, however many rows a batch has."""
+    signs = np.zeros(len(batch) + 1, np.int64)
+    sizes = pc.utf8_length(batch.flatten()).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    signs[1:] = np.concatenate([[0], np.cumsum(sizes)])[ends]
+    part = signs[:-1] // LATTICE_SIGNS
+    edges = np.flatnonzero(np.diff(part)) + 1
+    for start, stop in zip([0, *edges.tolist()], [*edges.tolist(), len(batch)]):
+        rows = batch.slice(start, stop - start).to_pylist()
+        han = dict.fromkeys(r for runs in rows for r in runs or () if HAN.match(r))  # the script decides, as in HAN_RUN
+        ways = {}
+        for some in _portions(list(han)):
+            found = _lattices(some, shards)
+            ways |= {run: _best_path(run, words, unknown, search) for run, words in found.items()}
+        yield pa.array([[t for r in runs or () for t in ways.get(r, (r,))] for runs in rows], pa.list_(pa.string()))
+
+
 def _score(often: Column, total: int) -> Column:
     """Log frequency in thousandths: whole numbers add up alike in any order."""
     return F.round(1000 * F.log(often / F.lit(float(total)))).cast("bigint")

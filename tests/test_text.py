@@ -2,6 +2,7 @@ import math
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 import regex
 from hypothesis import given, settings
@@ -239,3 +240,20 @@ def test_pooling_in_shards(spark, monkeypatch):
     for i, row in found.items():
         own = [j % 9 for j in range(i + 1)]
         assert row["n_tokens"] == len(own) and row["pooled"] == pytest.approx([sum(own) / len(own), sum(own) / len(own) / 2])
+
+
+def test_tokens_of_a_batch_come_in_parts(monkeypatch):
+    """However many rows a batch has, the tokens of about LATTICE_SIGNS signs are held at once."""
+    class Shard:
+        value = (0, ["天地", "地人"], [-1, -2])
+
+    rows = [["天地人天" * (i % 5)] * (i % 3) + ["ok"] for i in range(200)] + [[], ["天" * 500], ["地人"]]
+    batch = pa.array([[], ["x"], *rows], pa.list_(pa.string())).slice(2)
+    (whole,) = T._tokens(batch, [Shard()], -9, True)
+    monkeypatch.setattr(T, "LATTICE_SIGNS", 100)
+    parts = list(T._tokens(batch, [Shard()], -9, True))
+    assert sum((x.to_pylist() for x in parts), []) == whole.to_pylist()
+    assert whole[1].as_py() == ["天地", "人", "天", "ok"]
+    signs = [sum(len(t) for row in x.to_pylist() for t in row) for x in parts]
+    assert len(parts) > 20 and sorted(signs)[-2] < 200
+    assert [len(x) for x in T._tokens(batch.slice(0, 0), [Shard()], -9, True)] == [0]
